@@ -5,6 +5,8 @@ A payload is parsed once with a fixed schema whose polymorphic fields stay text.
 level is parsed only for children that are kept.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,27 @@ def parsed(df: DataFrame, schema: str, source: str = "payload", out: str = "p")
     return df.withColumn(out, F.from_json(source, schema)).drop(source)
 
 
+def parsed_strictly(df: DataFrame, schema: str, source: str, out: str = "p") -> DataFrame:
+    """Parse with a fully typed schema in one pass; ``out._odd`` holds the text if any part did not fit.
+
+    Callers read the typed values where ``_odd`` is null and take the text apart level by level elsewhere,
+    so the usual shape costs one parse and no other shape is lost.
+    """
+    options = {"columnNameOfCorruptRecord": "_odd"}
+    return df.withColumn(out, F.from_json(source, f"STRUCT<{schema}, _odd: STRING>", options))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def entries_of(json: Column, schema: str = "MAP<STRING,STRING>", field: str | None = None) -> Column:
+    """Ordered entries of a JSON object text, or of one of its fields, inside an expression."""
+    m = F.from_json(json, schema)
+    return bound(m if field is None else m[field], ordered_entries)
+
+
 def ordered_entries(m: Column) -> Column:
     """Entries of a map in document order; of equal keys the last value counts, at the first place."""
     keys, entries = F.map_keys(m), F.map_entries(m)

@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the feed formats.
+CLOCK_TEXT = r"^\d+:\d+:\d+\.\d+$"
 LAP_TEXT = r"^(?:(\d+):)?(\d+)\.(\d+)$"
 RACE_LEADER_LAP = r"^LAP\s+(\d+)$"
 RACE_LAPPED = r"^\+(\d+)\s+LAP$"
@@ -28,14 +29,14 @@ def _big(c: Column) -> Column:
 
 
 def clock_ms(c: Column) -> Column:
-    """``H:M:S.ms`` to milliseconds; the part after the point counts as written."""
-    hms = F.split(c, ":")
-    sec = F.split(F.get(hms, F.lit(2)), r"\.")
-    return (
-        _big(F.get(hms, F.lit(0))) * 3_600_000
-        + _big(F.get(hms, F.lit(1))) * 60_000
-        + _big(F.get(sec, F.lit(0))) * 1_000
-        + _big(F.get(sec, F.lit(1)))
+    """``H:M:S.ms`` to milliseconds; the part after the point counts as written. Other text gives null."""
+    last = F.substring_index(c, ":", -1)
+    return F.when(
+        c.rlike(CLOCK_TEXT),
+        _big(F.substring_index(c, ":", 1)) * 3_600_000
+        + _big(F.substring_index(F.substring_index(c, ":", 2), ":", -1)) * 60_000
+        + _big(F.substring_index(last, ".", 1)) * 1_000
+        + _big(F.substring_index(last, ".", -1)),
     )
 
 
@@ -70,7 +71,7 @@ def gap(c: Column) -> Column:
     """Gap text to a number: ``+1.5`` is seconds, ``2L`` is minus two laps, anything else null."""
     bare = F.ltrim(c, F.lit("+"))
     laps = F.substring(bare, F.lit(1), F.length(bare) - 1).try_cast("int")
-    return F.when(F.endswith(bare, F.lit("L")), -laps.cast("double")).otherwise(number(bare))
+    return F.when(F.endswith(bare, F.lit("L")), (-laps).cast("double")).otherwise(number(bare))
 
 
 def _minutes_seconds(c: Column) -> Column:

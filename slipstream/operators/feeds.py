@@ -17,6 +17,8 @@ from slipstream.functions import parse
 from slipstream.functions.jsonwalk import (
     ENTRY,
     LINEAGE,
+    bound,
+    entries_of,
     explode_items,
     explode_map,
     explode_object_items,
@@ -26,6 +28,7 @@ from slipstream.functions.jsonwalk import (
     is_text,
     ordered_entries,
     parsed,
+    parsed_strictly,
 )
 from slipstream.operators import ordered
 
@@ -72,8 +75,13 @@ CHANNELS = {"rpm": "0", "speed": "2", "gear": "3", "throttle": "4", "brake": "5"
 CHANNEL_TYPES = {"rpm": WORD, "speed": WORD, "gear": BYTE, "throttle": REAL, "brake": BYTE, "drs": BYTE}
 
 
+CHANNEL_FIELDS = "STRUCT<`0`: INT, `2`: INT, `3`: INT, `4`: DOUBLE, `5`: INT, `45`: INT>"
+CAR_SCHEMA = f"Utc: STRING, Cars: MAP<STRING, STRUCT<Channels: {CHANNEL_FIELDS}>>"
+POSITION_SCHEMA = "Timestamp: STRING, Entries: MAP<STRING, STRUCT<Status: STRING, X: DOUBLE, Y: DOUBLE, Z: DOUBLE>>"
+
+
 def channel(name: str, channels: Column) -> Column:
-    """A telemetry channel; an absent one reads 0, but for DRS null."""
+    """A telemetry channel from a map of texts; an absent one reads 0, but for DRS null."""
     value = F.element_at(channels, CHANNELS[name])
     if name != "drs":
         present = F.coalesce(F.map_contains_key(channels, CHANNELS[name]), F.lit(False))
@@ -81,27 +89,105 @@ def channel(name: str, channels: Column) -> Column:
     return value.try_cast(CHANNEL_TYPES[name]).alias(name)
 
 
-def car_data(raw: DataFrame) -> DataFrame:
-    cars = explode_objects(parsed(raw, "Utc STRING, Cars MAP<STRING,STRING>").select(*ENTRY, "p.*"), "Cars")
-    cars = cars.withColumn("ch", F.from_json("value", "Channels MAP<STRING,STRING>")["Channels"])
-    return cars.select(
+def _cars_of_text(payload: Column) -> Column:
+    """Cars of an entry whose shape is unusual, as the typed parse would give them, absent channels filled."""
+
+    def fields(channels: Column) -> Column:
+        return F.struct(*[channel(n, channels).cast("double" if n == "throttle" else "int").alias(CHANNELS[n]) for n in CHANNELS])
+
+    def car(e: Column) -> Column:
+        channels = F.from_json(e["value"], "Channels MAP<STRING,STRING>")["Channels"]
+        return F.struct(e["key"].alias("key"), F.struct(bound(channels, fields).alias("Channels")).alias("value"))
+
+    cars = entries_of(payload, "Cars MAP<STRING,STRING>", "Cars")
+    return F.transform(F.filter(cars, lambda e: is_object(e["value"])), car)
+
+
+def _points_of_text(payload: Column) -> Column:
+    def typed(c: Column) -> Column:
+        return F.struct(c["Status"].alias("Status"), *[c[axis].try_cast(REAL).alias(axis) for axis in "XYZ"])
+
+    def point(e: Column) -> Column:
+        return F.struct(e["key"].alias("key"), bound(F.from_json(e["value"], _texts("Status", *"XYZ")), typed).alias("value"))
+
+    points = entries_of(payload, "Entries MAP<STRING,STRING>", "Entries")
+    return F.transform(F.filter(points, lambda e: is_object(e["value"])), point)
+
+
+def _car_table(rows: DataFrame) -> DataFrame:
+    """Rows of ``odd, utc, key_pos, car`` to telemetry columns."""
+
+    def value(name: str) -> Column:
+        found = F.col(f"car.value.Channels.{CHANNELS[name]}")
+        if name != "drs":
+            found = F.when(F.col("odd"), found).otherwise(F.coalesce(found, F.lit(0)))
+        return found.try_cast(CHANNEL_TYPES[name]).alias(name)
+
+    return rows.select(
         *LINEAGE,
-        parse.utc(F.col("Utc")).alias("utc"),
-        F.col("key").try_cast(BYTE).alias("racing_number"),
-        *[channel(name, F.col("ch")) for name in CHANNELS],
+        parse.utc(F.col("utc")).alias("utc"),
+        F.col("car.key").try_cast(BYTE).alias("racing_number"),
+        *[value(n) for n in CHANNELS],
     )
 
 
-def position(raw: DataFrame) -> DataFrame:
-    rows = explode_objects(parsed(raw, "Timestamp STRING, Entries MAP<STRING,STRING>").select(*ENTRY, "p.*"), "Entries")
-    return _child(rows, "Status", "X", "Y", "Z").select(
+def _position_table(rows: DataFrame) -> DataFrame:
+    return rows.filter("car.value IS NOT NULL").select(
         *LINEAGE,
-        F.col("Timestamp").alias("utc"),
-        F.col("key").try_cast(BYTE).alias("racing_number"),
-        *_leaves("c", ("status", "Status", TEXT), ("x", "X", REAL), ("y", "Y", REAL), ("z", "Z", REAL)),
+        "utc",
+        F.col("car.key").try_cast(BYTE).alias("racing_number"),
+        *[F.col(f"car.value.{n}").alias(n.lower()) for n in ("Status", *"XYZ")],
     )
 
 
+def _telemetry(raw: DataFrame, schema: str, field: str, clock: str, of_text: Callable[[Column], Column]) -> DataFrame:
+    """Explode raw entries to cars: one typed parse, and the text taken apart only where that did not fit."""
+    rows = parsed_strictly(raw, schema, "payload").withColumn("odd", _odd("payload"))
+    cars = F.when(F.col("odd"), of_text(F.col("payload"))).otherwise(ordered_entries(F.col(f"p.{field}")))
+    return rows.select(*ENTRY, "odd", F.col(f"p.{clock}").alias("utc"), F.posexplode(cars).alias("key_pos", "car"))
+
+
+def _telemetry_docs(docs: DataFrame, schema: str, field: str, clock: str, of_text: Callable[[Column], Column]) -> DataFrame:
+    """As :func:`_telemetry` straight from inflated documents, which hold several entries each."""
+    rows = parsed_strictly(docs, f"Entries: ARRAY<STRUCT<{schema}>>, Position: ARRAY<STRUCT<{schema}>>", "doc")
+    rows = rows.withColumn("odd", _odd("doc"))
+
+    def typed(e: Column) -> Column:
+        return F.struct(e[clock].alias("utc"), bound(e[field], ordered_entries).alias("cars"))
+
+    def texts(payload: Column) -> Column:
+        return F.struct(F.from_json(payload, f"{clock} STRING")[clock].alias("utc"), of_text(payload).alias("cars"))
+
+    listed = bound(
+        F.from_json("doc", "Entries ARRAY<STRING>, Position ARRAY<STRING>"),
+        lambda d: F.transform(F.coalesce(d["Entries"], d["Position"]), texts),
+    )
+    entries = F.when(F.col("odd"), listed).otherwise(F.transform(F.coalesce("p.Entries", "p.Position"), typed))
+    rows = rows.select(*ENTRY[:3], "timestamp_ms", "odd", F.posexplode(entries).alias("entry_no", "e"))
+    return rows.select(*ENTRY, "odd", F.col("e.utc").alias("utc"), F.posexplode("e.cars").alias("key_pos", "car"))
+
+
+def _odd(source: str) -> Column:
+    """Text that needs the longer way: it did not fit the types, or holds a null."""
+    return F.col("p._odd").isNotNull() | F.contains(source, F.lit("null"))
+
+
+def car_data(raw: DataFrame) -> DataFrame:
+    return _car_table(_telemetry(raw, CAR_SCHEMA, "Cars", "Utc", _cars_of_text))
+
+
+def car_data_docs(docs: DataFrame) -> DataFrame:
+    return _car_table(_telemetry_docs(docs, CAR_SCHEMA, "Cars", "Utc", _cars_of_text))
+
+
+def position(raw: DataFrame) -> DataFrame:
+    return _position_table(_telemetry(raw, POSITION_SCHEMA, "Entries", "Timestamp", _points_of_text))
+
+
+def position_docs(docs: DataFrame) -> DataFrame:
+    return _position_table(_telemetry_docs(docs, POSITION_SCHEMA, "Entries", "Timestamp", _points_of_text))
+
+
 # Timing
 
 
@@ -110,22 +196,65 @@ def _lines(raw: DataFrame) -> DataFrame:
     return explode_objects(rows, "Lines")
 
 
+SEGMENT_SCHEMA = "Lines: MAP<STRING, STRUCT<Sectors: MAP<STRING, STRUCT<Segments: MAP<STRING, STRUCT<Status: INT>>>>>>"
+
+
+def _items_of(text: Column) -> Column:
+    """Key and text of each object among the children of an object or a list."""
+    listed = F.transform(
+        F.when(is_list(text), F.from_json(text, "ARRAY<STRING>")),
+        lambda v, i: F.struct(i.cast("string").alias("key"), v.alias("value")),
+    )
+    mapped = F.when(is_object(text), entries_of(text))
+    return F.filter(F.coalesce(mapped, listed), lambda e: is_object(e["value"]))
+
+
+def _lines_of_text(payload: Column) -> Column:
+    """Lines of an entry that has lists or other shapes, as the typed parse would give them."""
+
+    def level(field: str, child: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        def struct(json: Column) -> Column:
+            items = bound(F.from_json(json, f"{field} STRING")[field], _items_of)
+            pairs = F.transform(items, lambda e: F.struct(e["key"].alias("key"), child(e["value"]).alias("value")))
+            return F.struct(F.map_from_entries(pairs).alias(field))
+
+        return struct
+
+    def status(json: Column) -> Column:
+        return F.struct(F.from_json(json, "Status STRING")["Status"].try_cast(WORD).alias("Status"))
+
+    line = level("Sectors", level("Segments", status))
+    lines = F.filter(entries_of(payload, "Lines MAP<STRING,STRING>", "Lines"), lambda e: is_object(e["value"]))
+    return F.transform(lines, lambda e: F.struct(e["key"].alias("key"), line(e["value"]).alias("value")))
+
+
 def timing_segments(raw: DataFrame) -> DataFrame:
-    """Segment status changes: car, sector (from 1), segment (from 0)."""
-    cars = _lines(raw).withColumn("sectors", F.from_json("value", "Sectors STRING")["Sectors"]).drop("value")
-    sectors = explode_object_items(cars.withColumnRenamed("key", "car_number"), "sectors", "_p1", "sector", "value")
-    sectors = sectors.withColumn("segments", F.from_json("value", "Segments STRING")["Segments"]).drop("value")
-    segments = explode_object_items(sectors, "segments", "_p2", "segment", "value")
-    return (
-        _child(segments, "Status")
-        .filter(F.col("c.Status").isNotNull())
-        .select(
-            *LINEAGE,
-            "car_number",
-            (F.col("sector").try_cast("int") + 1).try_cast(BYTE).alias("sector"),
-            F.col("segment").try_cast(BYTE).alias("segment"),
-            *_leaves("c", ("status", "Status", WORD)),
-        )
+    """Segment status changes: car, sector (from 1), segment (from 0).
+
+    Deltas are objects all the way down and take one typed parse; a snapshot's lists take the longer way.
+    """
+    rows = parsed_strictly(raw, SEGMENT_SCHEMA, "payload")
+    lines = F.when(F.col("p._odd").isNotNull(), _lines_of_text(F.col("payload"))).otherwise(
+        ordered_entries(F.col("p.Lines"))
+    )
+    cars = rows.select(*ENTRY, F.posexplode(lines).alias("key_pos", "car"))
+    sectors = cars.select(
+        *LINEAGE,
+        F.col("car.key").alias("car_number"),
+        F.explode(ordered_entries(F.col("car.value.Sectors"))).alias("s"),
+    )
+    segments = sectors.select(
+        *LINEAGE,
+        "car_number",
+        F.col("s.key").alias("sector"),
+        F.explode(ordered_entries(F.col("s.value.Segments"))).alias("g"),
+    )
+    return segments.filter("g.value.Status IS NOT NULL").select(
+        *LINEAGE,
+        "car_number",
+        (F.col("sector").try_cast("int") + 1).try_cast(BYTE).alias("sector"),
+        F.col("g.key").try_cast(BYTE).alias("segment"),
+        F.col("g.value.Status").alias("status"),
     )
 
 
@@ -346,11 +475,14 @@ def pit_lane_marks(raw: DataFrame) -> DataFrame:
         return F.coalesce(
             one,
             F.when(is_list(e["value"]), of_list(e["value"])),
-            F.array().cast(f"array<struct<{', '.join(f'{k}:string' for k in keys)}>>"),
+            F.array().cast(mark),
         )
 
+    mark = f"array<struct<{', '.join(f'{k}:string' for k in keys)}>>"
     marks = rows.withColumn("marks", F.flatten(F.transform(ordered_entries(F.col("PitTimes")), of_child)))
-    marks = marks.select(*ENTRY, F.get("marks", F.lit(0))["Duration"].alias("first_duration"), F.posexplode("marks").alias("key_pos", "c"))
+    # An expression, not the bare column: exploding a column makes Spark infer a filter that recomputes it.
+    each = F.posexplode(F.coalesce("marks", F.array().cast(mark)))
+    marks = marks.select(*ENTRY, F.get("marks", F.lit(0))["Duration"].alias("first_duration"), each.alias("key_pos", "c"))
     return marks.select(
         *LINEAGE,
         "first_duration",

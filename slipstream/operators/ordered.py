@@ -17,10 +17,6 @@ from slipstream.functions.jsonwalk import ORDER
 SPAN_LINES = 65_536
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
-
-
 def fill_forward(
     df: DataFrame,
     keys: Sequence[str],
@@ -39,18 +35,20 @@ def fill_forward(
     running = Window.partitionBy(*keys, *span).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumn("_local", F.last("_value", ignorenulls=True).over(running))
 
-    place = F.struct(*order)
-    ends = rows.groupBy(*keys, *span).agg(
-        F.max_by(F.col("_value"), F.when(F.col("_value").isNotNull(), place)).alias("_end")
-    )
+    # The whole row goes through the aggregate, so that both branches read the very same shuffle and the
+    # input is computed once.
+    ends = local.groupBy(*keys, *span).agg(F.max_by(F.struct(*local.columns), F.struct(*order)).alias("_end"))
+    ends = ends.select(*keys, *span, F.col("_end._local").alias("_end"))
     before = Window.partitionBy(*keys).orderBy(*span).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*keys, *span, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-    carried = carried.filter("_carry IS NOT NULL")
-
-    joined = local.join(carried, _same(local, carried, [*keys, *span]), "left")
-    kept = [local[c] for c in df.columns if c != out]
-    filled = joined.select(*kept, F.coalesce(F.col("_local"), F.col("_carry")).alias(out))
-    return filled.select(*df.columns, *([] if out in df.columns else [out]))
+    carried = ends.select(
+        *[F.col(c).alias(f"_at_{c}") for c in (*keys, *span)],
+        F.last("_end", ignorenulls=True).over(before).alias("_carry"),
+    ).filter("_carry IS NOT NULL")
+
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in (*keys, *span)))
+    names = df.columns if out in df.columns else [*df.columns, out]
+    filled = F.coalesce("_local", "_carry").alias(out)
+    return local.join(carried, same, "left").select(*[filled if c == out else F.col(c) for c in names])
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -17,6 +17,7 @@ from slipstream.functions import parse
 from slipstream.functions.jsonwalk import ENTRY
 
 BOM = "\ufeff"
+BLANKS = "\r\n\t "
 
 
 def inflate_raw(blob: Column) -> Column:
@@ -54,18 +55,16 @@ def read_stream_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _clean(lines: DataFrame) -> DataFrame:
-    value = F.ltrim(F.rtrim("value", F.lit("\r\n\t ")), F.lit(BOM + "\r\t "))
-    return lines.withColumn("value", value).filter(F.col("value") != "")
-
-
 def _split_clock(lines: DataFrame, mark: str) -> DataFrame:
-    at = F.instr(F.col("value"), mark)
-    lead = F.when(at > 0, F.trim(F.substring(F.col("value"), F.lit(1), at - 1)))
-    return lines.select(
+    """Clock before the first ``mark`` and the text from there on; blank lines go."""
+    value = F.col("value")
+    at = F.instr(value, mark)
+    filled = (at > 0) | (F.trim(value, F.lit(BOM + BLANKS)) != "")
+    lead = F.trim(F.substring(value, F.lit(1), at - 1), F.lit(BOM + BLANKS))
+    return lines.filter(filled).select(
         "*",
-        parse.clock_ms(lead).alias("timestamp_ms"),
-        F.when(at > 0, F.substring(F.col("value"), at, F.length("value"))).alias("rest"),
+        F.when(at > 0, parse.clock_ms(lead)).alias("timestamp_ms"),
+        F.when(at > 0, F.substring(value, at, F.length(value))).alias("rest"),
     )
 
 
@@ -75,31 +74,37 @@ def _malformed() -> Column:
 
 def bad_lines(lines: DataFrame, compressed: bool = False) -> DataFrame:
     """The lines a strict decode would stop at: no payload mark, or no readable clock before it."""
-    rows = _split_clock(_clean(lines), '"' if compressed else "{")
+    rows = _split_clock(lines, '"' if compressed else "{")
     return rows.filter(_malformed()).select("session_id", "block_no", "line_no", "value")
 
 
+def _good_lines(lines: DataFrame, mark: str, on_bad: str) -> DataFrame:
+    rows = _split_clock(lines, mark)
+    if on_bad == "drop":
+        return rows.filter(~_malformed())
+    complaint = F.raise_error(F.concat(F.lit("Malformed stream line: "), F.substring("value", 1, 80)))
+    return rows.withColumn("rest", F.when(_malformed(), complaint.cast("string")).otherwise(F.col("rest")))
+
+
+def inflate_lines(lines: DataFrame, on_bad: str = "raise") -> DataFrame:
+    """Compressed lines to ``session_id, block_no, line_no, timestamp_ms, doc``, one JSON text per line."""
+    rows = _good_lines(lines, '"', on_bad)
+    return rows.select(*ENTRY[:3], "timestamp_ms", inflate_raw(F.unbase64("rest")).alias("doc"))
+
+
 def decode_lines(lines: DataFrame, compressed: bool = False, on_bad: str = "raise") -> DataFrame:
     """Text lines to raw entries: ``session_id, block_no, line_no, entry_no, timestamp_ms, payload``.
 
     ``on_bad`` is ``raise`` or ``drop``; :func:`bad_lines` shows what is dropped.
     """
-    rows = _split_clock(_clean(lines), '"' if compressed else "{")
-    if on_bad == "raise":
-        complaint = F.raise_error(F.concat(F.lit("Malformed stream line: "), F.substring("value", 1, 80)))
-        rows = rows.withColumn("rest", F.when(_malformed(), complaint.cast("string")).otherwise(F.col("rest")))
-    else:
-        rows = rows.filter(~_malformed())
     if not compressed:
-        return rows.select(*ENTRY[:3], F.lit(0).alias("entry_no"), "timestamp_ms", F.col("rest").alias("payload"))
-    blob = F.unbase64(F.trim("rest", F.lit('"')))
-    doc = rows.select(*ENTRY[:3], "timestamp_ms", inflate_raw(blob).alias("_doc"))
-    doc = doc.withColumn("_d", F.from_json("_doc", "Entries ARRAY<STRING>, Position ARRAY<STRING>"))
-    return doc.select(
-        *ENTRY[:3],
-        "timestamp_ms",
-        F.posexplode(F.coalesce("_d.Entries", "_d.Position")).alias("entry_no", "payload"),
-    ).select(*ENTRY[:3], "entry_no", "timestamp_ms", "payload")
+        rows = _good_lines(lines, "{", on_bad)
+        rest = F.col("rest")
+        payload = F.when(F.endswith(rest, F.lit("\r")), F.left(rest, F.length(rest) - 1)).otherwise(rest)
+        return rows.select(*ENTRY[:3], F.lit(0).alias("entry_no"), "timestamp_ms", payload.alias("payload"))
+    docs = inflate_lines(lines, on_bad).withColumn("_d", F.from_json("doc", "Entries ARRAY<STRING>, Position ARRAY<STRING>"))
+    items = F.posexplode(F.coalesce("_d.Entries", "_d.Position")).alias("entry_no", "payload")
+    return docs.select(*ENTRY[:3], "timestamp_ms", items).select(*ENTRY, "payload")
 
 
 def read_entries(
@@ -118,9 +123,9 @@ def read_documents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def decode_documents(docs: DataFrame, compressed: bool = False) -> DataFrame:
     """Strip the byte-order mark, undo the compression, and open a one-element list."""
-    text = F.trim("doc", F.lit(BOM + "\r\n\t "))
+    text = F.trim("doc", F.lit(BOM + BLANKS))
     if compressed:
-        text = inflate_raw(F.unbase64(F.trim(text, F.lit('"'))))
+        text = inflate_raw(F.unbase64(text))
     rows = docs.withColumn("doc", text)
     opened = F.get(F.from_json("doc", "ARRAY<STRING>"), F.lit(0))
     return rows.withColumn("doc", F.when(F.startswith("doc", F.lit("[")), opened).otherwise(F.col("doc")))
