@@ -6,9 +6,11 @@ Spark has no such join, and a window over all rows of a key would put a busy key
    bucket can hold: at most ``width`` rows, as the clock counts in whole milliseconds.
 2. Right rows are gathered per key and bucket into one sorted array, with the last row of earlier buckets and
    the first row of later ones at its ends. Only those border rows are ordered across buckets.
-3. Left rows equi-join their bucket and look up their place in the array. The left side is shuffled once, is
-   never sorted by this operator, and a busy bucket can be split freely, as every left row stands alone:
-   by adaptive skew handling, or explicitly with ``salts``.
+3. Left rows equi-join their bucket and look up their place in the array. The left side is shuffled once and
+   never sorted by clock. Buckets with more than ``hot_rows`` left rows are salted over several tasks.
+
+The left side is read twice: once for its buckets and their sizes (two columns), once for its rows. On feeds
+written as Parquet the first read is cheap; prefer that to joining straight from archive text.
 """
 
 from collections.abc import Sequence
@@ -18,8 +20,10 @@ from pyspark.sql import functions as F
 
 from slipstream.functions.jsonwalk import ORDER
 from slipstream.functions.parse import clock_seconds
+from slipstream.operators.skew import salt_of
 
 BUCKET_MS = 10_000
+HOT_ROWS = 5_000_000
 PLACE = [*ORDER, "key_pos"]
 
 
@@ -33,50 +37,62 @@ def asof_join(
     place: Sequence[str] = PLACE,
     suffix: str = "_right",
     width: int = BUCKET_MS,
-    salts: int = 1,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """All left rows, each with the chosen right row's columns or nulls.
 
     On equal distance the earlier right row counts. Right columns that clash get ``suffix``; keys, clock and
-    ``place`` columns of the right side are not repeated.
+    ``place`` columns of the right side are not repeated. ``place`` identifies a row within its key.
     """
     if strategy not in ("nearest", "backward", "forward"):
         raise ValueError(f"unknown strategy {strategy!r}")
     by = list(by)
+    cell = [*by, "_bucket"]
     values = [c for c in right.columns if c not in (*by, on, *place)]
-    bucket = F.floor(F.col(on) / width).alias("_bucket")
-    keyed = right.dropna(subset=[*by, on])
-    latest = keyed.groupBy(*by, on).agg(F.max_by(F.struct(*values), F.struct(*place)).alias("_row"))
+    bucket = (F.col(on) - F.pmod(on, F.lit(width))).alias("_bucket")
+
+    asked = left.dropna(subset=[*by, on]).groupBy(*by, bucket).agg(F.count("*").alias("_n"))
+    salts = F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")
+    # At most one row per hot_rows left rows, which bounds what is broadcast.
+    hot = F.broadcast(asked.filter(F.col("_n") > hot_rows).select(*cell, salts))
+
+    lookup = _lookup(right.dropna(subset=[*by, on]), asked, on, by, bucket, values, place)
+    lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_n")
+    rows = left.select("*", bucket).join(hot, cell, "left")
+    rows = rows.withColumn("_salt", salt_of(place, F.coalesce("_salts", F.lit(1)))).drop("_salts")
+    rows = rows.join(lookup, [*cell, "_salt"], "left")
+    found = rows.withColumn("_hit", _pick(F.col("_items"), F.col("_ats"), F.col(on), strategy))
+    if tolerance is not None:
+        close = F.abs(F.col("_hit.at") - F.col(on)) <= tolerance
+        found = found.withColumn("_hit", F.when(close, F.col("_hit")))
+    names = {c: c + suffix if c in left.columns else c for c in values}
+    return found.select(*[F.col(c) for c in left.columns], *[F.col(f"_hit.row.{c}").alias(n) for c, n in names.items()])
+
+
+def _lookup(
+    right: DataFrame, asked: DataFrame, on: str, by: list[str], bucket: Column, values: list[str], place: Sequence[str]
+) -> DataFrame:
+    """Per asked bucket: its right rows as a sorted array, between the nearest rows of other buckets."""
+    cell = [*by, "_bucket"]
+    latest = right.groupBy(*by, on).agg(F.max_by(F.struct(*values), F.struct(*place)).alias("_row"))
     item = F.struct(F.col(on).alias("at"), F.col("_row").alias("row"))
     buckets = latest.groupBy(*by, bucket).agg(F.sort_array(F.collect_list(item)).alias("_items"))
-    asked = left.dropna(subset=[*by, on]).select(*by, bucket).distinct().withColumn("_asked", F.lit(True))
-    grid = buckets.join(asked, [*by, "_bucket"], "full_outer")
+    grid = buckets.join(asked, cell, "full_outer")
 
-    ends = grid.select(*by, "_bucket", F.get("_items", F.lit(0)).alias("_head"), F.try_element_at("_items", F.lit(-1)).alias("_tail"))
+    head, tail = F.get("_items", F.lit(0)), F.try_element_at("_items", F.lit(-1))
+    ends = grid.select(*cell, head.alias("_head"), tail.alias("_tail"))
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(*by).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     borders = ends.select(
-        *by,
-        "_bucket",
+        *cell,
         F.last("_tail", ignorenulls=True).over(earlier).alias("_before"),
         F.last("_head", ignorenulls=True).over(later).alias("_after"),
     )
-    lookup = grid.filter("_asked").join(borders, [*by, "_bucket"])
-    around = F.filter(
-        F.flatten(F.array(F.array("_before"), F.coalesce("_items", F.array().cast(grid.schema["_items"].dataType)), F.array("_after"))),
-        lambda i: i.isNotNull(),
-    )
-    lookup = lookup.select(*by, "_bucket", around.alias("_items"))
-    lookup = lookup.select("*", F.col("_items.at").alias("_ats")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-
-    salt = F.pmod(F.xxhash64(*place), F.lit(salts)).cast("int") if salts > 1 else F.lit(0)
-    rows = left.select("*", bucket, salt.alias("_salt")).join(lookup, [*by, "_bucket", "_salt"], "left")
-    found = rows.withColumn("_hit", _pick(F.col("_items"), F.col("_ats"), F.col(on), strategy))
-    if tolerance is not None:
-        close = F.abs(F.col("_hit.at") - F.col(on)) <= tolerance
-        found = found.withColumn("_hit", F.when(close, F.col("_hit")))
-    names = {c: c + suffix if c in left.columns else c for c in values}
-    return found.select(*[F.col(c) for c in left.columns], *[F.col(f"_hit.row.{c}").alias(n) for c, n in names.items()])
+    joined = grid.filter("_n IS NOT NULL").join(borders, cell)
+    none = F.array().cast(grid.schema["_items"].dataType)
+    around = F.concat(F.array("_before"), F.coalesce("_items", none), F.array("_after"))
+    items = joined.select(*cell, "_n", F.array_compact(around).alias("_items"))
+    return items.withColumn("_ats", F.col("_items.at"))
 
 
 def _pick(items: Column, ats: Column, at: Column, strategy: str) -> Column:

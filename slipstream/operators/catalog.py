@@ -4,10 +4,14 @@ Lookups take a table of queries, so any number of them is one job. A query that
 is a row with a status rather than an error.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slipstream.functions import parse
+from slipstream.functions.jsonwalk import ORDER
+from slipstream.operators.skew import spread_join
 from slipstream.sources.index import session_name
 
 FIRST_SEASON = 2018
@@ -137,13 +141,17 @@ def ordered_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.orderBy(*MEETING[:2], "start_date", "session_pos")
 
 
-def with_session(rows: DataFrame, sessions: DataFrame, meetings: DataFrame) -> DataFrame:
-    """Feed rows with the names of their session and meeting, matched by the session's path."""
-    place = sessions.filter("path IS NOT NULL").select(
+def with_session(rows: DataFrame, sessions: DataFrame, meetings: DataFrame, place: Sequence[str] = ORDER) -> DataFrame:
+    """Feed rows with the names of their session and meeting, matched by the session's path.
+
+    ``place`` tells the rows of a session apart, so that a busy session is spread over tasks.
+    """
+    named = sessions.filter("path IS NOT NULL").select(
         F.rtrim("path", F.lit("/")).alias("session_id"), "year", "meeting_pos", F.col("name").alias("session_name"), "session_key"
     )
     names = meetings.select("year", "meeting_pos", F.col("name").alias("meeting_name"), "country_name")
-    return rows.join(place.join(names, ["year", "meeting_pos"], "left").drop("meeting_pos"), "session_id", "left")
+    places = named.join(names, ["year", "meeting_pos"], "left").drop("meeting_pos")
+    return spread_join(rows, places, ["session_id"], place, "left")
 
 
 def messages_per_session(messages: DataFrame, sessions: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ shuffle, so they run at the speed of the scan and any group may be as large as i
 ``compat=True`` keeps a literal oddity of the feed's original reader; the default is the documented meaning.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slipstream.functions import parse
@@ -31,6 +31,7 @@ from slipstream.functions.jsonwalk import (
     parsed_strictly,
 )
 from slipstream.operators import ordered
+from slipstream.sources import archive
 
 TEXT, BYTE, SHORT, WORD, REAL, FLAG = "string", "smallint", "smallint", "int", "double", "boolean"
 
@@ -764,15 +765,16 @@ class Feed:
     keyframe_file: str
     stream_file: str
     flatten: Callable[..., DataFrame]
+    flatten_docs: Callable[..., DataFrame] | None = None
 
 
-def _feed(name: str, flatten: Callable[..., DataFrame]) -> Feed:
-    return Feed(f"{name}.json", f"{name}.jsonStream", flatten)
+def _feed(name: str, flatten: Callable[..., DataFrame], flatten_docs: Callable[..., DataFrame] | None = None) -> Feed:
+    return Feed(f"{name}.json", f"{name}.jsonStream", flatten, flatten_docs)
 
 
 FEEDS: dict[str, Feed] = {
-    "CarData": _feed("CarData.z", car_data),
-    "Position": _feed("Position.z", position),
+    "CarData": _feed("CarData.z", car_data, car_data_docs),
+    "Position": _feed("Position.z", position, position_docs),
     "TimingDataF1": _feed("TimingDataF1", timing_segments),
     "TimingStats": _feed("TimingStats", timing_stats),
     "TimingAppData": _feed("TimingAppData", timing_app),
@@ -802,3 +804,14 @@ FEEDS: dict[str, Feed] = {
     "Heartbeat": _feed("Heartbeat", heartbeat),
     "ContentStreams": _feed("ContentStreams", content_streams),
 }
+
+
+def read_feed(
+    spark: SparkSession, root: str, name: str, sessions: Sequence[str] = ("*/*/*",), on_bad: str = "raise", **options: bool
+) -> DataFrame:
+    """The stream table of a feed over many sessions of an archive, in one scan."""
+    feed = FEEDS[name]
+    if feed.flatten_docs is None:
+        return feed.flatten(archive.read_entries(spark, root, feed.stream_file, sessions, on_bad), **options)
+    lines = archive.read_stream_lines(spark, archive.feed_paths(root, feed.stream_file, sessions))
+    return feed.flatten_docs(archive.inflate_lines(lines, on_bad))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slipstream.functions.jsonwalk import ORDER
+from slipstream.operators.skew import spread_join
 
 SPAN_LINES = 65_536
 
@@ -31,7 +32,7 @@ def fill_forward(
     with is an aggregate, and a running window over those (one row per span) carries it to later spans.
     """
     span = ["block_no", "_span"]
-    rows = df.withColumn("_value", value).withColumn("_span", F.floor(F.col("line_no") / span_lines))
+    rows = df.withColumn("_value", value).withColumn("_span", F.col("line_no") - F.pmod("line_no", F.lit(span_lines)))
     running = Window.partitionBy(*keys, *span).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumn("_local", F.last("_value", ignorenulls=True).over(running))
 
@@ -68,7 +69,8 @@ def first_entry(raw: DataFrame) -> DataFrame:
 def after_first_entry(raw: DataFrame) -> DataFrame:
     """All raw entries but the first of each session."""
     firsts = raw.groupBy("session_id").agg(F.min(F.struct(*ORDER)).alias("_first"))
-    return raw.join(firsts, "session_id").filter(F.struct(*ORDER) > F.col("_first")).select(*raw.columns)
+    later = spread_join(raw, firsts, ["session_id"], ORDER).filter(F.struct(*ORDER) > F.col("_first"))
+    return later.select(*raw.columns)
 
 
 def patch_back(

@@ -1,0 +1,26 @@
+"""Equi-joins of many rows to one row per key, when a key may hold a large share of all rows."""
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SPREAD = 32
+
+
+def salt_of(place: Sequence[str], salts: Column) -> Column:
+    """A salt below ``salts`` from the columns that identify a row, so a repeated task draws the same one."""
+    return F.pmod(F.xxhash64(*place), salts.cast("bigint")).cast("int")
+
+
+def spread_join(
+    many: DataFrame, one: DataFrame, on: Sequence[str], place: Sequence[str], how: str = "inner", spread: int = SPREAD
+) -> DataFrame:
+    """Join ``many`` to ``one``, which has a row per key: each key's rows go to ``spread`` tasks.
+
+    ``one`` is repeated ``spread`` times, so it should be much smaller than ``many``. ``place`` tells the
+    rows of a key apart.
+    """
+    copies = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    salted = many.withColumn("_salt", salt_of(place, F.lit(spread)))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")

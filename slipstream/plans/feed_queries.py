@@ -124,20 +124,23 @@ QUERIES["position"] = _feed(
 
 # Timing
 
+# Snapshots (here: errors) hold lists and odd children; deltas are objects with a segment's number as key.
 SEGMENTS = (
-    "concat('{\"Segments\":[', array_join(transform(sequence(0, k % 4), i -> "
-    "concat('{\"Status\":', CAST(2048 + i AS STRING), '}')), ','), ']}')"
+    "concat('{\"Segments\":', if(et = 'error', '[', '{'), array_join(transform(sequence(0, k % 4), i -> "
+    "concat(if(et = 'error', '', concat('\"', i, '\":')), '{\"Status\":', CAST(2048 + i AS STRING), '}')), ','), if(et = 'error', ']', '}'), '}')"
 )
-OBJECT_SEGMENTS = template('{"Segments":{"5":{"Status":${k}},"6":{"Other":1},"7":null,"8":{"Status":null}}}')
+OBJECT_SEGMENTS = f"""CASE WHEN et = 'error' THEN {template('{"Segments":{"5":{"Status":${k}},"6":{"Other":1},"7":null,"8":{"Status":null}}}')}
+    ELSE {template('{"Segments":{"5":{"Status":${k}},"6":{"Other":1}}}')} END"""
 QUERIES["timing_segments"] = _feed(
     feeds.timing_segments,
-    f"""concat('{{"Lines":{{"', CAST(car AS STRING), '":{{"Sectors":', CASE WHEN line_no % 2 = 0
+    f"""concat('{{"Lines":{{"', CAST(car AS STRING), '":{{"Sectors":', CASE WHEN et = 'error'
         THEN concat('[', {SEGMENTS}, ',', {OBJECT_SEGMENTS}, ']')
-        ELSE concat('{{"0":', {SEGMENTS}, ',"2":', {OBJECT_SEGMENTS}, ',"1":null}}') END, '}},"77":{{"Sectors":null}},"78":[]}}}}')""",
+        ELSE concat('{{"0":', {SEGMENTS}, ',"2":', {OBJECT_SEGMENTS}, ',"1":null}}') END,
+        '}},"77":{{"Sectors":null}}', if(et = 'error', ',"78":[]', ''), '}}}}')""",
     """SELECT session_id, line_no, timestamp_ms, car::VARCHAR AS car_number, 1::SMALLINT AS sector, i::SMALLINT AS segment,
          (2048 + i)::INTEGER AS status FROM (SELECT *, unnest(range(k % 4 + 1)) AS i FROM e)
        UNION ALL SELECT session_id, line_no, timestamp_ms, car::VARCHAR,
-         (CASE WHEN line_no % 2 = 0 THEN 2 ELSE 3 END)::SMALLINT, 5::SMALLINT, k FROM e""",
+         (CASE WHEN et = 'error' THEN 2 ELSE 3 END)::SMALLINT, 5::SMALLINT, k FROM e""",
 )
 
 STATS = _case(
