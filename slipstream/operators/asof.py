@@ -14,6 +14,7 @@ written as Parquet the first read is cheap; prefer that to joining straight from
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,12 +52,12 @@ def asof_join(
     values = [c for c in right.columns if c not in (*by, on, *place)]
     bucket = (F.col(on) - F.pmod(on, F.lit(width))).alias("_bucket")
 
-    asked = left.dropna(subset=[*by, on]).groupBy(*by, bucket).agg(F.count("*").alias("_n"))
+    asked = _known(left, [*by, on]).groupBy(*by, bucket).agg(F.count("*").alias("_n"))
     salts = F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")
     # At most one row per hot_rows left rows, which bounds what is broadcast.
     hot = F.broadcast(asked.filter(F.col("_n") > hot_rows).select(*cell, salts))
 
-    lookup = _lookup(right.dropna(subset=[*by, on]), asked, on, by, bucket, values, place)
+    lookup = _lookup(_known(right, [*by, on]), asked, on, by, bucket, values, place)
     lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_n")
     rows = left.select("*", bucket).join(hot, cell, "left")
     rows = rows.withColumn("_salt", salt_of(place, F.coalesce("_salts", F.lit(1)))).drop("_salts")
@@ -69,30 +70,38 @@ def asof_join(
     return found.select(*[F.col(c) for c in left.columns], *[F.col(f"_hit.row.{c}").alias(n) for c, n in names.items()])
 
 
+def _known(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.filter(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns)))
+
+
 def _lookup(
     right: DataFrame, asked: DataFrame, on: str, by: list[str], bucket: Column, values: list[str], place: Sequence[str]
 ) -> DataFrame:
-    """Per asked bucket: its right rows as a sorted array, between the nearest rows of other buckets."""
+    """Per asked bucket: its right rows as a sorted array, between the nearest rows of other buckets.
+
+    Both branches below use every column of ``cells`` under the same filters, so they share one shuffle and
+    the inputs are computed once for both.
+    """
     cell = [*by, "_bucket"]
     latest = right.groupBy(*by, on).agg(F.max_by(F.struct(*values), F.struct(*place)).alias("_row"))
-    item = F.struct(F.col(on).alias("at"), F.col("_row").alias("row"))
-    buckets = latest.groupBy(*by, bucket).agg(F.sort_array(F.collect_list(item)).alias("_items"))
-    grid = buckets.join(asked, cell, "full_outer")
+    item = F.struct(F.col(on).alias("at"), F.col("_row").alias("row")).alias("_item")
+    points = latest.select(*by, bucket, item).unionByName(asked, allowMissingColumns=True).filter("_bucket IS NOT NULL")
+    cells = points.groupBy(*cell).agg(F.sort_array(F.collect_list("_item")).alias("_items"), F.max("_n").alias("_n"))
 
-    head, tail = F.get("_items", F.lit(0)), F.try_element_at("_items", F.lit(-1))
-    ends = grid.select(*cell, head.alias("_head"), tail.alias("_tail"))
+    ends = cells.select(
+        *cell, "_n", F.get("_items", F.lit(0)).alias("_head"), F.try_element_at("_items", F.lit(-1)).alias("_tail")
+    )
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(*by).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     borders = ends.select(
         *cell,
+        "_n",
         F.last("_tail", ignorenulls=True).over(earlier).alias("_before"),
         F.last("_head", ignorenulls=True).over(later).alias("_after"),
     )
-    joined = grid.filter("_n IS NOT NULL").join(borders, cell)
-    none = F.array().cast(grid.schema["_items"].dataType)
-    around = F.concat(F.array("_before"), F.coalesce("_items", none), F.array("_after"))
-    items = joined.select(*cell, "_n", F.array_compact(around).alias("_items"))
-    return items.withColumn("_ats", F.col("_items.at"))
+    joined = cells.filter("_n IS NOT NULL").drop("_n").join(borders, cell)
+    around = F.array_compact(F.concat(F.array("_before"), "_items", F.array("_after")))
+    return joined.select(*cell, "_n", around.alias("_items")).withColumn("_ats", F.col("_items.at"))
 
 
 def _pick(items: Column, ats: Column, at: Column, strategy: str) -> Column:
@@ -109,5 +118,6 @@ def _pick(items: Column, ats: Column, at: Column, strategy: str) -> Column:
 
 def telemetry_on_track(car: DataFrame, position: DataFrame, racing_number: int | None = None) -> DataFrame:
     """Telemetry with the nearest position of the same car, and a clock in whole seconds."""
-    joined = asof_join(car, position).withColumn("timestamp_s", clock_seconds(F.col("timestamp_ms")))
-    return joined if racing_number is None else joined.filter(F.col("racing_number") == racing_number)
+    if racing_number is not None:
+        car, position = (df.filter(F.col("racing_number") == racing_number) for df in (car, position))
+    return asof_join(car, position).withColumn("timestamp_s", clock_seconds(F.col("timestamp_ms")))

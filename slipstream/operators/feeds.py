@@ -623,9 +623,14 @@ def driver_race_rows(raw: DataFrame) -> DataFrame:
 
 
 def driver_race_info(raw: DataFrame) -> DataFrame:
-    """Updates after the opening snapshot; of several at one clock the last per car counts."""
-    rows = driver_race_rows(ordered.after_first_entry(raw))
-    return ordered.last_per_key(rows, ["session_id", "timestamp_ms", "car_number"], ["block_no", "line_no", "entry_no", "key_pos"])
+    """Updates after the opening snapshot; of several at one clock the last per car counts.
+
+    The snapshot is the earliest entry, so where it holds the last row of a clock and car it holds the only
+    one: it can be taken out after the rows are reduced.
+    """
+    place = ["block_no", "line_no", "entry_no", "key_pos"]
+    last = ordered.last_per_key(driver_race_rows(raw), ["session_id", "timestamp_ms", "car_number"], place)
+    return ordered.after_first_entry(last, raw)
 
 
 def starting_grid(raw: DataFrame) -> DataFrame:

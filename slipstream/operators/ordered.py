@@ -66,11 +66,11 @@ def first_entry(raw: DataFrame) -> DataFrame:
     return first.select("session_id", "_row.*").select(*raw.columns)
 
 
-def after_first_entry(raw: DataFrame) -> DataFrame:
-    """All raw entries but the first of each session."""
+def after_first_entry(rows: DataFrame, raw: DataFrame) -> DataFrame:
+    """Those of ``rows`` that come from later raw entries than the first of their session."""
     firsts = raw.groupBy("session_id").agg(F.min(F.struct(*ORDER)).alias("_first"))
-    later = spread_join(raw, firsts, ["session_id"], ORDER).filter(F.struct(*ORDER) > F.col("_first"))
-    return later.select(*raw.columns)
+    later = spread_join(rows, firsts, ["session_id"], ORDER).filter(F.struct(*ORDER) > F.col("_first"))
+    return later.select(*rows.columns)
 
 
 def patch_back(

@@ -60,12 +60,12 @@ def _split_clock(lines: DataFrame, mark: str) -> DataFrame:
     value = F.col("value")
     at = F.instr(value, mark)
     filled = (at > 0) | (F.trim(value, F.lit(BOM + BLANKS)) != "")
-    lead = F.trim(F.substring(value, F.lit(1), at - 1), F.lit(BOM + BLANKS))
-    return lines.filter(filled).select(
+    halves = lines.filter(filled).select(
         "*",
-        F.when(at > 0, parse.clock_ms(lead)).alias("timestamp_ms"),
+        F.when(at > 0, F.trim(F.substring(value, F.lit(1), at - 1), F.lit(BOM + BLANKS))).alias("lead"),
         F.when(at > 0, F.substring(value, at, F.length(value))).alias("rest"),
     )
+    return halves.withColumn("timestamp_ms", parse.clock_ms(F.col("lead"))).drop("lead")
 
 
 def _malformed() -> Column:

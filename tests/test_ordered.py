@@ -60,4 +60,4 @@ def test_last_per_key_and_first_entry(spark, raw):
     last = ordered.last_per_key(df, ["session_id", "timestamp_ms"], ["block_no", "line_no", "entry_no"])
     assert sorted((r.timestamp_ms, r.payload) for r in last.collect()) == [(5, "b"), (6, "c")]
     assert [r.payload for r in ordered.first_entry(df).collect()] == ["a"]
-    assert sorted(r.payload for r in ordered.after_first_entry(df).collect()) == ["b", "c"]
+    assert sorted(r.payload for r in ordered.after_first_entry(df, df).collect()) == ["b", "c"]
