@@ -23,7 +23,7 @@ from slipstream.functions.jsonwalk import ORDER
 from slipstream.functions.parse import clock_seconds
 from slipstream.operators.skew import salt_of
 
-BUCKET_MS = 10_000
+BUCKET_MS = 5_000
 HOT_ROWS = 5_000_000
 PLACE = [*ORDER, "key_pos"]
 

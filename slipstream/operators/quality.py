@@ -103,6 +103,21 @@ def session_report(sessions: DataFrame) -> DataFrame:
     return count_breaches(rows, rules)
 
 
+def type_report(raw: DataFrame, columns: dict[str, str], field: str | None = None) -> DataFrame:
+    """Values of raw entries that are there but do not fit their column's type.
+
+    ``columns`` maps JSON keys to Spark types. They are looked up in the payload, or in each object among the
+    children of ``field``.
+    """
+    if field is None:
+        rows = raw.select("session_id", F.col("payload").alias("value"))
+    else:
+        rows = parsed(raw.select("session_id", "payload"), f"{field} STRING").select("session_id", f"p.{field}")
+        rows = explode_object_items(rows, field, "_p", "_k", "value")
+    rows = rows.withColumn("c", F.from_json("value", ", ".join(f"`{k}` STRING" for k in columns))).select("session_id", "c.*")
+    return count_breaches(rows, {k: _misfit(F.col(k), kind) for k, kind in columns.items()})
+
+
 # Ranges of the unsigned and short columns the feeds are meant to fit.
 RANGES = {
     "racing_number": (0, 255),

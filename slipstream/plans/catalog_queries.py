@@ -238,6 +238,10 @@ QUERIES["session_feeds"] = Query(
 QUERIES["session_feeds_bare"] = Query(
     lambda spark, sf_dir: _offered(spark, sf_dir, "{", "}"), f"WITH {STATES_SQL} {OFFERED_SQL}"
 )
+QUERIES["available_feeds"] = Query(
+    lambda spark, sf_dir: index.available_feeds(_offered(spark, sf_dir, '{"Feeds":{', "}}")),
+    f"WITH {STATES_SQL} SELECT session_id, feed, compressed FROM ({OFFERED_SQL}) WHERE known",
+)
 QUERIES["missing_feeds"] = Query(
     _missing_feeds, f"WITH {STATES_SQL} SELECT session_id, {FEED_SQL} AS feed FROM st WHERE k % 3 = 0"
 )
@@ -273,3 +277,23 @@ QUERIES["quality_ranges"] = Query(
     f"WITH {EVENTS_SQL} "
     + _report_sql(CAR_SQL, {"speed_range": "speed NOT BETWEEN 0 AND 50", "gear_range": "gear NOT BETWEEN 0 AND 7", "drs_range": "drs NOT BETWEEN 2 AND 255"}),
 )
+
+
+# Weather readings and tracker lines with values that fit no number for some k.
+WEATHER_TYPES = {"AirTemp": "double", "Humidity": "double", "WindDirection": "int"}
+WEATHER_LINE = template('{"AirTemp":"${if(k % 10 = 3, \'warm\', CAST(v AS STRING))}","Humidity":"","WindDirection":"${if(k % 4 = 0, \'1.5\', CAST(k AS STRING))}"}')
+QUERIES["quality_types"] = Query(
+    lambda spark, sf_dir: quality.type_report(entries(spark, sf_dir, WEATHER_LINE), WEATHER_TYPES),
+    f"WITH {EVENTS_SQL} "
+    + _report_sql("SELECT * FROM e", {"AirTemp": "k % 10 = 3", "Humidity": "true", "WindDirection": "k % 4 = 0"}),
+)
+TRACKER_TYPES = {"LapState": "smallint", "Position": "int"}
+TRACKER_LINE = template('{"Lines":{"${car}":{"LapState":${k * 1000}},"${car + 20}":{"Position":"P${k}"},"x":null}}')
+QUERIES["quality_line_types"] = Query(
+    lambda spark, sf_dir: quality.type_report(entries(spark, sf_dir, TRACKER_LINE), TRACKER_TYPES, field="Lines"),
+    f"WITH {EVENTS_SQL} "
+    + _report_sql(
+        "SELECT session_id, k * 1000 > 32767 AS bad_state, false AS bad_position FROM e UNION ALL SELECT session_id, false, true FROM e",
+        {"LapState": "bad_state", "Position": "bad_position"},
+    ),
+)

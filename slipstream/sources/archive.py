@@ -136,8 +136,12 @@ def read_keyframes(spark: SparkSession, root: str, file: str, sessions: Sequence
 
 
 def write_feed(table: DataFrame, out: str, feed: str, mode: str = "overwrite") -> str:
-    """Write a feed table as Parquet, split by year, for jobs that span sessions. Returns the folder."""
+    """Write a feed table as Parquet, split by year, for jobs that span sessions. Returns the folder.
+
+    Years that are not in ``table`` keep what was written before.
+    """
     target = f"{out.rstrip('/')}/{feed}"
     year = F.split_part("session_id", F.lit("/"), F.lit(1))
-    table.withColumn("year", year).write.mode(mode).partitionBy("year").parquet(target)
+    writer = table.withColumn("year", year).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("year").parquet(target)
     return target

@@ -125,6 +125,11 @@ def session_feeds(docs: DataFrame) -> DataFrame:
     )
 
 
+def available_feeds(offered: DataFrame) -> DataFrame:
+    """The known feeds of each session."""
+    return offered.filter("known").select("session_id", "feed", "compressed")
+
+
 def missing_feeds(requested: DataFrame, offered: DataFrame) -> DataFrame:
     """Requested ``session_id, feed`` pairs that the sessions do not offer."""
     return requested.join(offered, ["session_id", "feed"], "left_anti")
