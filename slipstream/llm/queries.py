@@ -7,19 +7,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import simhash_dedup
+from slipstream.llm import quality_classifier, quality_rules, simhash_dedup, substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return quality_classifier.resampled(docs, quality_classifier.fit(docs, _labels(spark, sf_dir)))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return substring_dedup.deduplicated(docs).select("doc_id", "dedup.n_words", "dedup.n_removed", "dedup.kept_sha256")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = quality_rules.fit(docs, _labels(spark, sf_dir))
+    return quality_rules.judged(docs.select("doc_id", "text"), model).select("doc_id", "rules.*")
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(_documents(spark, sf_dir), shingle=3, distance=3)
     return found.select("doc_id", simhash_dedup.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op8_quality_rules": op8_quality_rules,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
 
