@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import quality_classifier, quality_rules, simhash_dedup, substring_dedup
+from slipstream.llm import packing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, subword
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.deduplicated(docs).select("doc_id", "dedup.n_words", "dedup.n_removed", "dedup.kept_sha256")
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_documents(spark, sf_dir), subword.public_path(subword.VOCABULARY), capacity=1024, end=2)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = quality_rules.fit(docs, _labels(spark, sf_dir))
@@ -42,6 +46,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
