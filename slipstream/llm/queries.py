@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import packing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, subword
+from slipstream.llm import bpe_fst, packing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, subword
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,14 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_documents(spark, sf_dir), subword.public_path(subword.VOCABULARY), capacity=1024, end=2)
 
 
+def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = subword.public_path(bpe_fst.RANKS)
+    ids = bpe_fst.encoded(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    return bpe_fst.decoded(ids, path).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = quality_rules.fit(docs, _labels(spark, sf_dir))
@@ -47,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_bpe_transducer": op7_bpe_transducer,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
