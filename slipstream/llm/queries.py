@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import bpe_fst, packing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, subword
+from slipstream.llm import bpe_fst, html_extract, packing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, subword
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_dedup.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_substring_dedup": op3_substring_dedup,
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe_transducer": op7_bpe_transducer,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_dedup": op9_simhash_dedup,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE_SQL: dict[str, str] = {}
