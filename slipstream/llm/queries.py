@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import bpe_fst, html_extract, packing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, subword
+from slipstream.llm import bpe_fst, html_extract, multiset_hash, packing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, subword
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,16 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.resampled(docs, quality_classifier.fit(docs, _labels(spark, sf_dir)))
 
 
+def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = multiset_hash.edited_fingerprints(_documents(spark, sf_dir))
+    own, edited, following = F.col("vector"), F.col("edited_vector"), F.col("next_vector")
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256",
+        multiset_hash.as_hex(own).alias("fingerprint"), multiset_hash.as_hex(edited).alias("edited_fingerprint"),
+        multiset_hash.likeness(own, edited).alias("near_edited"), multiset_hash.likeness(own, following).alias("near_next"),
+    )
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return substring_dedup.deduplicated(docs).select("doc_id", "dedup.n_words", "dedup.n_removed", "dedup.kept_sha256")
@@ -57,6 +67,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_multiset_hash": op2_multiset_hash,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_bpe_transducer": op7_bpe_transducer,
