@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from slipstream.llm.ordering import previous, sort_id
 from slipstream.llm.staging import staged
 
 SIGNS, WHOLE = 128, 4
@@ -107,15 +108,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _heads(own: DataFrame) -> DataFrame:
-    """``(head, to)``: the first id of each bucket, and the bucket before it; before the first comes the last.
-
-    Two levels of windows, so that a task orders at most the buckets of one level.
-    """
-    buckets = own.groupBy("bucket").agg(F.min("sort_id").alias("head")).withColumn("over", F.shiftright("bucket", BUCKET_BITS))
-    within = buckets.withColumn("to", F.lag("bucket").over(Window.partitionBy("over").orderBy("bucket")))
-    last = buckets.groupBy("over").agg(F.max("bucket").alias("last"))
-    ends = last.withColumn("before", F.lag("last").over(Window.orderBy("over"))).withColumn("final", F.max("last").over(Window.partitionBy()))
-    return within.join(ends, "over").select("head", F.coalesce("to", "before", "final").alias("to"))
+    """``(head, to)``: the first id of each bucket, and the bucket before it; before the first comes the last."""
+    return previous(own.groupBy("bucket").agg(F.min("sort_id").alias("head"))).select("head", "to")
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -125,8 +119,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     to the bucket before (``own`` false there), so one exchange of the texts is enough. A null id sorts first; rows
     with one id follow each other by a hash of their texts; null texts are empty.
     """
-    sort_id = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), sort_id.alias("sort_id"))
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), sort_id(doc_id).alias("sort_id"))
     own = own.withColumn("bucket", F.shiftright("sort_id", BUCKET_BITS))
     heads = staged(_heads(own), "heads")
     here = F.struct(F.col("bucket"), F.lit(True).alias("own"))
