@@ -16,7 +16,8 @@ sides, which all its windows contain) and a name of everything its windows cover
 found in a smaller document, all of these windows are repeats; that settles the inside of long repeats with one row for
 each anchor. Only the least document of each such class, and only where a surrounding has several classes (the ends of
 repeats), is looked at window by window: those windows are named by 128 bits, and the least document of each name is
-compared. All groups are combined before the shuffle and joined, never collected; no window is left out.
+compared. All groups are combined before the shuffle and written before they are joined, so that both sides of a join are
+plain exchanges and a passage that a third of all documents share is split; no window is left out.
 """
 
 from __future__ import annotations
@@ -175,10 +176,10 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = staged(own.mapInArrow(_anchor_rows, "doc_id long, copy long, around long, whole long, low int, high int"), "anchors")
 
     several = rows.groupBy("around").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"), F.min("whole").alias("w0"), F.max("whole").alias("w1"))
-    shared = several.where("d0 < d1").select("around", (F.col("w0") < F.col("w1")).alias("many"))
+    shared = staged(several.where("d0 < d1").select("around", (F.col("w0") < F.col("w1")).alias("many")), "shared")
     candidates = staged(rows.join(shared, "around"), "candidates")
 
-    classes = candidates.groupBy("around", "whole").agg(F.min("doc_id").alias("least"))
+    classes = staged(candidates.groupBy("around", "whole").agg(F.min("doc_id").alias("least")), "least")
     sided = staged(candidates.join(classes, ["around", "whole"]).select("doc_id", "copy", "low", "high", "many", "least"), "classes")
     inside = sided.where("doc_id > least").select("doc_id", "copy", F.col("low").alias("from"), (F.col("high") + WINDOW).alias("to"))
 
@@ -186,7 +187,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     texts = own.join(open_spans, ["doc_id", "copy"]).select("doc_id", "copy", "text", "spans")
     windows = staged(texts.mapInArrow(_window_rows, "doc_id long, copy long, place int, h0 long, h1 long"), "windows")
     least = windows.groupBy("h0", "h1").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    ends = windows.join(least, ["h0", "h1"]).where("doc_id > least")
+    ends = windows.join(staged(least.drop("most"), "least"), ["h0", "h1"]).where("doc_id > least")
     ends = ends.select("doc_id", "copy", F.col("place").alias("from"), (F.col("place") + WINDOW).alias("to"))
 
     spans = inside.unionByName(ends).groupBy("doc_id", "copy").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
