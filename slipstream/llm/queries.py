@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import bpe_fst, html_extract, multiset_hash, packing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, subword, wavelet
+from slipstream.llm import bpe_fst, html_extract, multiset_hash, packing, ppm, quality_classifier, quality_rules, simhash_dedup, substring_dedup, subword, wavelet
 from slipstream.llm.staging import new_folder
 
 
@@ -43,6 +43,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_documents(spark, sf_dir), subword.public_path(subword.VOCABULARY), capacity=1024, end=2)
 
 
+def op5_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scored(_documents(spark, sf_dir), held=1)
+
+
 def op6_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "shards")
     wavelet.write(_documents(spark, sf_dir), path, subword.public_path(subword.VOCABULARY), end=0)
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_multiset_hash": op2_multiset_hash,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_ppm_scoring": op5_ppm_scoring,
     "op6_wavelet_matrix": op6_wavelet_matrix,
     "op7_bpe_transducer": op7_bpe_transducer,
     "op8_quality_rules": op8_quality_rules,
