@@ -89,4 +89,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extraction": op10_html_extraction,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The other operators fit models, link by 64-bit hashes, run tokenizers or choose numbers freely: tests/llm checks them
+#: by brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": r"""
+        WITH texts AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM texts WHERE len(w) >= 50)
+        ), first AS (
+            SELECT h, min(doc_id) AS least FROM windows GROUP BY h
+        ), covered AS (
+            SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p
+            FROM windows JOIN first USING (h) WHERE least < doc_id
+        ), words AS (
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM texts
+        ), kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+            FROM words ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM texts LEFT JOIN kept USING (doc_id)
+    """,
+}
