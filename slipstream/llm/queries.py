@@ -94,7 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": r"""
         WITH texts AS (
-            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+            SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w
             FROM documents
         ), windows AS (
             SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h
