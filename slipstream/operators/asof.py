@@ -2,15 +2,13 @@
 
 Spark has no such join, and a window over all rows of a key would put a busy key into one task. Instead:
 
-1. The right side is reduced to one row per key and clock (the later line wins), which bounds what a time
-   bucket can hold: at most ``width`` rows, as the clock counts in whole milliseconds.
-2. Right rows are gathered per key and bucket into one sorted array, with the last row of earlier buckets and
-   the first row of later ones at its ends. Only those border rows are ordered across buckets.
-3. Left rows equi-join their bucket and look up their place in the array. The left side is shuffled once and
-   never sorted by clock. Buckets with more than ``hot_rows`` left rows are salted over several tasks.
-
-The left side is read twice: once for its buckets and their sizes (two columns), once for its rows. On feeds
-written as Parquet the first read is cheap; prefer that to joining straight from archive text.
+1. Both sides are put into one table, tagged, and shuffled once by key and time bucket.
+2. Inside a bucket, running windows up and down the clock carry the last right row before and the first right row
+   after every left row. They stream over sorted rows, so a full bucket costs time but not memory.
+3. Each bucket's first and last right row are aggregated from the same shuffle; only these border rows, one for each
+   bucket, are ordered per key, to carry a right row over bucket edges.
+
+Each side is read once. Of right rows with equal keys and clocks the later line wins.
 """
 
 from collections.abc import Sequence
@@ -21,10 +19,8 @@ from pyspark.sql import functions as F
 
 from slipstream.functions.jsonwalk import ORDER
 from slipstream.functions.parse import clock_seconds
-from slipstream.operators.skew import salt_of
 
 BUCKET_MS = 5_000
-HOT_ROWS = 5_000_000
 PLACE = [*ORDER, "key_pos"]
 
 
@@ -38,82 +34,86 @@ def asof_join(
     place: Sequence[str] = PLACE,
     suffix: str = "_right",
     width: int = BUCKET_MS,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """All left rows, each with the chosen right row's columns or nulls.
 
     On equal distance the earlier right row counts. Right columns that clash get ``suffix``; keys, clock and
-    ``place`` columns of the right side are not repeated. ``place`` identifies a row within its key.
+    ``place`` columns of the right side are not repeated. ``place`` identifies a row within its key; ``on`` counts
+    in whole numbers. Rows with a null key or clock match nothing.
     """
     if strategy not in ("nearest", "backward", "forward"):
         raise ValueError(f"unknown strategy {strategy!r}")
     by = list(by)
-    cell = [*by, "_bucket"]
+    if not by:
+        raise ValueError("an as-of join needs at least one key column")
+    cell = [*[f"_by{i}" for i in range(len(by))], "_bucket"]
     values = [c for c in right.columns if c not in (*by, on, *place)]
-    bucket = (F.col(on) - F.pmod(on, F.lit(width))).alias("_bucket")
-
-    asked = _known(left, [*by, on]).groupBy(*by, bucket).agg(F.count("*").alias("_n"))
-    salts = F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")
-    # At most one row per hot_rows left rows, which bounds what is broadcast.
-    hot = F.broadcast(asked.filter(F.col("_n") > hot_rows).select(*cell, salts))
-
-    lookup = _lookup(_known(right, [*by, on]), asked, on, by, bucket, values, place)
-    lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_n")
-    rows = left.select("*", bucket).join(hot, cell, "left")
-    rows = rows.withColumn("_salt", salt_of(place, F.coalesce("_salts", F.lit(1)))).drop("_salts")
-    rows = rows.join(lookup, [*cell, "_salt"], "left")
-    found = rows.withColumn("_hit", _pick(F.col("_items"), F.col("_ats"), F.col(on), strategy))
-    if tolerance is not None:
-        close = F.abs(F.col("_hit.at") - F.col(on)) <= tolerance
-        found = found.withColumn("_hit", F.when(close, F.col("_hit")))
     names = {c: c + suffix if c in left.columns else c for c in values}
-    return found.select(*[F.col(c) for c in left.columns], *[F.col(f"_hit.row.{c}").alias(n) for c, n in names.items()])
-
 
-def _known(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.filter(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns)))
+    both = _tagged(left, right, on, by, values, place, width).repartition(*cell)
+    after_right = ["_is_left", "_place"]
+    reach = (Window.unboundedPreceding, Window.currentRow)
+    up = Window.partitionBy(*cell).orderBy("_at", *after_right).rowsBetween(*reach)
+    down = Window.partitionBy(*cell).orderBy(F.desc("_at"), *after_right).rowsBetween(*reach)
+    before, after = strategy != "forward", strategy != "backward"
+    nothing = F.lit(None).cast(both.schema["_item"].dataType)
+    last = F.last("_item", ignorenulls=True)
+    found = both.select("*", (last.over(up) if before else nothing).alias("_before"), (last.over(down) if after else nothing).alias("_after"))
+
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_edge{c}")) for c in cell))
+    joined = found.filter("_is_left").join(_borders(both, cell, before, after), same, "left")
+    known = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in (*cell[:-1], "_at")))
+    hit = _nearer(F.coalesce("_before", "_edge_before"), F.coalesce("_after", "_edge_after"), F.col("_at"))
+    hit = F.when(known, hit)
+    if tolerance is not None:
+        hit = F.when(F.abs(hit["at"] - F.col("_at")) <= tolerance, hit)
+    chosen = joined.select("_left", hit.alias("_hit"))
+    return chosen.select(*[F.col(f"_left.{c}").alias(c) for c in left.columns], *[F.col(f"_hit.row.{c}").alias(n) for c, n in names.items()])
 
 
-def _lookup(
-    right: DataFrame, asked: DataFrame, on: str, by: list[str], bucket: Column, values: list[str], place: Sequence[str]
+def _tagged(
+    left: DataFrame, right: DataFrame, on: str, by: list[str], values: list[str], place: Sequence[str], width: int
 ) -> DataFrame:
-    """Per asked bucket: its right rows as a sorted array, between the nearest rows of other buckets.
+    """Both sides in one table: keys, bucket, clock, place, and either the left row or the right item.
 
-    Both branches below use every column of ``cells`` under the same filters, so they share one shuffle and
-    the inputs are computed once for both.
+    Left rows without a clock are dealt over buckets by their place; nothing is found for them.
     """
-    cell = [*by, "_bucket"]
-    latest = right.groupBy(*by, on).agg(F.max_by(F.struct(*values), F.struct(*place)).alias("_row"))
-    item = F.struct(F.col(on).alias("at"), F.col("_row").alias("row")).alias("_item")
-    points = latest.select(*by, bucket, item).unionByName(asked, allowMissingColumns=True).filter("_bucket IS NOT NULL")
-    cells = points.groupBy(*cell).agg(F.sort_array(F.collect_list("_item")).alias("_items"), F.max("_n").alias("_n"))
-
-    ends = cells.select(
-        *cell, "_n", F.get("_items", F.lit(0)).alias("_head"), F.try_element_at("_items", F.lit(-1)).alias("_tail")
+    keys = [F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]
+    start = F.col(on) - F.pmod(F.col(on), F.lit(width))
+    where = F.struct(*[F.col(c) for c in place]).alias("_place")
+    lefts = left.select(
+        *keys, F.coalesce(start, F.xxhash64(*place)).alias("_bucket"), F.col(on).alias("_at"), where, F.struct(*[F.col(c) for c in left.columns]).alias("_left")
     )
-    earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*by).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    borders = ends.select(
-        *cell,
-        "_n",
-        F.last("_tail", ignorenulls=True).over(earlier).alias("_before"),
-        F.last("_head", ignorenulls=True).over(later).alias("_after"),
+    item = F.struct(F.col(on).alias("at"), F.struct(*[F.col(c) for c in values]).alias("row")).alias("_item")
+    rights = right.filter(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in (*by, on))))
+    rights = rights.select(*keys, start.alias("_bucket"), F.col(on).alias("_at"), where, item)
+    return lefts.withColumn("_is_left", F.lit(True)).unionByName(rights.withColumn("_is_left", F.lit(False)), allowMissingColumns=True)
+
+
+def _borders(both: DataFrame, cell: list[str], before: bool, after: bool) -> DataFrame:
+    """Per bucket, the last right row of earlier buckets and the first of later ones.
+
+    The whole row goes through the aggregates, so that this branch reads the very same shuffle as the windows.
+    """
+    whole = F.struct(*[F.col(c) for c in both.columns])
+    right = ~F.col("_is_left")
+    tail = F.max_by(whole, F.when(right, F.struct("_at", "_place")))["_item"]
+    head = F.max_by(whole, F.when(right, F.struct(-F.col("_at"), "_place")))["_item"]
+    ends = both.groupBy(*cell).agg(tail.alias("_tail"), head.alias("_head"))
+    up = Window.partitionBy(*cell[:-1]).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*cell[:-1]).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    nothing = F.lit(None).cast(both.schema["_item"].dataType)
+    return ends.select(
+        *[F.col(c).alias(f"_edge{c}") for c in cell],
+        (F.last("_tail", ignorenulls=True).over(up) if before else nothing).alias("_edge_before"),
+        (F.last("_head", ignorenulls=True).over(down) if after else nothing).alias("_edge_after"),
     )
-    joined = cells.filter("_n IS NOT NULL").drop("_n").join(borders, cell)
-    around = F.array_compact(F.concat(F.array("_before"), "_items", F.array("_after")))
-    return joined.select(*cell, "_n", around.alias("_items")).withColumn("_ats", F.col("_items.at"))
-
-
-def _pick(items: Column, ats: Column, at: Column, strategy: str) -> Column:
-    """The wanted element of a sorted array; ``get`` past either end gives null."""
-    upto = F.size(F.filter(ats, lambda x: x <= at))
-    before, after = F.get(items, upto - 1), F.get(items, upto)
-    if strategy == "backward":
-        return before
-    if strategy == "forward":
-        return F.get(items, F.size(F.filter(ats, lambda x: x < at)))
-    nearer = before["at"].isNotNull() & (after["at"].isNull() | (at - before["at"] <= after["at"] - at))
-    return F.when(nearer, before).otherwise(after)
+
+
+def _nearer(before: Column, after: Column, at: Column) -> Column:
+    """The one of two items that is closer; the earlier one if they are equally far."""
+    first = before["at"].isNotNull() & (after["at"].isNull() | (at - before["at"] <= after["at"] - at))
+    return F.when(first, before).otherwise(after)
 
 
 def telemetry_on_track(car: DataFrame, position: DataFrame, racing_number: int | None = None) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from slipstream.operators import feeds
-from slipstream.operators.asof import asof_join, telemetry_on_track
+from slipstream.operators.asof import BUCKET_MS, asof_join, telemetry_on_track
 from slipstream.plans.feed_queries import Query
 from slipstream.plans.lines import EVENTS_SQL, entries, template
 
@@ -19,7 +19,7 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return car, point
 
 
-def _joined(strategy: str, tolerance: int | None = None, width: int = 600_000):
+def _joined(strategy: str, tolerance: int | None = None, width: int = BUCKET_MS):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         car, point = _sides(spark, sf_dir)
         rows = asof_join(car, point, strategy=strategy, tolerance=tolerance, width=width)

@@ -40,8 +40,8 @@ def brute(left, right, strategy, tolerance):
 
 
 @pytest.mark.parametrize("strategy", ["nearest", "backward", "forward"])
-@pytest.mark.parametrize("width,hot,tolerance", [(1000, 10, None), (50, 5_000_000, 300), (100_000, 25, None)])
-def test_against_all_pairs(spark, strategy, width, hot, tolerance):
+@pytest.mark.parametrize("width,tolerance", [(1000, None), (50, 300), (100_000, None)])
+def test_against_all_pairs(spark, strategy, width, tolerance):
     left, right = make(1, 400, 20_000), make(2, 150, 12_000)
     got = asof_join(
         spark.createDataFrame(left, LEFT).repartition(3),
@@ -49,7 +49,6 @@ def test_against_all_pairs(spark, strategy, width, hot, tolerance):
         strategy=strategy,
         tolerance=tolerance,
         width=width,
-        hot_rows=hot,
     )
     assert got.columns[-2:] == ["x", "utc_right"]
     assert sorted(map(tuple, got.collect()), key=repr) == brute(left, right, strategy, tolerance)
@@ -65,3 +64,33 @@ def test_unknown_strategy(spark):
     empty = spark.createDataFrame([], RIGHT)
     with pytest.raises(ValueError, match="strategy"):
         asof_join(empty, empty, strategy="sideways")
+
+
+@pytest.mark.parametrize("strategy", ["nearest", "backward", "forward"])
+def test_one_bucket_with_most_rows(spark, strategy):
+    left, right = make(3, 300, 9000), make(4, 100, 9000)
+    left = [(*r[:6], 4200 + r[3] % 3 if r[3] % 4 else r[6], *r[7:]) for r in left]
+    got = asof_join(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), strategy=strategy, width=100)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(left, right, strategy, None)
+
+
+def test_rows_without_a_clock_match_nothing(spark):
+    left = [("a", 1, 0, i, 0, 0, None if i % 2 else 50 * i, 1, "u") for i in range(40)]
+    right = [("a", 1, 0, i, 0, 0, 10 * i, i, "r") for i in range(100)]
+    got = asof_join(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), width=20)
+    assert sorted((r.line_no, r.x) for r in got.collect()) == [(i, None if i % 2 else min(5 * i, 99)) for i in range(40)]
+
+
+def test_each_side_is_read_once(spark, tmp_path):
+    for name, schema, rows in (("l", LEFT, make(1, 50, 900)), ("r", RIGHT, make(2, 50, 900))):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name))
+    joined = asof_join(spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r")))
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 2 and "ReusedExchange" in plan
+
+
+def test_needs_a_key(spark):
+    empty = spark.createDataFrame([], RIGHT)
+    with pytest.raises(ValueError, match="key"):
+        asof_join(empty, empty, by=[])
