@@ -5,8 +5,9 @@ which it leaves all neighbours apart is the encoding of its bytes. So the last t
 unique, and the token that ends at one more byte begins at an open place: one from which the bytes read so far begin some
 token. That is a transducer: its state is the bytes from the first open place on, with the last token at each open place; on
 a byte it finds the token that ends there and fits the one before it, and emits the tokens that all open places agree on.
-States and transitions are made when an input first needs them and are then followed by one lookup a byte. Tokens come
-out after a lookahead of at most the longest token's bytes.
+States and transitions are made lazily: a transition that an input needs for the first time is only simulated, place by
+place; when it is needed again it is determinised, and from then on followed by one lookup. Tokens come out after a
+lookahead of at most the longest token's bytes.
 
 **Decoding.** A token's bytes are appended as they come; an incremental UTF-8 state machine turns them into text, holding
 back at most three bytes of an unfinished character.
@@ -17,20 +18,20 @@ from __future__ import annotations
 import base64
 import codecs
 import hashlib
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slipstream.llm.arrowtext import slices
-from slipstream.llm.subword import chunks, process_wide
+from slipstream.llm.subword import ChunkEncoder, process_wide
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: States and remembered pieces of a worker; beyond that they are made anew, so memory is bounded on any input.
-STATES, PIECES = 200_000, 400_000
+#: States, pieces and pairs of tokens that a worker remembers; beyond that they are made anew, so memory is bounded.
+STATES, PIECES, PAIRS = 200_000, 100_000, 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -45,7 +46,16 @@ class Merges:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.begun = {token[:k] for token in ranks for k in range(len(token))}
+        self.child: dict[int, int] = {}  # a trie of the tokens: node and byte to node
+        self.token_at = [-1]
+        for token, rank in ranks.items():
+            node = 0
+            for byte in token:
+                key = node << 8 | byte
+                node = self.child.setdefault(key, len(self.token_at))
+                if node == len(self.token_at):
+                    self.token_at.append(-1)
+            self.token_at[node] = rank
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.apart: dict[tuple[int, int], bool] = {}
 
@@ -71,9 +81,12 @@ class Merges:
         before the merge that is undone next; if the vocabulary has such a merge, the border does not hold.
         """
         key = (a, b)
-        if key not in self.apart:
-            self.apart[key] = self._leaves_apart(a, b)
-        return self.apart[key]
+        found = self.apart.get(key)
+        if found is None:
+            if len(self.apart) >= PAIRS:
+                self.apart.clear()
+            found = self.apart[key] = self._leaves_apart(a, b)
+        return found
 
     def _leaves_apart(self, a: int, b: int) -> bool:
         limit = 1 << 62
@@ -96,10 +109,10 @@ class Merges:
 
 
 class Transducer:
-    """Encodes one piece at a time. ``step`` maps ``(state, byte)`` to the tokens emitted and the next state.
+    """Encodes one piece at a time. ``step`` maps a state and a byte to the tokens emitted and the next state.
 
-    A state is the bytes after the last emitted token, that token (-1 at the beginning), and the open places with the last
-    token at each place of their encodings.
+    A state is the last emitted token (-1 at the beginning), the open places after it with their nodes in the trie of
+    tokens, and the last token at each place of their encodings.
     """
 
     def __init__(self, merges: Merges, most: int = STATES) -> None:
@@ -107,79 +120,99 @@ class Transducer:
         self._begin()
 
     def _begin(self) -> None:
-        self.states: list[tuple[bytes, int, tuple[int, ...]]] = []
-        self.number: dict[tuple[bytes, int, tuple[int, ...]], int] = {}
-        self.step: list[dict[int, tuple[tuple[int, ...], int]]] = []
+        self.states: list[tuple] = []
+        self.number: dict[tuple, int] = {}
+        self.step: dict[int, tuple[tuple[int, ...], int]] = {}
+        self.asked: set[int] = set()
         self.rest: dict[int, tuple[int, ...]] = {}
-        self.open: list[list[int]] = []  # of each state: places from which its bytes may go on to be a token
-        self._state((b"", -1, ()), [0])
+        self._state((-1, ((0, 0),), ()))
 
-    def _state(self, state: tuple[bytes, int, tuple[int, ...]], places: list[int]) -> int:
+    def _state(self, state: tuple) -> int:
         if state not in self.number:
             self.number[state] = len(self.states)
             self.states.append(state)
-            self.step.append({})
-            self.open.append(places)
         return self.number[state]
 
-    def _path(self, last: tuple[int, ...], place: int) -> list[int]:
-        found = []
+    def _read(self, byte: int, before: int, places: list[tuple[int, int]], last: list[int]) -> list[tuple[int, int]]:
+        """Reads one byte: adds the token that ends there to ``last`` and gives the places that stay open."""
+        child, token_at, chosen, after = self.merges.child, self.merges.token_at, -1, []
+        for place, node in places:
+            node = child.get(node << 8 | byte)
+            if node is None:
+                continue
+            after.append((place, node))
+            if chosen < 0 and (token := token_at[node]) >= 0:
+                previous = last[place - 1] if place else before
+                if previous < 0 or self.merges.leaves_apart(previous, token):
+                    chosen = token
+        if chosen < 0:
+            raise ValueError(f"no token ends at byte {byte}")
+        last.append(chosen)
+        after.append((len(last), 0))
+        return after
+
+    def _path(self, last: Sequence[int], place: int) -> list[int]:
+        found, bytes_of = [], self.merges.bytes_of
         while place:
-            found.append(last[place - 1])
-            place -= len(self.merges.bytes_of[last[place - 1]])
-        return found[::-1]
+            token = last[place - 1]
+            found.append(token)
+            place -= len(bytes_of[token])
+        found.reverse()
+        return found
+
+    def _simulated(self, state: int, rest: bytes) -> list[int]:
+        """The tokens of what is held in ``state`` and the ``rest`` of a piece."""
+        before, places, last = self.states[state]
+        last = list(last)
+        for byte in rest:
+            places = self._read(byte, before, places, last)
+        return self._path(last, len(last))
 
-    def _follow(self, at: int, byte: int) -> tuple[tuple[int, ...], int]:
+    def _follow(self, state: int, byte: int) -> tuple[tuple[int, ...], int]:
         """Determinises one transition."""
-        merges, (held, before, last) = self.merges, self.states[at]
-        longer = held + bytes((byte,))
-        for place in self.open[at]:
-            token = merges.ranks.get(longer[place:])
-            if token is None:
-                continue
-            previous = last[place - 1] if place else before
-            if previous < 0 or merges.leaves_apart(previous, token):
-                break
-        else:
-            raise ValueError(f"no token ends at byte {byte}")
-        last += (token,)
-        places = [k for k in self.open[at] if longer[k:] in merges.begun]
-        places.append(len(longer))
-        paths = [self._path(last, k) for k in places]
+        before, places, last = self.states[state]
+        last = list(last)
+        places = self._read(byte, before, places, last)
+        paths = [self._path(last, place) for place, _ in places]
         same = 0
         while all(len(p) > same and p[same] == paths[0][same] for p in paths):
             same += 1
         out = tuple(paths[0][:same])
-        done = sum(len(merges.bytes_of[t]) for t in out)
-        needed = set()
+        size = self.merges.bytes_of
+        done = sum(len(size[t]) for t in out)
+        kept = [-1] * len(last)
         for path in paths:
             place = done
-            for t in path[same:]:
-                place += len(merges.bytes_of[t])
-                needed.add(place - 1)
-        kept = tuple(t if k in needed else -1 for k, t in enumerate(last))[done:]
-        return out, self._state((longer[done:], out[-1] if out else before, kept), [k - done for k in places])
+            for token in path[same:]:
+                place += len(size[token])
+                kept[place - 1] = token
+        after = tuple((place - done, node) for place, node in places)
+        return out, self._state((out[-1] if out else before, after, tuple(kept[done:])))
 
     def __call__(self, piece: bytes) -> list[int]:
-        if len(self.states) > self.most:
+        if len(self.states) > self.most or len(self.asked) > 8 * self.most:
             self._begin()
         out, at, step = [], 0, self.step
-        for byte in piece:
-            found = step[at].get(byte)
+        for k, byte in enumerate(piece):
+            key = at << 8 | byte
+            found = step.get(key)
             if found is None:
-                found = step[at][byte] = self._follow(at, byte)
+                if key not in self.asked:
+                    self.asked.add(key)
+                    return out + self._simulated(at, piece[k:])
+                found = step[key] = self._follow(at, byte)
             emitted, at = found
             if emitted:
                 out += emitted
         if at not in self.rest:
-            held, _, last = self.states[at]
-            self.rest[at] = tuple(self._path(last, len(held)))
+            last = self.states[at][2]
+            self.rest[at] = tuple(self._path(last, len(last)))
         out += self.rest[at]
         return out
 
 
 class Encoder:
-    """Encodes whole texts: matches of a pattern, each by the transducer. Finished chunks of text are remembered."""
+    """Encodes texts: the matches of a pattern, each by the transducer. The latest pieces are remembered."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = PIECES) -> None:
         self.merges = Merges(ranks)
@@ -187,26 +220,16 @@ class Encoder:
         self.matches = regex.compile(pattern).findall
         self.most, self.known = most, {}
 
-    def _chunk(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(self.transducer(m.encode()) for m in self.matches(text)))
-
     def __call__(self, text: str) -> list[int]:
-        """Ids of ``text``. It is cut before each space that precedes something else, where the pattern begins a match."""
-        if not text:
-            return []
-        head, *rest = chunks(text)
-        found = list(self._chunk(head))
-        try:
-            found.extend(chain.from_iterable(map(self.known.__getitem__, rest)))
-            return found
-        except KeyError:
-            del found[len(self._chunk(head)) :]
-        needed = set(rest)
-        if len(self.known) + len(needed.difference(self.known)) > self.most:
-            self.known = {w: self.known[w] for w in needed if w in self.known}
-        for word in needed.difference(self.known):
-            self.known[word] = self._chunk(f" {word}")
-        found.extend(chain.from_iterable(map(self.known.__getitem__, rest)))
+        """Ids of ``text``."""
+        found, known = [], self.known
+        for piece in self.matches(text):
+            ids = known.get(piece)
+            if ids is None:
+                if len(known) >= self.most:
+                    known.clear()
+                ids = known[piece] = self.transducer(piece.encode())
+            found += ids
         return found
 
 
@@ -220,8 +243,16 @@ def decode_stream(ids: Iterable[int], bytes_of: dict[int, bytes]) -> Iterator[st
         yield text
 
 
-def encoder(path: str, pattern: str) -> Encoder:
-    return process_wide(("transducer", path, pattern), lambda: Encoder(read_ranks(path), pattern))
+def encoder(path: str, pattern: str) -> ChunkEncoder:
+    """An encoder of whole texts that cuts them where the pattern begins a match, and remembers the chunks."""
+
+    def make() -> ChunkEncoder:
+        encode = Encoder(read_ranks(path), pattern)
+        leads = np.zeros(1 + max(encode.merges.bytes_of), bool)
+        leads[[rank for rank, token in encode.merges.bytes_of.items() if token.startswith(b" ")]] = True
+        return ChunkEncoder(lambda texts: [encode(t) for t in texts], leads)
+
+    return process_wide(("transducer", path, pattern), make)
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -231,7 +262,9 @@ def encoded(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", te
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, pattern)
         for batch in slices(batches, 1):
-            ids = pa.array([encode(t or "") for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))
+            raw = [encode(t or "") for t in batch.column(1).to_pylist()]
+            ends = np.cumsum([0, *[len(r) // 4 for r in raw]]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<u4").astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
 
     return own.mapInArrow(work, "doc_id long, ids array<int>")
@@ -248,7 +281,7 @@ def decoded(rows: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "ids"
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = process_wide(("ranks", path), lambda: read_ranks(path))
         bytes_of = {rank: token for token, rank in ranks.items()}
-        decimal = {rank: str(rank) for rank in bytes_of}
+        decimal = [str(rank) for rank in range(1 + max(bytes_of))]
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
