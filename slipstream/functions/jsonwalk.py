@@ -24,8 +24,8 @@ def is_list(text: Column) -> Column:
 
 
 def is_text(json: Column, field: str) -> Column:
-    """Whether ``field`` holds a JSON string. ``json`` must come from a map value, which has no spaces."""
-    return F.contains(json, F.lit(f'"{field}":"'))
+    """Whether ``field`` of the object itself holds a JSON string: found through a list, a value keeps its quotes."""
+    return F.startswith(F.get_json_object(F.concat(F.lit("["), json, F.lit("]")), f"$[*].{field}"), F.lit('"'))
 
 
 def parsed(df: DataFrame, schema: str, source: str = "payload", out: str = "p") -> DataFrame:

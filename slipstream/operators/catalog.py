@@ -4,14 +4,10 @@ Lookups take a table of queries, so any number of them is one job. A query that
 is a row with a status rather than an error.
 """
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slipstream.functions import parse
-from slipstream.functions.jsonwalk import ORDER
-from slipstream.operators.skew import spread_join
 from slipstream.sources.index import session_name
 
 FIRST_SEASON = 2018
@@ -56,7 +52,8 @@ def search_meetings(queries: DataFrame, meetings: DataFrame, sessions: DataFrame
         "year", "meeting_pos", "meeting_key", "number", F.col("name").alias("meeting"), "location", "folder",
         F.array("name", "location", "circuit_short_name", "country_name", "folder").alias("_fields"),
     )
-    asked = queries.withColumn("_needle", parse.folded(F.col("text")))
+    # Every different text is looked up once, and a meeting's fields are the join's small side, whatever many queries ask.
+    asked = queries.select("year", "text", parse.folded(F.col("text")).alias("_needle")).distinct()
     hits = asked.join(places, "year").filter(
         F.exists("_fields", lambda f: parse.contains_folded(f, F.col("_needle")))
     )
@@ -64,7 +61,7 @@ def search_meetings(queries: DataFrame, meetings: DataFrame, sessions: DataFrame
     chosen = F.struct("meeting_key", "meeting", "folder")
     race = ~F.contains(F.lower("meeting"), F.lit("testing"))
     label = F.concat("meeting", F.lit(" ("), "location", F.lit(")"))
-    found = hits.groupBy("query_id").agg(
+    found = hits.groupBy("year", "text").agg(
         F.count("*").alias("_hits"),
         F.count_if(race).alias("_races"),
         F.min_by(chosen, place).alias("_any"),
@@ -74,7 +71,7 @@ def search_meetings(queries: DataFrame, meetings: DataFrame, sessions: DataFrame
     one = F.when(F.col("_hits") == 1, F.col("_any")).when(F.col("_races") == 1, F.col("_race"))
     status = F.when(F.col("_hits").isNull(), "none").when(one.isNotNull(), "found").otherwise("ambiguous")
     return (
-        queries.join(found, "query_id", "left")
+        queries.join(found, ["year", "text"], "left")
         .withColumn("_one", one)
         .select(*queries.columns, status.alias("status"), "_one.*", F.coalesce("candidates", F.lit("")).alias("candidates"))
     )
@@ -92,11 +89,17 @@ def search_sessions(queries: DataFrame, sessions: DataFrame, compat: bool = Fals
     An exact name beats a partial one, then the earlier start counts. ``compat`` takes the earliest session
     whose name contains the text.
     """
+    return _found_sessions(queries, sessions, compat).drop("_path")
+
+
+def _found_sessions(queries: DataFrame, sessions: DataFrame, compat: bool) -> DataFrame:
     asked = queries.withColumn("_needle", F.lower("text"))
-    named = sessions.select("year", "meeting_key", "session_pos", "start_date", "session_key", "name", "session_folder")
+    named = sessions.select(
+        "year", "meeting_key", "session_pos", "start_date", "session_key", "name", "session_folder", F.col("path").alias("_path")
+    )
     hits = asked.join(named, ["year", "meeting_key"]).filter(parse.contains_folded(F.col("name"), F.col("_needle")))
     partial = F.lit(0) if compat else F.when(F.lower("name") == F.col("_needle"), 0).otherwise(1)
-    best = F.min_by(F.struct("session_key", "name", "session_folder", "start_date"), F.struct(partial, "start_date", "session_pos"))
+    best = F.min_by(F.struct("session_key", "name", "session_folder", "start_date", "_path"), F.struct(partial, "start_date", "session_pos"))
     found = hits.groupBy("query_id").agg(best.alias("_s"))
     return queries.join(found, "query_id", "left").select(
         *queries.columns, F.when(F.col("_s").isNull(), "none").otherwise("found").alias("status"), "_s.*"
@@ -141,17 +144,54 @@ def ordered_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.orderBy(*MEETING[:2], "start_date", "session_pos")
 
 
-def with_session(rows: DataFrame, sessions: DataFrame, meetings: DataFrame, place: Sequence[str] = ORDER) -> DataFrame:
+def resolve_sessions(queries: DataFrame, meetings: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Resolve ``query_id, year, meeting, session`` texts to ``session_id``, with a ``status`` per query.
+
+    The meeting is searched as by :func:`search_meetings`; any accepted spelling of a session name counts, other texts as
+    they are. ``status`` is found, no meeting, ambiguous meeting, no session, or no files for a session without a path.
+    """
+    places = search_meetings(queries.select("query_id", "year", F.col("meeting").alias("text")), meetings, sessions)
+    placed = places.select("query_id", F.col("status").alias("_meeting"), "meeting_key")
+    asked = queries.join(placed, "query_id").withColumn("text", F.coalesce(session_name(F.col("session")), F.trim("session")))
+    found = _found_sessions(asked.select("query_id", "year", "meeting_key", "text"), sessions, compat=False)
+    status = (
+        F.when(F.col("_meeting") == "none", "no meeting")
+        .when(F.col("_meeting") == "ambiguous", "ambiguous meeting")
+        .when(F.col("status") == "none", "no session")
+        .when(F.col("_path").isNull(), "no files")
+        .otherwise("found")
+    )
+    rows = asked.select("query_id", "_meeting").join(found.select("query_id", "status", "_path"), "query_id")
+    return queries.join(rows.select("query_id", status.alias("status"), F.rtrim("_path", F.lit("/")).alias("session_id")), "query_id", "left")
+
+
+def feed_lookup(queries: DataFrame, meetings: DataFrame, sessions: DataFrame, rows: DataFrame) -> DataFrame:
+    """From names to a feed: the feed's ``rows`` of each query's session, beside the query and its ``lookup_status``.
+
+    A query without rows is one row with nulls, with status ``no rows`` if its session was found. Columns of the feed
+    that clash with the query's get ``_row``. Queries are the small side; a busy session's rows are split by the adaptive
+    join.
+    """
+    taken = {*queries.columns, "lookup_status"}
+    named = {c: f"{c}_row" if c in taken else c for c in rows.columns if c != "session_id"}
+    asked = resolve_sessions(queries, meetings, sessions).withColumnRenamed("status", "lookup_status")
+    found = asked.join(rows.withColumnsRenamed(named).withColumn("_there", F.lit(True)), "session_id", "left")
+    status = F.when((F.col("lookup_status") == "found") & F.col("_there").isNull(), "no rows").otherwise(F.col("lookup_status"))
+    return found.withColumn("lookup_status", status).select(*queries.columns, "lookup_status", "session_id", *named.values())
+
+
+def with_session(rows: DataFrame, sessions: DataFrame, meetings: DataFrame) -> DataFrame:
     """Feed rows with the names of their session and meeting, matched by the session's path.
 
-    ``place`` tells the rows of a session apart, so that a busy session is spread over tasks.
+    A plain join: the catalogue has one row per session, so it is broadcast where it is small, and elsewhere a busy
+    session is split by the adaptive join.
     """
     named = sessions.filter("path IS NOT NULL").select(
         F.rtrim("path", F.lit("/")).alias("session_id"), "year", "meeting_pos", F.col("name").alias("session_name"), "session_key"
     )
     names = meetings.select("year", "meeting_pos", F.col("name").alias("meeting_name"), "country_name")
     places = named.join(names, ["year", "meeting_pos"], "left").drop("meeting_pos")
-    return spread_join(rows, places, ["session_id"], place, "left")
+    return rows.join(places, "session_id", "left")
 
 
 def messages_per_session(messages: DataFrame, sessions: DataFrame) -> DataFrame:

@@ -276,7 +276,7 @@ def timing_stats(raw: DataFrame) -> DataFrame:
 
     def kinds(name: str, m: str) -> Column:
         return F.transform(
-            F.coalesce(F.map_entries(m), F.array().cast("array<struct<key:string,value:string>>")),
+            F.coalesce(ordered_entries(F.col(m)), F.array().cast("array<struct<key:string,value:string>>")),
             lambda e: F.struct(F.lit(name).alias("kind"), e["key"].alias("item"), e["value"].alias("value")),
         )
 
@@ -351,12 +351,11 @@ def lap_series(raw: DataFrame, compat: bool = False) -> DataFrame:
 def lap_count(raw: DataFrame) -> DataFrame:
     """One row per entry; ``total_laps`` is kept beside the lap for the session totals."""
     rows = raw.withColumn("c", F.from_json("payload", _texts("CurrentLap", "TotalLaps")))
-    total = F.when(F.get_json_object("payload", "$.TotalLaps").isNotNull(), F.col("c.TotalLaps"))
-    quoted = F.col("payload").rlike(r'"TotalLaps"\s*:\s*"')
+    quoted = F.coalesce(is_text(F.col("payload"), "TotalLaps"), F.lit(False))
     return rows.select(
         *ENTRY,
         F.col("c.CurrentLap").try_cast(BYTE).alias("lap"),
-        F.when(~quoted, total.try_cast(WORD)).alias("total_laps"),
+        F.when(~quoted, F.col("c.TotalLaps").try_cast(WORD)).alias("total_laps"),
     )
 
 
@@ -437,11 +436,12 @@ def pit_stop(raw: DataFrame) -> DataFrame:
     return ordered.fill_forward(rows, ["session_id"], F.col("lap"), "lap", order=["block_no", "line_no", "entry_no"])
 
 
-def pit_stop_series(raw: DataFrame) -> DataFrame:
-    """The first stop of each car in an update."""
+def pit_stop_series(raw: DataFrame, compat: bool = False) -> DataFrame:
+    """All stops of each car in an update. ``compat`` keeps only the first of a car."""
     cars = explode_map(parsed(raw, "PitTimes MAP<STRING,STRING>").select(*ENTRY, "p.PitTimes"), "PitTimes")
     stops = explode_items(cars.withColumnRenamed("value", "stops"), "stops", "_p1", "_k1", "value")
-    stops = _child(stops.filter((F.col("_p1") == 0) & is_object(F.col("value"))), "Timestamp", "PitStop")
+    stops = stops.filter(F.col("_p1") == 0) if compat else stops
+    stops = _child(stops.filter(is_object(F.col("value"))), "Timestamp", "PitStop")
     stops = stops.withColumn("s", F.from_json("c.PitStop", _texts("PitStopTime", "PitLaneTime", "Lap")))
     return stops.select(
         *LINEAGE,
@@ -565,13 +565,16 @@ def weather(raw: DataFrame) -> DataFrame:
 
 
 def weather_series(raw: DataFrame, compat: bool = False) -> DataFrame:
-    """Readings of the series. ``compat`` keeps only the first reading of a list."""
+    """All readings of the series. ``compat`` keeps only the first reading of a list, also of one inside a child."""
     rows = parsed(raw, "Series STRING").select(*ENTRY, "p.Series").withColumn("listed", is_list(F.col("Series")))
     rows = explode_items(rows, "Series", "key_pos", "key", "value").filter("value IS NOT NULL")
     if compat:
         rows = rows.filter(~F.col("listed") | (F.col("key_pos") == 0))
-    first = F.get(F.from_json("value", "ARRAY<STRING>"), F.lit(0))
-    rows = rows.withColumn("value", F.when(is_list(F.col("value")), first).otherwise(F.col("value")))
+    inner = F.from_json("value", "ARRAY<STRING>")
+    inner = F.slice(inner, 1, 1) if compat else inner
+    # outer: an empty list is a reading without values, as the list of one null is
+    each = F.explode_outer(F.when(is_list(F.col("value")), inner).otherwise(F.array("value"))).alias("value")
+    rows = rows.select(*[c for c in rows.columns if c != "value"], each)
     rows = rows.withColumn("c", F.from_json("value", f"Timestamp STRING, Weather STRUCT<{_colon(WEATHER)}>"))
     return rows.select(
         *LINEAGE,
@@ -605,7 +608,8 @@ def driver_race_rows(raw: DataFrame) -> DataFrame:
     rows = _child(_drivers(raw), *keys).withColumn("gap", parse.race_gap(_when_text("value", "Gap", "c.Gap")))
 
     def code(field: str, names: dict[int, str]) -> Column:
-        return parse.code_name(F.when(~is_text(F.col("value"), field), F.col(f"c.{field}")), names)
+        quoted = F.coalesce(is_text(F.col("value"), field), F.lit(False))
+        return parse.code_name(F.when(~quoted, F.col(f"c.{field}")), names)
 
     return rows.select(
         *LINEAGE,

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slipstream.functions.jsonwalk import ORDER
-from slipstream.operators.skew import spread_join
 
 SPAN_LINES = 65_536
 
@@ -67,9 +66,12 @@ def first_entry(raw: DataFrame) -> DataFrame:
 
 
 def after_first_entry(rows: DataFrame, raw: DataFrame) -> DataFrame:
-    """Those of ``rows`` that come from later raw entries than the first of their session."""
+    """Those of ``rows`` that come from later raw entries than the first of their session.
+
+    The first entry is told by its line number, which is that of the file and the same in every scan.
+    """
     firsts = raw.groupBy("session_id").agg(F.min(F.struct(*ORDER)).alias("_first"))
-    later = spread_join(rows, firsts, ["session_id"], ORDER).filter(F.struct(*ORDER) > F.col("_first"))
+    later = rows.join(firsts, "session_id").filter(F.struct(*ORDER) > F.col("_first"))
     return later.select(*rows.columns)
 
 

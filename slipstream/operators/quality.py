@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from slipstream.functions import parse
 from slipstream.functions.jsonwalk import explode_object_items, parsed
+from slipstream.sources import archive
 from slipstream.sources.index import SESSION_NAMES, session_name
 
 # Vocabularies of the feeds.
@@ -41,6 +42,12 @@ def count_breaches(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return totals.select("session_id", "rows", F.explode(pairs).alias("r")).select("session_id", "r.rule", "rows", "r.breaches")
 
 
+def line_report(lines: DataFrame, compressed: bool = False) -> DataFrame:
+    """Lines of a stream file that cannot be read: no payload ``mark``, no ``clock``, a broken ``blob`` or broken ``json``."""
+    rows = archive.judged_lines(lines, compressed)
+    return count_breaches(rows, {fault: F.col("fault").eqNullSafe(F.lit(fault)) for fault in archive.FAULTS})
+
+
 def race_control_report(docs: DataFrame) -> DataFrame:
     rows = parsed(docs.select("session_id", "doc"), "Messages STRING", source="doc").select("session_id", "p.Messages")
     rows = explode_object_items(rows, "Messages", "_p", "_k", "value")

@@ -249,17 +249,21 @@ QUERIES["missing_feeds"] = Query(
 # Feed rows with their session and meeting
 
 
-def _rows_with_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each order as a feed row of its nation's month, found again through the session's path."""
+def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order as a feed row of its nation's month."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = rows.withColumn("mi", F.year("o_orderdate") * 12 + F.month("o_orderdate"))
     rows = rows.withColumn("name", F.expr(f"element_at({NAMES}, mi % 9 + 1)"))
-    rows = rows.select(F.rtrim(F.expr(PATH), F.lit("/")).alias("session_id"), F.col("o_orderkey").alias("line_no"), F.col("o_orderstatus").alias("status"))
+    return rows.select(F.rtrim(F.expr(PATH), F.lit("/")).alias("session_id"), F.col("o_orderkey").alias("line_no"), F.col("o_orderstatus").alias("order_status"))
+
+
+def _rows_with_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order as a feed row, found again through the session's path."""
     meetings, sessions = _catalogue(spark, sf_dir)
-    return catalog.with_session(rows, sessions, meetings, place=["line_no"])
+    return catalog.with_session(_order_rows(spark, sf_dir).withColumnRenamed("order_status", "status"), sessions, meetings)
 
 
 QUERIES["rows_with_session"] = Query(
@@ -272,6 +276,46 @@ QUERIES["rows_with_session"] = Query(
         FROM x LEFT JOIN s ON s.path = x.session_id || '/' LEFT JOIN m ON m."year" = s."year" AND m.meeting_key = s.meeting_key""",
 )
 
+
+
+def _feed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Asks each meeting, by its country, for some spelled sessions; the feed's rows are the orders of a month."""
+    meetings, sessions = _catalogue(spark, sf_dir)
+    texts = F.explode(F.array(*map(F.lit, ["day 2", " SPRINT qualifying", "Race", "Nothing"]))).alias("session")
+    asked = meetings.select("year", F.col("country_name").alias("meeting"), texts)
+    nowhere = meetings.select("year", F.lit("Nowhere").alias("meeting"), F.lit("Race").alias("session")).distinct()
+    asked = asked.unionByName(nowhere).select(F.concat_ws("-", "year", "meeting", "session").alias("query_id"), "*")
+    return catalog.feed_lookup(asked, meetings, sessions, _order_rows(spark, sf_dir))
+
+
+QUERIES["feed_lookup"] = Query(
+    _feed_lookup,
+    f"""WITH {CATALOGUE_SQL}, o AS (SELECT *, year(o_orderdate) * 12 + month(o_orderdate) AS mi FROM orders JOIN customer ON o_custkey = c_custkey
+          JOIN nation ON c_nationkey = n_nationkey),
+        x AS (SELECT (2018 + n_regionkey) || '/' || n_name || '_Grand_Prix/' || mi || '_' ||
+                replace(trim(({NAMES_SQL})[(mi % 9 + 1)::BIGINT]), ' ', '_') AS session_id, o_orderkey AS line_no, o_orderstatus AS status FROM o),
+        q AS (SELECT "year", country_name AS meeting, t AS session FROM m, (VALUES ('day 2'), (' SPRINT qualifying'), ('Race'), ('Nothing')) AS v(t)
+              UNION SELECT "year", 'Nowhere', 'Race' FROM m),
+        hits AS (SELECT q.*, m.meeting_key, number, meeting_pos, m.name NOT ILIKE '%testing%' AS race FROM q JOIN m USING ("year") JOIN w USING ("year", meeting_key)
+             WHERE contains(lower(concat_ws(chr(1), m.name, m.location, m.circuit_short_name, m.country_name, w.folder)), lower(trim(q.meeting)))),
+        n AS (SELECT "year", meeting, session, count(*) AS hits, count(*) FILTER (race) AS races,
+                arg_min(meeting_key, (number, meeting_pos)) AS any_key, arg_min(meeting_key, (number, meeting_pos)) FILTER (race) AS race_key
+              FROM hits GROUP BY ALL),
+        k AS (SELECT q.*, n.hits, CASE WHEN hits = 1 THEN any_key WHEN races = 1 THEN race_key END AS meeting_key,
+                CASE lower(trim(q.session)) WHEN 'day 2' THEN 'Practice 2' WHEN 'sprint qualifying' THEN 'Sprint Shootout' ELSE q.session END AS wanted
+              FROM q LEFT JOIN n USING ("year", meeting, session)),
+        f AS (SELECT k."year", k.meeting, k.session, s.path FROM k JOIN s USING ("year", meeting_key) WHERE contains(lower(s.name), lower(k.wanted))
+              QUALIFY row_number() OVER (PARTITION BY k."year", k.meeting, k.session
+                ORDER BY CASE WHEN lower(s.name) = lower(k.wanted) THEN 0 ELSE 1 END, s.start_date) = 1),
+        r AS (SELECT k.*, f.path, CASE WHEN k.hits IS NULL THEN 'no meeting' WHEN k.meeting_key IS NULL THEN 'ambiguous meeting'
+                WHEN f."year" IS NULL THEN 'no session' WHEN f.path IS NULL THEN 'no files' ELSE 'found' END AS status
+              FROM k LEFT JOIN f USING ("year", meeting, session))
+        SELECT r."year" || '-' || r.meeting || '-' || r.session AS query_id, r."year", r.meeting, r.session,
+          CASE WHEN r.status = 'found' AND x.line_no IS NULL THEN 'no rows' ELSE r.status END AS lookup_status,
+          rtrim(r.path, '/') AS session_id, x.line_no, x.status AS order_status
+        FROM r LEFT JOIN x ON r.status = 'found' AND x.session_id = rtrim(r.path, '/')""",
+)
+
 QUERIES["quality_ranges"] = Query(
     lambda spark, sf_dir: quality.range_report(feeds.car_data(entries(spark, sf_dir, CAR_PAYLOAD)), {"speed": (0, 50), "gear": (0, 7), "drs": (2, 255)}),
     f"WITH {EVENTS_SQL} "

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.operators import catalog, feeds
+from slipstream.operators import catalog, feeds, quality
 from slipstream.plans.lines import EVENTS_SQL, compressed_lines, entries, stream_lines, template
 from slipstream.sources import archive
 
@@ -81,6 +81,47 @@ QUERIES["bad_lines"] = Query(
     ELSE strftime(ts, '%H:%M:%S.%g') || ' no payload here' END AS value FROM e WHERE et IN ('error', 'signup')""",
 )
 
+# Payloads, documents and blobs that are cut off for some events.
+
+
+def _cut_off(text: str) -> str:
+    return f"CASE WHEN k % 7 = 3 THEN left({text}, length({text}) - 1) ELSE {text} END"
+
+
+def _bad_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive.line_faults(stream_lines(spark, sf_dir, _cut_off(RAW_PAYLOAD))).select("session_id", "line_no", "fault")
+
+
+def _bad_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = compressed_lines(spark, sf_dir, f"concat('{{\"Entries\":[', {RAW_PAYLOAD}, ']}}')")
+    lines = lines.withColumn("value", F.when(F.col("line_no") % 7 == 3, F.concat(F.substring("value", 1, 33), F.lit('"'))).otherwise(F.col("value")))
+    return archive.line_faults(lines, compressed=True).select("session_id", "line_no", "fault")
+
+
+def _bad_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = stream_lines(spark, sf_dir, _cut_off(RAW_PAYLOAD), "''").select(F.concat_ws("/", "session_id", "line_no").alias("session_id"), F.col("value").alias("doc"))
+    return archive.document_faults(docs)
+
+
+def _drop_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive.decode_lines(stream_lines(spark, sf_dir, _cut_off(RAW_PAYLOAD)), on_bad="drop").drop("block_no")
+
+
+def _quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.line_report(stream_lines(spark, sf_dir, _cut_off(RAW_PAYLOAD)))
+
+
+QUERIES["bad_payloads"] = Query(_bad_payloads, f"WITH {EVENTS_SQL} SELECT session_id, line_no, 'json' AS fault FROM e WHERE k % 7 = 3")
+QUERIES["bad_blobs"] = Query(_bad_blobs, f"WITH {EVENTS_SQL} SELECT session_id, line_no, 'blob' AS fault FROM e WHERE line_no % 7 = 3")
+QUERIES["bad_documents"] = Query(_bad_documents, f"WITH {EVENTS_SQL} SELECT session_id || '/' || line_no AS session_id, 'json' AS fault FROM e WHERE k % 7 = 3")
+QUERIES["sound_entries"] = Query(_drop_broken, f"WITH {EVENTS_SQL} " + RAW_SQL.format(entry_no=0, k="k") + " WHERE k % 7 <> 3")
+QUERIES["quality_lines"] = Query(
+    _quality_lines,
+    f"""WITH {EVENTS_SQL} SELECT session_id, rule, "rows", breaches FROM (
+      SELECT session_id, count(*) AS "rows", 0::BIGINT AS mark, 0::BIGINT AS clock, 0::BIGINT AS blob, count(*) FILTER (k % 7 = 3) AS json
+      FROM e GROUP BY session_id) UNPIVOT (breaches FOR rule IN (mark, clock, blob, json))""",
+)
+
 # Telemetry
 
 # A share of the lines has odd shapes: numbers as text, a list for channels, cars that are no objects.
@@ -282,14 +323,18 @@ QUERIES["pit_stop_fill"] = _feed(
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lap FROM e""",
 )
 STOP = '{"Timestamp":"${utc6}7Z","PitStop":{"RacingNumber":"${car}","PitStopTime":"${v}","PitLaneTime":"${k}","Lap":"${k % 60}"}}'
+STOPS_SQL = """SELECT session_id, line_no, timestamp_ms, ts AS utc, car::SMALLINT AS racing_number, v AS pit_stop_time,
+         k::DOUBLE AS pit_lane_time, (k % 60)::SMALLINT AS lap FROM e"""
 LATE_STOP = '{"Timestamp":"2020-01-01T00:00:00Z","PitStop":{"Lap":"1"}}'
+STOPS_PAYLOAD = f"""CASE WHEN line_no % 2 = 0 THEN {template('{"PitTimes":{"${car}":[' + STOP + ',' + LATE_STOP + '],"55":[],"56":null}}')}
+        ELSE {template('{"PitTimes":{"${car}":{"4":' + STOP + ',"3":' + LATE_STOP + '},"57":{"0":null}}}')} END"""
 QUERIES["pit_stop_series"] = _feed(
     feeds.pit_stop_series,
-    f"""CASE WHEN line_no % 2 = 0 THEN {template('{"PitTimes":{"${car}":[' + STOP + ',' + LATE_STOP + '],"55":[],"56":null}}')}
-        ELSE {template('{"PitTimes":{"${car}":{"4":' + STOP + ',"3":' + LATE_STOP + '},"57":{"0":null}}}')} END""",
-    """SELECT session_id, line_no, timestamp_ms, ts AS utc, car::SMALLINT AS racing_number, v AS pit_stop_time,
-         k::DOUBLE AS pit_lane_time, (k % 60)::SMALLINT AS lap FROM e""",
+    STOPS_PAYLOAD,
+    STOPS_SQL
+    + """ UNION ALL SELECT session_id, line_no, timestamp_ms, TIMESTAMP '2020-01-01', car::SMALLINT, NULL, NULL, 1::SMALLINT FROM e""",
 )
+QUERIES["pit_stop_series_compat"] = _feed(feeds.pit_stop_series, STOPS_PAYLOAD, STOPS_SQL, compat=True)
 
 PIT_INSERT = '"${car}":{"RacingNumber":"${car}","Duration":"${v}","Lap":"${k % 60}"}'
 PIT_NEXT = '"n":{"RacingNumber":"${car % 20 + 1}","Duration":"${v}","Lap":"${k % 60}"}'
@@ -396,7 +441,7 @@ QUERIES["weather_series"] = _feed(
     SERIES_PAYLOAD,
     SERIES_SQL
     + """ UNION ALL SELECT session_id, line_no, timestamp_ms, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
-        FROM e WHERE k % 3 = 0""",
+        FROM e WHERE k % 3 <> 1""",
 )
 QUERIES["weather_series_compat"] = _feed(feeds.weather_series, SERIES_PAYLOAD, SERIES_SQL, compat=True)
 

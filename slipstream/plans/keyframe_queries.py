@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from slipstream.operators import keyframes as kf
 from slipstream.operators import quality
@@ -18,19 +19,24 @@ from slipstream.plans.feed_queries import (
     READING_SQL,
     Query,
 )
-from slipstream.plans.lines import LATEST_SQL, STATES_SQL, car_documents, session_documents, template
+from slipstream.plans.lines import LATEST_SQL, ROUNDS_SQL, STATES_SQL, car_documents, deflate_raw, session_documents, template
 from slipstream.sources import archive
 
 QUERIES: dict[str, Query] = {}
 
 
 def _cars(
-    name: str, flatten: Callable[[DataFrame], DataFrame], child: str, before: str, after: str, sql: str
+    name: str, flatten: Callable[[DataFrame], DataFrame], child: str, before: str, after: str, sql: str, every: bool = False
 ) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return flatten(archive.decode_documents(car_documents(spark, sf_dir, child, before, after)))
+        return flatten(archive.decode_documents(car_documents(spark, sf_dir, child, before, after, every)))
 
-    QUERIES[name] = Query(run, f"WITH {STATES_SQL} {sql}")
+    QUERIES[name] = Query(run, f"WITH {ROUNDS_SQL if every else STATES_SQL} {sql}")
+
+
+def _all(name: str, flatten: Callable[[DataFrame], DataFrame], child: str, before: str, after: str, sql: str) -> None:
+    """A keyframe that lists everything that happened, from every event."""
+    _cars(name, flatten, child, before, after, sql, every=True)
 
 
 def _one(name: str, flatten: Callable[[DataFrame], DataFrame], document: str, sql: str) -> None:
@@ -42,20 +48,31 @@ def _one(name: str, flatten: Callable[[DataFrame], DataFrame], document: str, sq
 
 # Telemetry
 
-_cars(
+CAR_STATE = template(
+    '{"Utc":"${utc6}Z","Cars":{"${car}":{"Channels":{"0":${k * 100},"2":"${k}","3":${k % 9},"4":${k % 100},"5":0,"45":${k % 15}}},'
+    '"${car + 20}":{"Channels":{}}}}'
+)
+_all(
     "kf_car_data",
     kf.car_data,
-    template(
-        '{"Utc":"${utc6}Z","Cars":{"${car}":{"Channels":{"0":${k * 100},"2":"${k}","3":${k % 9},"4":${k % 100},"5":0,"45":${k % 15}}},'
-        '"${car + 20}":{"Channels":{}}}}'
-    ),
+    CAR_STATE,
     '{"Entries":[',
     "]}",
     """SELECT session_id, utc6 || 'Z' AS utc, car::VARCHAR AS car_number, k * 100 AS rpm, k AS speed, k % 9 AS gear,
          k % 100 AS throttle, 0 AS brake, k % 15 AS drs FROM st
        UNION ALL SELECT session_id, utc6 || 'Z', (car + 20)::VARCHAR, 0, 0, 0, 0, 0, NULL FROM st""",
 )
-_cars(
+
+
+def _car_data_z(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry documents compressed as in ``.z.json`` files, and in quotes."""
+    docs = car_documents(spark, sf_dir, CAR_STATE, '{"Entries":[', "]}", every=True)
+    packed = F.base64(deflate_raw(F.replace("doc", F.lit("\ufeff"), F.lit(""))))
+    return kf.car_data(archive.decode_documents(docs.withColumn("doc", F.concat(F.lit('\ufeff"'), packed, F.lit('"'))), compressed=True))
+
+
+QUERIES["kf_car_data_z"] = Query(_car_data_z, QUERIES["kf_car_data"].sql)
+_all(
     "kf_position",
     kf.position,
     template('{"Timestamp":"${utc6}Z","Entries":{"${car}":{"Status":"OnTrack","X":${k * 10},"Y":${v},"Z":${-k}}}}'),
@@ -165,9 +182,9 @@ APP = template(
     + STINT
     + ',{"Compound":"SOFT","TotalLaps":${k + 1}}]}'
 )
-_cars("kf_timing_app", kf.timing_app, APP, '{"Lines":{', "}}", APP_SQL)
-_cars("kf_timing_app_bare", kf.timing_app, APP, "{", "}", APP_SQL)
-_cars(
+_all("kf_timing_app", kf.timing_app, APP, '{"Lines":{', "}}", APP_SQL)
+_all("kf_timing_app_bare", kf.timing_app, APP, "{", "}", APP_SQL)
+_all(
     "kf_lap_series",
     kf.lap_series,
     template('"${car}":{"RacingNumber":"${car}","LapPosition":["${k % 20}",${(k + 1) % 20}]}'),
@@ -176,7 +193,7 @@ _cars(
     """SELECT session_id, car AS racing_number, l::INTEGER AS lap, (k + l) % 20 AS position
        FROM st CROSS JOIN (VALUES (0), (1)) AS t(l)""",
 )
-_cars(
+_all(
     "kf_tyre_stints",
     kf.tyre_stints,
     template('"${car}":[' + STINT + ',{"Compound":"SOFT","New":false,"TotalLaps":"${k + 1}"}]'),
@@ -275,8 +292,8 @@ RCM_SQL = f"""SELECT session_id, pos::INTEGER AS message_no, ts AS utc, k AS lap
   CASE WHEN et = 'view' THEN car::VARCHAR END AS racing_number,
   CASE WHEN et IN ('click', 'purchase') THEN CASE WHEN k % 3 = 0 THEN 'DEPLOYED' ELSE 'ENABLED' END END AS status,
   CASE WHEN et = 'click' THEN CASE WHEN k % 2 = 0 THEN 'VIRTUAL SAFETY CAR' ELSE 'SAFETY CAR' END END AS mode FROM si"""
-_cars("kf_rcm", kf.race_control, template(MESSAGE), '{"Messages":[', "]}", RCM_SQL)
-_cars(
+_all("kf_rcm", kf.race_control, template(MESSAGE), '{"Messages":[', "]}", RCM_SQL)
+_all(
     "kf_overtakes",
     kf.overtakes,
     template('"${car}":[{"Timestamp":"${utc6}7Z","Count":${k}},{"Count":1}]'),
@@ -294,7 +311,7 @@ _one(
     template('{"RacingNumber":"${car}","PitStopTime":"${v}","PitLaneTime":"${k}.5","Lap":"${k % 60}"}'),
     """SELECT session_id, car AS racing_number, v AS pit_stop_time, k + 0.5::DOUBLE AS pit_lane_time, k % 60 AS lap FROM last""",
 )
-_cars(
+_all(
     "kf_pit_lane_times",
     kf.pit_lane_times,
     template('"${car}":{"Duration":"${v}","Lap":${k}}'),
@@ -304,7 +321,7 @@ _cars(
        UNION ALL SELECT DISTINCT session_id, '_deleted', '["1"]' FROM st""",
 )
 STOP = '{"Timestamp":"${utc6}7Z","PitStop":{"RacingNumber":"${car}","PitStopTime":"${v}","PitLaneTime":"${k}","Lap":"${k % 60}"}}'
-_cars(
+_all(
     "kf_pit_stop_series",
     kf.pit_stop_series,
     template('"${car}":[' + STOP + ',{"PitStop":{"Lap":2}}]'),
@@ -317,7 +334,7 @@ _cars(
 # Weather and state
 
 _one("kf_weather", kf.weather, template(READING), f"SELECT session_id, {READING_SQL} FROM last")
-_cars(
+_all(
     "kf_weather_series",
     kf.weather_series,
     template('{"Timestamp":"${utc6}7Z","Weather":' + READING + "}"),
@@ -336,7 +353,7 @@ _one(
          'S' || (k % 40) AS circuit_short_name, 'Complete' AS archive_status FROM last""",
 )
 MARK = template('{"Utc":"${utc6}Z","Lap":${k % 60},"TrackStatus":"${if(k % 2 = 0, et, \'\')}","SessionStatus":"S${k}"}')
-_cars(
+_all(
     "kf_session_laps",
     kf.session_laps,
     MARK,
@@ -344,7 +361,7 @@ _cars(
     "]}",
     "SELECT session_id, ts AS utc, k % 60 AS lap FROM st",
 )
-_cars(
+_all(
     "kf_session_statuses",
     kf.session_statuses,
     MARK,
@@ -384,7 +401,7 @@ _one(
     template('{"Timestamp":"${utc6}","Message":"M ${k}"}'),
     """SELECT session_id, ts AS "timestamp", 'M ' || k AS message FROM last""",
 )
-_cars(
+_all(
     "kf_content_streams",
     kf.content_streams,
     template('{"Type":"${et}","Name":"N ${k}","Language":"en","Uri":"u://${k}","Path":"p${car}"}'),
@@ -403,7 +420,7 @@ def _report_sql(rows: str, rules: dict[str, str]) -> str:
                UNPIVOT (breaches FOR rule IN ({names}))"""
 
 
-_cars(
+_all(
     "quality_race_control",
     quality.race_control_report,
     template(MESSAGE),

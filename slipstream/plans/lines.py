@@ -8,7 +8,7 @@ import re
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,13 +42,7 @@ def template(text: str) -> str:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/events.parquet")).selectExpr(*EVENT_COLUMNS)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A table of fewer splits than cores is dealt out first; one of many splits stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*EVENT_COLUMNS)
 
 
 def _spelled(text: str | Column) -> Column:
@@ -102,9 +96,26 @@ st AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY session_id, car O
 si AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY car) - 1 AS pos FROM st)"""
 
 
-def car_documents(spark: SparkSession, sf_dir: str, child: str, before: str, after: str) -> DataFrame:
-    """One document per session: a piece of JSON per car, in car order, between ``before`` and ``after``."""
-    pieces = car_states(spark, sf_dir).selectExpr("session_id", "car", f"{child} AS piece")
+def car_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event: the n-th of each car and day goes to the session of the day's n-th round, at most 20 rows each."""
+    order = Window.partitionBy("session_id", "car").orderBy("line_no")
+    rows = events(spark, sf_dir).withColumn("round", F.row_number().over(order))
+    return rows.withColumn("session_id", F.concat_ws("/", "session_id", "round")).drop("round")
+
+
+ROUNDS_SQL = EVENTS_SQL + """,
+st AS (SELECT * EXCLUDE (n) REPLACE (session_id || '/' || n AS session_id)
+       FROM (SELECT *, row_number() OVER (PARTITION BY session_id, car ORDER BY line_no) AS n FROM e)),
+si AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY car) - 1 AS pos FROM st)"""
+
+
+def car_documents(spark: SparkSession, sf_dir: str, child: str, before: str, after: str, every: bool = False) -> DataFrame:
+    """One document per session: a piece of JSON per car, in car order, between ``before`` and ``after``.
+
+    Pieces are of the day's latest states, or with ``every`` of all events, a document per round.
+    """
+    states = car_rounds(spark, sf_dir) if every else car_states(spark, sf_dir)
+    pieces = states.selectExpr("session_id", "car", f"{child} AS piece")
     gathered = F.transform(F.sort_array(F.collect_list(F.struct("car", "piece"))), lambda s: s["piece"])
     docs = pieces.groupBy("session_id").agg(F.concat_ws(",", gathered).alias("body"))
     return docs.select("session_id", F.concat(F.lit("\ufeff" + before), "body", F.lit(after)).alias("doc"))

@@ -1,18 +1,29 @@
 """From a mirrored archive to feed tables, and from those to analyses that span sessions.
 
-Archive text is decoded once and written as Parquet by year; joins and reports then read only the columns,
-years and cars they need.
+Archive text is decoded once and written as Parquet by year and session; joins and reports then read only the columns,
+years and cars they need. A feed that a session, or the whole archive, does not have is an empty table and a row of the
+report, not an error.
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from slipstream.operators import catalog, feeds
+from slipstream.operators import catalog, feeds, keyframes
 from slipstream.operators.asof import telemetry_on_track
 from slipstream.sources import archive, index
 
+RAW = "session_id string, block_no long, line_no long, entry_no int, timestamp_ms long, payload string"
+DOCS = "session_id string, doc string"
+#: Tables that are read off a feed's entries beside its own: folder, feed and function.
+DERIVED = {
+    "DriverRaceInfo.starting_grid": ("DriverRaceInfo", feeds.starting_grid),
+    "LapCount.lap_totals": ("LapCount", lambda raw: catalog.lap_totals(feeds.lap_count(raw))),
+}
+
 
 def build_feed_tables(
     spark: SparkSession,
@@ -22,19 +33,84 @@ def build_feed_tables(
     sessions: Sequence[str] = ("*/*/*",),
     on_bad: str = "raise",
 ) -> dict[str, str]:
-    """Write the stream tables of the named feeds, each from one scan over all sessions. Returns the folders."""
+    """Write the stream tables of the named feeds, each from one scan over all sessions. Returns the folders.
+
+    Sessions that were written before and are not read now stay as they are.
+    """
     return {
         name: archive.write_feed(feeds.read_feed(spark, root, name, sessions, on_bad), out, name) for name in names
     }
 
 
-def feed_table(spark: SparkSession, out: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{out.rstrip('/')}/{name}").drop("year")
+def build_derived_tables(
+    spark: SparkSession, root: str, out: str, sessions: Sequence[str] = ("*/*/*",), on_bad: str = "raise"
+) -> dict[str, str]:
+    """Write the starting grid and the lap totals of each session. Returns the folders."""
+    return {
+        name: archive.write_feed(derive(archive.read_entries(spark, root, feeds.FEEDS[feed].stream_file, sessions, on_bad)), out, name)
+        for name, (feed, derive) in DERIVED.items()
+    }
+
+
+def build_keyframe_tables(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    names: Sequence[str] = tuple(keyframes.KEYFRAMES),
+    sessions: Sequence[str] = ("*/*/*",),
+    on_bad: str = "raise",
+) -> dict[str, str]:
+    """Write the keyframe tables of the named feeds, ``<feed>.keyframe_<table>``. Returns the folders."""
+    written = {}
+    for name in names:
+        docs = archive.read_keyframes(spark, root, feeds.FEEDS[name].keyframe_file, sessions, on_bad)
+        for table, flatten in keyframes.KEYFRAMES[name].items():
+            written[f"{name}.keyframe_{table}"] = archive.write_feed(flatten(docs), out, f"{name}.keyframe_{table}")
+    return written
+
+
+def table_schema(spark: SparkSession, name: str) -> T.StructType:
+    """The columns of a table by its folder name."""
+    if name in DERIVED:
+        return DERIVED[name][1](spark.createDataFrame([], RAW)).schema
+    feed, _, table = name.partition(".keyframe_")
+    if table:
+        return keyframes.KEYFRAMES[feed][table](spark.createDataFrame([], DOCS)).schema
+    shape = feeds.FEEDS[name]
+    if shape.flatten_docs is None:
+        return shape.flatten(spark.createDataFrame([], RAW)).schema
+    return shape.flatten_docs(spark.createDataFrame([], RAW.replace("entry_no int, ", "").replace("payload", "doc"))).schema
+
+
+def feed_table(
+    spark: SparkSession, out: str, name: str, years: Sequence[int] | None = None, sessions: Sequence[str] | None = None
+) -> DataFrame:
+    """A written table, of some years or sessions only, whose folders alone are then read."""
+    schema = table_schema(spark, name)
+    rows = archive.read_written(spark, out, name, schema)
+    if years is not None:
+        rows = rows.filter(F.col("year").isin(list(years)))
+    if sessions is not None:
+        rows = rows.filter(F.col("session").isin(list(sessions)))
+    return rows.select(*schema.names)
 
 
-def telemetry(spark: SparkSession, out: str, racing_number: int | None = None) -> DataFrame:
+def feed_report(spark: SparkSession, out: str, names: Sequence[str]) -> DataFrame:
+    """``feed, sessions, rows, status``: how much each table holds; a feed without files is ``absent``."""
+    def counted(name: str) -> DataFrame:
+        rows = archive.read_written(spark, out, name, table_schema(spark, name))
+        return rows.agg(F.count_distinct("session").alias("sessions"), F.count("*").alias("rows")).select(F.lit(name).alias("feed"), "sessions", "rows")
+
+    found = reduce(DataFrame.unionByName, map(counted, names))
+    return found.withColumn("status", F.when(F.col("rows") == 0, "absent").otherwise("written"))
+
+
+def telemetry(
+    spark: SparkSession, out: str, racing_number: int | None = None, years: Sequence[int] | None = None
+) -> DataFrame:
     """Telemetry with the nearest position, from written tables."""
-    return telemetry_on_track(feed_table(spark, out, "CarData"), feed_table(spark, out, "Position"), racing_number)
+    car, point = (feed_table(spark, out, name, years) for name in ("CarData", "Position"))
+    return telemetry_on_track(car, point, racing_number)
 
 
 def catalogue(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
@@ -43,6 +119,11 @@ def catalogue(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     return index.meetings(docs), index.sessions(docs)
 
 
+def lookup(spark: SparkSession, root: str, out: str, feed: str, queries: DataFrame) -> DataFrame:
+    """Rows of a written feed for ``query_id, year, meeting, session`` texts, with a status per query."""
+    return catalog.feed_lookup(queries, *catalogue(spark, root), feed_table(spark, out, feed))
+
+
 def race_control_by_session(spark: SparkSession, root: str, out: str) -> DataFrame:
     """Race control messages per session with the season's mean, over every session of the catalogue."""
     _, sessions = catalogue(spark, root)

@@ -1,15 +1,20 @@
 """Scans of a mirrored archive: ``<root>/<year>/<meeting>/<session>/<file>``.
 
 Stream files are read line by line and may be split over many tasks, so a very long file is no single
-task's burden. ``(block_no, line_no)`` orders the lines of a file: the byte offset of the split, then the
-running row number inside the scan task. Keyframes are one document per file and are read whole.
+task's burden. ``line_no`` is the line's number in its file, from 0, whatever else is read with it; ``block_no``
+is the byte offset of its split. Keyframes are one document per file and are read whole. Files that a session
+does not have give no rows.
+
+Decoding is strict: a line or document that cannot be read ends the job, whatever columns are asked for, or with
+``on_bad="drop"`` is passed over. :func:`line_faults` and :func:`document_faults` list what is wrong and where.
 """
 
 import zlib
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,17 +23,24 @@ from slipstream.functions.jsonwalk import ENTRY
 
 BOM = "\ufeff"
 BLANKS = "\r\n\t "
+#: What may be wrong with a line.
+FAULTS = ["mark", "clock", "blob", "json"]
 
 
 def inflate_raw(blob: Column) -> Column:
-    """Raw deflate to text, batch by batch. Spark has no built-in for it; base64 is undone before by ``unbase64``.
+    """Raw deflate to text, batch by batch; null where a blob cannot be read. Spark has no built-in for it.
 
     The function is nested so that it travels by value and workers need no copy of this package.
     """
 
     def inflate(blobs: pa.Array) -> pa.Array:
-        texts = [None if b is None else zlib.decompress(b, -zlib.MAX_WBITS).decode("utf-8") for b in blobs.to_pylist()]
-        return pa.array(texts, pa.string())
+        def one(blob: bytes | None) -> str | None:
+            try:
+                return None if blob is None else zlib.decompress(blob, -zlib.MAX_WBITS).decode("utf-8")
+            except (zlib.error, UnicodeDecodeError):
+                return None
+
+        return pa.array([one(b) for b in blobs.to_pylist()], pa.string())
 
     return F.arrow_udf(inflate, T.StringType())(blob)
 
@@ -44,15 +56,45 @@ def feed_paths(root: str, file: str, sessions: Sequence[str] = ("*/*/*",)) -> li
     return [f"{root.rstrip('/')}/{s.strip('/')}/{file}" for s in sessions]
 
 
+def _texts(spark: SparkSession, paths: Sequence[str], **options: str) -> DataFrame | None:
+    """Text of files of one name, read through their folders so that absent files are no error; None without any folder."""
+    folders, names = zip(*[(folder, name) for folder, _, name in (p.rpartition("/") for p in paths)], strict=True)
+    if len(set(names)) != 1:
+        raise ValueError(f"files of different names in one scan: {sorted(set(names))}")
+    top = folders[0] if len(folders) == 1 else commonpath_of(folders)
+    rest = [f[len(top) :].strip("/") for f in folders]
+    wanted = top if len(folders) == 1 else f"{top}/{{{','.join(rest)}}}"
+    try:
+        return spark.read.options(pathGlobFilter=names[0], **options).text(wanted)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def commonpath_of(folders: Sequence[str]) -> str:
+    """The longest folder that all of ``folders`` are in."""
+    parts = [f.split("/")[:-1] for f in folders]
+    same = [p[0] for p in zip(*parts, strict=False) if len(set(p)) == 1]
+    return "/".join(same)
+
+
 def read_stream_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``session_id, block_no, line_no, value`` for the lines of all files in one scan."""
-    lines = spark.read.option("lineSep", "\n").text(list(paths))
-    return lines.select(
-        session_of(F.col("_metadata.file_path")).alias("session_id"),
-        F.col("_metadata.file_block_start").alias("block_no"),
-        F.monotonically_increasing_id().alias("line_no"),
-        "value",
-    )
+    """``session_id, block_no, line_no, value`` for the lines of all files in one scan.
+
+    A task numbers the rows of its splits; the number of rows in a file's earlier splits is added. That table has
+    one row per split, as has the file listing the driver holds to plan the scan, so it may be broadcast.
+    """
+    found = _texts(spark, paths, lineSep="\n")
+    if found is None:
+        return spark.createDataFrame([], "session_id string, block_no long, line_no long, value string")
+    file, block = F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("block_no")
+    rows = found.select(session_of(F.col("_metadata.file_path")).alias("session_id"), file, block, F.monotonically_increasing_id().alias("_row"), "value")
+    splits = found.select(file, block, F.monotonically_increasing_id().alias("_row")).groupBy("_file", "block_no").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_file").orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("_file", "block_no", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    numbered = rows.join(F.broadcast(starts), ["_file", "block_no"])
+    return numbered.select("session_id", "block_no", (F.col("_row") + F.col("_shift")).alias("line_no"), "value")
 
 
 def _split_clock(lines: DataFrame, mark: str) -> DataFrame:
@@ -68,28 +110,54 @@ def _split_clock(lines: DataFrame, mark: str) -> DataFrame:
     return halves.withColumn("timestamp_ms", parse.clock_ms(F.col("lead"))).drop("lead")
 
 
-def _malformed() -> Column:
-    return F.col("rest").isNull() | F.col("timestamp_ms").isNull()
+def _broken_json(text: Column) -> Column:
+    """Whether a text is no JSON object or list, cut off ones included. Nothing is built from it."""
+    parsed = F.from_json(text, "STRUCT<_odd: STRING>", {"columnNameOfCorruptRecord": "_odd"})
+    listed = F.from_json(text, "ARRAY<STRING>")
+    return F.when(F.startswith(text, F.lit("[")), listed.isNull()).otherwise(parsed["_odd"].isNotNull() | ~F.startswith(text, F.lit("{")))
 
 
-def bad_lines(lines: DataFrame, compressed: bool = False) -> DataFrame:
-    """The lines a strict decode would stop at: no payload mark, or no readable clock before it."""
+def judged_lines(lines: DataFrame, compressed: bool) -> DataFrame:
+    """Lines with ``doc``, the payload or inflated text, and ``fault``: mark, clock, blob, json, or null if it is sound."""
     rows = _split_clock(lines, '"' if compressed else "{")
-    return rows.filter(_malformed()).select("session_id", "block_no", "line_no", "value")
+    rest = F.col("rest")
+    if compressed:
+        rows = rows.withColumn("doc", inflate_raw(F.try_to_binary(F.trim(rest, F.lit('"' + BLANKS)), F.lit("base64"))))
+    else:
+        rows = rows.withColumn("doc", F.when(F.endswith(rest, F.lit("\r")), F.left(rest, F.length(rest) - 1)).otherwise(rest))
+    fault = (
+        F.when(rest.isNull(), "mark")
+        .when(F.col("timestamp_ms").isNull(), "clock")
+        .when(F.col("doc").isNull(), "blob")
+        .when(_broken_json(F.col("doc")), "json")
+    )
+    return rows.withColumn("fault", fault).drop("rest")
+
+
+def line_faults(lines: DataFrame, compressed: bool = False) -> DataFrame:
+    """The lines a strict decode would stop at, with ``fault``: no payload ``mark``, ``clock``, ``blob`` or ``json``."""
+    return judged_lines(lines, compressed).filter("fault IS NOT NULL").select("session_id", "block_no", "line_no", "value", "fault")
 
 
-def _good_lines(lines: DataFrame, mark: str, on_bad: str) -> DataFrame:
-    rows = _split_clock(lines, mark)
+def bad_lines(lines: DataFrame, compressed: bool = False) -> DataFrame:
+    """The lines a strict decode would stop at."""
+    return line_faults(lines, compressed).drop("fault")
+
+
+def _sound(rows: DataFrame, on_bad: str, what: str, text: str) -> DataFrame:
+    """Rows without a fault. The refusal is a filter, so no choice of columns takes it away."""
+    if on_bad not in ("raise", "drop"):
+        raise ValueError(f"on_bad is raise or drop, not {on_bad!r}")
     if on_bad == "drop":
-        return rows.filter(~_malformed())
-    complaint = F.raise_error(F.concat(F.lit("Malformed stream line: "), F.substring("value", 1, 80)))
-    return rows.withColumn("rest", F.when(_malformed(), complaint.cast("string")).otherwise(F.col("rest")))
+        return rows.filter("fault IS NULL").drop("fault")
+    complaint = F.raise_error(F.concat(F.lit(f"Malformed {what} ("), F.col("fault"), F.lit("): "), F.substring(text, 1, 80)))
+    return rows.filter(F.when(F.col("fault").isNotNull(), complaint.cast("boolean")).otherwise(F.lit(True))).drop("fault")
 
 
 def inflate_lines(lines: DataFrame, on_bad: str = "raise") -> DataFrame:
     """Compressed lines to ``session_id, block_no, line_no, timestamp_ms, doc``, one JSON text per line."""
-    rows = _good_lines(lines, '"', on_bad)
-    return rows.select(*ENTRY[:3], "timestamp_ms", inflate_raw(F.unbase64("rest")).alias("doc"))
+    rows = _sound(judged_lines(lines, compressed=True), on_bad, "stream line", "value")
+    return rows.select(*ENTRY[:3], "timestamp_ms", "doc")
 
 
 def decode_lines(lines: DataFrame, compressed: bool = False, on_bad: str = "raise") -> DataFrame:
@@ -98,10 +166,8 @@ def decode_lines(lines: DataFrame, compressed: bool = False, on_bad: str = "rais
     ``on_bad`` is ``raise`` or ``drop``; :func:`bad_lines` shows what is dropped.
     """
     if not compressed:
-        rows = _good_lines(lines, "{", on_bad)
-        rest = F.col("rest")
-        payload = F.when(F.endswith(rest, F.lit("\r")), F.left(rest, F.length(rest) - 1)).otherwise(rest)
-        return rows.select(*ENTRY[:3], F.lit(0).alias("entry_no"), "timestamp_ms", payload.alias("payload"))
+        rows = _sound(judged_lines(lines, compressed=False), on_bad, "stream line", "value")
+        return rows.select(*ENTRY[:3], F.lit(0).alias("entry_no"), "timestamp_ms", F.col("doc").alias("payload"))
     docs = inflate_lines(lines, on_bad).withColumn("_d", F.from_json("doc", "Entries ARRAY<STRING>, Position ARRAY<STRING>"))
     items = F.posexplode(F.coalesce("_d.Entries", "_d.Position")).alias("entry_no", "payload")
     return docs.select(*ENTRY[:3], "timestamp_ms", items).select(*ENTRY, "payload")
@@ -117,31 +183,56 @@ def read_entries(
 
 def read_documents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """``session_id, doc`` for keyframe files, one document per file."""
-    docs = spark.read.option("wholetext", "true").text(list(paths))
+    docs = _texts(spark, paths, wholetext="true")
+    if docs is None:
+        return spark.createDataFrame([], "session_id string, doc string")
     return docs.select(session_of(F.col("_metadata.file_path")).alias("session_id"), F.col("value").alias("doc"))
 
 
-def decode_documents(docs: DataFrame, compressed: bool = False) -> DataFrame:
-    """Strip the byte-order mark, undo the compression, and open a one-element list."""
+def _judged_documents(docs: DataFrame, compressed: bool) -> DataFrame:
     text = F.trim("doc", F.lit(BOM + BLANKS))
-    if compressed:
-        text = inflate_raw(F.unbase64(text))
-    rows = docs.withColumn("doc", text)
-    opened = F.get(F.from_json("doc", "ARRAY<STRING>"), F.lit(0))
-    return rows.withColumn("doc", F.when(F.startswith("doc", F.lit("[")), opened).otherwise(F.col("doc")))
+    rows = docs.withColumn("_text", inflate_raw(F.try_to_binary(F.trim(text, F.lit('"')), F.lit("base64"))) if compressed else text)
+    fault = F.when(F.col("_text").isNull(), "blob").when(_broken_json(F.col("_text")), "json")
+    return rows.withColumn("fault", fault)
+
+
+def document_faults(docs: DataFrame, compressed: bool = False) -> DataFrame:
+    """``session_id, fault`` of the documents a strict decode would stop at: a ``blob`` or ``json`` that cannot be read."""
+    return _judged_documents(docs, compressed).filter("fault IS NOT NULL").select("session_id", "fault")
 
 
-def read_keyframes(spark: SparkSession, root: str, file: str, sessions: Sequence[str] = ("*/*/*",)) -> DataFrame:
-    return decode_documents(read_documents(spark, feed_paths(root, file, sessions)), compressed=".z." in file)
+def decode_documents(docs: DataFrame, compressed: bool = False, on_bad: str = "raise") -> DataFrame:
+    """Strip the byte-order mark, undo the compression, and open a one-element list."""
+    rows = _sound(_judged_documents(docs, compressed), on_bad, "document", "doc")
+    opened = F.get(F.from_json("_text", "ARRAY<STRING>"), F.lit(0))
+    return rows.withColumn("doc", F.when(F.startswith("_text", F.lit("[")), opened).otherwise(F.col("_text"))).drop("_text")
+
+
+def read_keyframes(
+    spark: SparkSession, root: str, file: str, sessions: Sequence[str] = ("*/*/*",), on_bad: str = "raise"
+) -> DataFrame:
+    return decode_documents(read_documents(spark, feed_paths(root, file, sessions)), compressed=".z." in file, on_bad=on_bad)
 
 
 def write_feed(table: DataFrame, out: str, feed: str, mode: str = "overwrite") -> str:
-    """Write a feed table as Parquet, split by year, for jobs that span sessions. Returns the folder.
+    """Write a feed table as Parquet, split by year and session, for jobs that span sessions. Returns the folder.
 
-    Years that are not in ``table`` keep what was written before.
+    Sessions that are not in ``table`` keep what was written before. Rows are gathered by session before they are
+    written; a busy session is split over several tasks and files.
     """
     target = f"{out.rstrip('/')}/{feed}"
     year = F.split_part("session_id", F.lit("/"), F.lit(1))
-    writer = table.withColumn("year", year).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("year").parquet(target)
+    rows = table.withColumns({"year": year, "session": F.col("session_id")}).hint("rebalance", "session")
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("year", "session").parquet(target)
     return target
+
+
+def read_written(spark: SparkSession, out: str, feed: str, schema: T.StructType) -> DataFrame:
+    """What :func:`write_feed` wrote, with ``year`` and ``session`` as partitions; no rows if nothing was written."""
+    full = T.StructType([*schema.fields, T.StructField("year", T.IntegerType()), T.StructField("session", T.StringType())])
+    try:
+        return spark.read.schema(full).parquet(f"{out.rstrip('/')}/{feed}")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], full)

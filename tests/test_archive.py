@@ -5,6 +5,7 @@ import json
 import zlib
 
 import pytest
+from pyspark.sql import DataFrame
 
 from slipstream.operators import feeds, keyframes
 from slipstream.sources import archive, index
@@ -120,6 +121,86 @@ def test_feed_tables_as_parquet(spark, tmp_path):
     assert [(r.session_id, r.status, r.message) for r in back.collect()] == [("2024/a/b", 2, "Yellow")]
 
 
+@pytest.mark.parametrize(
+    "line,fault",
+    [('00:00:02.000{"44":{"Line":2},', "json"), ("00:00:02.000 none", "mark"), ('{"no":"clock"}', "clock"), ('00:00:02.000{"44" 1}', "json")],
+)
+def test_strict_whatever_is_asked_for(spark, tmp_path, line, fault):
+    put(tmp_path, "2024/a/b", "DriverList.jsonStream", f'00:00:01.000{{"44":{{"Line":1}}}}\n{line}\n00:00:03.000{{"44":{{"Line":3}}}}\n')
+    read = lambda **options: feeds.read_feed(spark, str(tmp_path), "DriverList", **options)
+    for use in (DataFrame.count, lambda d: d.select("session_id", "timestamp_ms").collect(), DataFrame.collect):
+        with pytest.raises(Exception, match="Malformed stream line"):
+            use(read())
+    assert read(on_bad="drop").count() == 2
+    lines = archive.read_stream_lines(spark, archive.feed_paths(str(tmp_path), "DriverList.jsonStream"))
+    assert [(r.line_no, r.value, r.fault) for r in archive.line_faults(lines).collect()] == [(1, line, fault)]
+
+
+def test_cut_off_blobs_and_documents(spark, tmp_path):
+    good = packed({"Entries": [{"n": 1}]})
+    cut = packed({"Entries": [{"n": list(range(40))}]})[:32]
+    put(tmp_path, "2024/a/b", "X.z.jsonStream", f'00:00:01.000"{good}"\n00:00:02.000"{cut}"\n00:00:03.000"***"\n00:00:04.000"{packed("x")}"\n')
+    with pytest.raises(Exception, match="Malformed stream line .blob"):
+        archive.read_entries(spark, str(tmp_path), "X.z.jsonStream").count()
+    assert [no for _, _, no, _ in entries(spark, tmp_path, "X.z.jsonStream", on_bad="drop")] == [0]
+    lines = archive.read_stream_lines(spark, archive.feed_paths(str(tmp_path), "X.z.jsonStream"))
+    assert sorted((r.line_no, r.fault) for r in archive.line_faults(lines, compressed=True).collect()) == [(1, "blob"), (2, "blob"), (3, "json")]
+    assert archive.bad_lines(lines, compressed=True).columns == ["session_id", "block_no", "line_no", "value"]
+
+    put(tmp_path, "2024/a/b", "Heartbeat.json", BOM + '{"Utc":"2024-01-01T00:00:00Z"')
+    put(tmp_path, "2024/a/c", "Heartbeat.json", BOM + '{"Utc":"2024-01-01T00:00:00Z"}')
+    with pytest.raises(Exception, match="Malformed document"):
+        archive.read_keyframes(spark, str(tmp_path), "Heartbeat.json").count()
+    assert [r.session_id for r in archive.read_keyframes(spark, str(tmp_path), "Heartbeat.json", on_bad="drop").collect()] == ["2024/a/c"]
+    docs = archive.read_documents(spark, archive.feed_paths(str(tmp_path), "Heartbeat.json"))
+    assert [tuple(r) for r in archive.document_faults(docs).collect()] == [("2024/a/b", "json")]
+    with pytest.raises(ValueError, match="on_bad"):
+        archive.decode_documents(docs, on_bad="ignore")
+
+
+def test_line_numbers_are_the_files_own(spark, tmp_path):
+    for session, n in (("2024/a/b", 900), ("2024/a/c", 700)):
+        put(tmp_path, session, "X.jsonStream", "".join(f'00:00:01.000{{"n":{i}}}\n' if i % 100 else "bad\n" for i in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = archive.read_entries(spark, str(tmp_path), "X.jsonStream", on_bad="drop")
+        season = {(r.session_id, r.line_no, r.payload) for r in rows.collect()}
+        lines = archive.read_stream_lines(spark, archive.feed_paths(str(tmp_path), "X.jsonStream"))
+        faults = sorted((r.session_id, r.line_no) for r in archive.line_faults(lines).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    one = archive.read_entries(spark, str(tmp_path), "X.jsonStream", ["2024/a/c"], on_bad="drop")
+    assert {(r.session_id, r.line_no, r.payload) for r in one.collect()} == {x for x in season if x[0] == "2024/a/c"}
+    assert season == {(s, i, f'{{"n":{i}}}') for s, n in (("2024/a/b", 900), ("2024/a/c", 700)) for i in range(n) if i % 100}
+    assert faults == [(s, i) for s, n in (("2024/a/b", 900), ("2024/a/c", 700)) for i in range(0, n, 100)]
+
+
+def test_absent_files_give_no_rows(spark, tmp_path):
+    put(tmp_path, "2024/m/s1", "TrackStatus.jsonStream", '00:00:01.000{"Status":"1","Message":"AllClear"}\n')
+    put(tmp_path, "2024/m/s3", "Other.jsonStream", "x")
+    found = feeds.read_feed(spark, str(tmp_path), "TrackStatus", sessions=["2024/m/s1", "2024/m/s3", "2024/m/s9"])
+    assert [r.session_id for r in found.collect()] == ["2024/m/s1"]
+    assert feeds.read_feed(spark, str(tmp_path), "PitStop").count() == 0
+    assert feeds.read_feed(spark, str(tmp_path), "CarData", sessions=["2030/x/y"]).count() == 0
+    assert archive.read_keyframes(spark, str(tmp_path), "PitStop.json", sessions=["2030/x/y"]).count() == 0
+
+
+def test_stream_and_keyframe_are_read_apart(spark, tmp_path):
+    """A reader of one of the two does not touch the other, which here cannot be decoded."""
+    put(tmp_path, "2024/a/b", "Heartbeat.json", "{broken")
+    put(tmp_path, "2024/a/b", "Heartbeat.jsonStream", '00:00:01.000{"Utc":"2024-01-01T00:00:00Z"}\n')
+    rows = feeds.read_feed(spark, str(tmp_path), "Heartbeat")
+    assert rows.count() == 1
+    assert all(f.endswith("Heartbeat.jsonStream") for f in rows.inputFiles())
+    put(tmp_path, "2024/a/c", "Heartbeat.json", '{"Utc":"2024-01-01T00:00:00Z"}')
+    put(tmp_path, "2024/a/c", "Heartbeat.jsonStream", "broken\n")
+    kept = archive.read_keyframes(spark, str(tmp_path), "Heartbeat.json", ["2024/a/c"])
+    assert kept.count() == 1
+    assert all(f.endswith("Heartbeat.json") for f in kept.inputFiles())
+
+
 def test_session_feeds(spark, docs):
     paths = {"KeyFramePath": "CarData.z.json", "StreamPath": "CarData.z.jsonStream"}
     other = {"KeyFramePath": "PitStop.json", "StreamPath": "PitStop.jsonStream"}

@@ -130,9 +130,10 @@ def test_pit_stop_lap_from_the_row_before(raw):
     assert rows(df, "timestamp_ms", "racing_number", "pit_stop_time", "lap") == [(1, 1, None, None), (2, 44, None, 9), (3, 5, 2.4, 9)]
 
 
-def test_pit_stop_series_first_child_in_document_order(raw):
+def test_pit_stop_series(raw):
     payload = '{"PitTimes":{"44":{"9":{"PitStop":{"Lap":9}},"2":{"PitStop":{"Lap":2}}},"1":[{"PitStop":{"Lap":1}},{}],"3":{},"4":{"0":null},"5":"x"}}'
-    assert one(raw, feeds.pit_stop_series, payload, "racing_number", "lap") == [(1, 1), (44, 9)]
+    assert one(raw, feeds.pit_stop_series, payload, "racing_number", "lap") == sorted([(1, 1), (1, None), (44, 9), (44, 2)], key=repr)
+    assert one(raw, feeds.pit_stop_series, payload, "racing_number", "lap", compat=True) == [(1, 1), (44, 9)]
 
 
 def test_pit_lane_deletes(raw):
@@ -165,7 +166,7 @@ def test_weather_series(raw):
     assert one(raw, feeds.weather_series, listed, "air_temp") == [(20.5,), (21.0,)]
     assert one(raw, feeds.weather_series, listed, "air_temp", compat=True) == [(20.5,)]
     keyed = {"Series": {"4": [{"Weather": {"AirTemp": 1}}, {"Weather": {"AirTemp": 2}}], "5": None, "6": {"Weather": {"AirTemp": 3}}}}
-    assert one(raw, feeds.weather_series, keyed, "air_temp") == [(1.0,), (3.0,)]
+    assert one(raw, feeds.weather_series, keyed, "air_temp") == [(1.0,), (2.0,), (3.0,)]
     assert one(raw, feeds.weather_series, keyed, "air_temp", compat=True) == [(1.0,), (3.0,)]
 
 
@@ -224,3 +225,16 @@ def test_every_feed_survives_empty_and_alien_payloads(raw):
     df = raw((1, "{}"), (2, '{"Lines":5,"Cars":[1],"Messages":"x","44":[1],"Entries":{"1":null}}'))
     for feed in feeds.FEEDS.values():
         feed.flatten(df).collect()
+
+
+def test_a_nested_field_of_the_same_name_is_not_the_field(raw):
+    payload = '{"Lines":{"1":{"DiffToAhead":5,"Extra":{"DiffToAhead":"x"}},"2":{"DiffToAhead":"5","Extra":{"DiffToAhead":1}}}}'
+    assert one(raw, feeds.driver_tracker, payload, "diff_to_ahead") == sorted([(None,), (5.0,)], key=repr)
+    assert one(raw, feeds.lap_count, '{"Deep":{"TotalLaps":"9"},"TotalLaps" : 7}', "total_laps") == [(7,)]
+    assert one(raw, feeds.lap_count, '{"Deep":{"TotalLaps":9},"TotalLaps" : "7"}', "total_laps") == [(None,)]
+
+
+def test_the_last_of_equal_keys_counts(raw):
+    payload = '{"Lines":{"1":{"BestSpeeds":{"I1":{"Value":"1","Position":1},"I1":{"Value":"2","Position":2}}}}}'
+    found = one(raw, feeds.timing_stats, payload, "stat_type", "trap", "speed")
+    assert [r for r in found if r[0] == "speed"] == [("speed", "I1", 2)]

@@ -21,8 +21,8 @@ def built(spark, tmp_path_factory):
         put(root, session, "Position.z.jsonStream", "\r\n".join(points))
         put(root, session, "RaceControlMessages.jsonStream", "\n".join(f'00:00:0{i}.000{{"Messages":{{"{i}":{{"Message":"m"}}}}}}' for i in range(n + 1)))
         year = session[:4]
-        listed = [{"Key": 1, "StartDate": f"{year}-01-01T00:00:00", "GmtOffset": "00:00:00", "Path": session + "/"}]
-        put(root, year, "Index.json", json.dumps({"Year": int(year), "Meetings": [{"Key": 1, "Number": 1, "Sessions": listed}]}))
+        listed = [{"Key": 1, "Name": "Race", "StartDate": f"{year}-01-01T00:00:00", "GmtOffset": "00:00:00", "Path": session + "/"}]
+        put(root, year, "Index.json", json.dumps({"Year": int(year), "Meetings": [{"Key": 1, "Number": 1, "Name": "Some Grand Prix", "Location": "L", "Sessions": listed}]}))
     out = str(tmp_path_factory.mktemp("tables"))
     season_job.build_feed_tables(spark, str(root), out, ["CarData", "Position", "RaceControlMessages"])
     return str(root), out
@@ -48,3 +48,49 @@ def test_car_filter_reaches_both_scans(spark, built):
 def test_messages(spark, built):
     rows = season_job.race_control_by_session(spark, *built).collect()
     assert sorted((r.year, r.session_id, r.messages) for r in rows) == [(2023, "2023/m1/s1", 1), (2024, "2024/m2/s2", 2)]
+
+
+def test_two_builds_in_a_row_keep_both(spark, tmp_path):
+    root, out = tmp_path / "archive", str(tmp_path / "tables")
+    for n, session in enumerate(["2024/m/s1", "2024/m/s2"]):
+        put(root, session, "TrackStatus.jsonStream", f'00:00:01.000{{"Status":"{n}","Message":"x"}}\n')
+        season_job.build_feed_tables(spark, str(root), out, ["TrackStatus"], [session])
+    season_job.build_feed_tables(spark, str(root), out, ["TrackStatus"], ["2024/m/s2"])
+    rows = season_job.feed_table(spark, out, "TrackStatus").collect()
+    assert sorted((r.session_id, r.status) for r in rows) == [("2024/m/s1", 0), ("2024/m/s2", 1)]
+
+
+def test_an_archive_with_few_feeds(spark, tmp_path):
+    root, out = tmp_path / "archive", str(tmp_path / "tables")
+    put(root, "2024/m/s1", "TrackStatus.jsonStream", '00:00:01.000{"Status":"1","Message":"x"}\n')
+    put(root, "2024/m/s1", "LapCount.jsonStream", '00:00:01.000{"CurrentLap":3,"TotalLaps":60}\n')
+    put(root, "2024/m/s1", "TrackStatus.json", '{"Status":"2","Message":"y"}')
+    names = ["TrackStatus", "PitStop", "CarData", "LapCount"]
+    season_job.build_feed_tables(spark, str(root), out, names)
+    season_job.build_derived_tables(spark, str(root), out)
+    written = season_job.build_keyframe_tables(spark, str(root), out, ["TrackStatus", "TimingStats"])
+    assert set(written) == {"TrackStatus.keyframe_status", "TimingStats.keyframe_lines", "TimingStats.keyframe_sectors"}
+    report = season_job.feed_report(spark, out, [*names, "LapCount.lap_totals", "DriverRaceInfo.starting_grid", *written]).collect()
+    assert {r.feed: (r.sessions, r.rows, r.status) for r in report} == {
+        "TrackStatus": (1, 1, "written"), "PitStop": (0, 0, "absent"), "CarData": (0, 0, "absent"), "LapCount": (1, 1, "written"),
+        "LapCount.lap_totals": (1, 1, "written"), "DriverRaceInfo.starting_grid": (0, 0, "absent"),
+        "TrackStatus.keyframe_status": (1, 1, "written"), "TimingStats.keyframe_lines": (0, 0, "absent"), "TimingStats.keyframe_sectors": (0, 0, "absent"),
+    }
+    assert season_job.telemetry(spark, out).count() == 0
+
+
+def test_years_prune_folders(spark, built):
+    plan = season_job.telemetry(spark, built[1], years=[2024])._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and all("PartitionFilters: [isnotnull(year" in line or "year#" in line.split("PartitionFilters")[1] for line in scans)
+    assert {r.session_id for r in season_job.telemetry(spark, built[1], years=[2024]).collect()} == {"2024/m2/s2"}
+
+
+def test_from_names_to_rows(spark, built):
+    asked = [("a", 2024, "grand", "race"), ("b", 2024, "nowhere", "race"), ("c", 2023, "grand", "sprint")]
+    queries = spark.createDataFrame(asked, "query_id string, year int, meeting string, session string")
+    found = season_job.lookup(spark, *built, "RaceControlMessages", queries).collect()
+    assert sorted((r.query_id, r.lookup_status, r.session_id, r.message) for r in found if r.query_id != "a") == [
+        ("b", "no meeting", None, None), ("c", "no session", None, None),
+    ]
+    assert [(r.lookup_status, r.session_id, r.message) for r in found if r.query_id == "a"] == [("found", "2024/m2/s2", "m")] * 2
