@@ -296,7 +296,7 @@ QUERIES["feed_lookup"] = Query(
                 replace(trim(({NAMES_SQL})[(mi % 9 + 1)::BIGINT]), ' ', '_') AS session_id, o_orderkey AS line_no, o_orderstatus AS status FROM o),
         q AS (SELECT "year", country_name AS meeting, t AS session FROM m, (VALUES ('day 2'), (' SPRINT qualifying'), ('Race'), ('Nothing')) AS v(t)
               UNION SELECT "year", 'Nowhere', 'Race' FROM m),
-        hits AS (SELECT q.*, m.meeting_key, number, meeting_pos, m.name NOT ILIKE '%testing%' AS race FROM q JOIN m USING ("year") JOIN w USING ("year", meeting_key)
+        hits AS (SELECT q.*, m.meeting_key, m.number, m.meeting_pos, m.name NOT ILIKE '%testing%' AS race FROM q JOIN m USING ("year") JOIN w USING ("year", meeting_key)
              WHERE contains(lower(concat_ws(chr(1), m.name, m.location, m.circuit_short_name, m.country_name, w.folder)), lower(trim(q.meeting)))),
         n AS (SELECT "year", meeting, session, count(*) AS hits, count(*) FILTER (race) AS races,
                 arg_min(meeting_key, (number, meeting_pos)) AS any_key, arg_min(meeting_key, (number, meeting_pos)) FILTER (race) AS race_key
