@@ -251,12 +251,17 @@ def _most_frequent(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]
     while high - low > 1:
         middle = (low + high) // 2
         low, high = (middle, high) if table.where(F.col("n") >= middle).count() > most else (low, middle)
-    frame = table.where(F.col("n") >= high).select("key", "n").toPandas()
-    keys, counts = frame["key"].to_numpy(np.int64), frame["n"].to_numpy(np.int64)
+    keys, counts = _collected(table.where(F.col("n") >= high))
     order = np.argsort(keys)
     return keys[order], counts[order]
 
 
+def _collected(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of a bounded table."""
+    found = table.select("key", "n").toArrow()
+    return found["key"].to_numpy(), found["n"].to_numpy()
+
+
 def _level(keys: np.ndarray, counts: np.ndarray, lower: Level | None, order: int) -> Level:
     context = keys >> BITS
     at = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(keys) else np.empty(0, np.int64)
@@ -395,7 +400,7 @@ def _score_rows(trie, frequent, held: int):
     return work
 
 
-def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: int = 1, most_nodes: int = 1 << 21) -> DataFrame:
+def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: int = 1, most_nodes: int = 1 << 20) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row of ``docs``.
 
     Documents whose CRC-32 of the id as text leaves ``held`` modulo 5 are held out; the model and the base counts learn from
@@ -417,8 +422,9 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: in
     codes = codes_of(histogram)
     trie = train(own, codes, np.where(codes == OTHER, histogram, 0), held, most_nodes)
 
-    common = tokens.where(F.col("n") > total // FREQUENT).toPandas()
-    sent = [spark.sparkContext.broadcast(x) for x in (trie.plain(), (common["key"].to_numpy(np.int64), common["n"].to_numpy(np.int64)))]
+    common = _collected(tokens.where(F.col("n") > total // FREQUENT))
+    sent = [spark.sparkContext.broadcast(x) for x in (trie.plain(), common)]
+    del trie, common
     rows = staged(own.withColumn("copy", F.xxhash64("text")).mapInArrow(_score_rows(*sent, held), _SCORES), "scores")
     for x in sent:
         x.destroy()
