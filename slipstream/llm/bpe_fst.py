@@ -262,7 +262,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", te
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, pattern)
         for batch in slices(batches, 1):
-            raw = [encode(t or "") for t in batch.column(1).to_pylist()]
+            raw = encode.many(batch.column(1).to_pylist())
             ends = np.cumsum([0, *[len(r) // 4 for r in raw]]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<u4").astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])

@@ -106,8 +106,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END,
         encode = subword.encoder(path)
         for batch in slices(batches, 1):
             row, place, start, length, crc = [], [], [], [], []
-            for k, value in enumerate(batch.column(1).to_pylist()):
-                ids = memoryview(encode(value or "") + last)
+            for k, raw in enumerate(encode.many(batch.column(1).to_pylist())):
+                ids = memoryview(raw + last)
                 for j, (at, n) in enumerate(cut(len(ids) // 4, capacity)):
                     row.append(k)
                     place.append(j)

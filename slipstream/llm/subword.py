@@ -12,7 +12,7 @@ import numpy as np
 #: A byte-level vocabulary whose first pattern splits at a space that precedes something other than white space. So
 #: ``" x"`` after such a cut is encoded by itself, whatever stands before it.
 VOCABULARY = "byte_bpe_50k.json"
-CACHE = 400_000
+CACHE = 600_000
 
 _CUT = re.compile(r" (?=[^\s\x1c-\x1f])")
 
@@ -37,7 +37,7 @@ class ChunkEncoder:
 
     ``encode`` maps strings to lists of ids; ``leads`` tells for each id whether its bytes begin with a space. New chunks
     are encoded many at a time and cut apart at the ids that lead with their space. Two generations of at most ``most``
-    chunks (or those of one text, if it has more) are kept: when the younger is full it becomes the older, and what is
+    chunks (or those of the texts encoded together, if they have more) are kept: when the younger is full it becomes the older, and what is
     still in use moves back.
     """
 
@@ -66,19 +66,22 @@ class ChunkEncoder:
         for word, ids in zip(odd, self.encode([f" {w}" for w in odd]), strict=True):
             self.young[word] = np.array(ids, "<u4").tobytes()
 
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        head, *rest = chunks(text)
-        begin = np.array(self.encode([head])[0], "<u4").tobytes()
-        try:
-            return begin + b"".join(map(self.young.__getitem__, rest))
-        except KeyError:
-            needed = set(rest)
-            if len(self.young) + len(needed.difference(self.young)) > self.most:
-                self.young, self.old = {}, self.young
-            self._learn(needed.difference(self.young))
-            return begin + b"".join(map(self.young.__getitem__, rest))
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        """Encodes texts together, so that what is new in them is learned at once. A null text is empty."""
+        split = [chunks(t) if t else [] for t in texts]
+        needed = {w for words in split for w in words[1:]}
+        missing = needed.difference(self.young)
+        if len(self.young) + len(missing) > self.most:
+            self.young, self.old = {}, self.young
+            missing = needed
+        self._learn(missing)
+        heads = {words[0] for words in split if words}
+        first = {h: np.array(ids, "<u4").tobytes() for h, ids in zip(heads, self.encode(list(heads)), strict=True)}
+        known = self.young.__getitem__
+        return [first[words[0]] + b"".join(map(known, words[1:])) if words else b"" for words in split]
+
+    def __call__(self, text: str | None) -> bytes:
+        return self.many([text])[0]
 
 
 def process_wide(key: tuple, make: Callable[[], object]) -> object:

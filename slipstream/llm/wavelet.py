@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slipstream.llm import subword
+from slipstream.llm.arrowtext import slices
 from slipstream.llm.ordering import sort_id, sum_before
 
 BLOCK = 512
@@ -200,8 +201,8 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int = 0, shard_bits:
         def made() -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([Shard.packed(now, part, doc_ids, ids)], schema=schema)
 
-        for batch in batches:
-            for row_id, value, shard in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+        for batch in slices(batches, 1):
+            for row_id, raw, shard in zip(batch.column(0).to_pylist(), encode.many(batch.column(1).to_pylist()), batch.column(2).to_pylist(), strict=True):
                 if doc_ids and (shard != now or held >= MOST_TOKENS):
                     yield made()
                     part = part + 1 if shard == now else 0
@@ -210,7 +211,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int = 0, shard_bits:
                     part = 0
                 now = shard
                 doc_ids.append(row_id)
-                ids.append(encode(value.as_py() or "") + last)
+                ids.append(raw + last)
                 held += len(ids[-1]) // 4
         if doc_ids:
             yield made()
