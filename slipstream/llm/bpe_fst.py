@@ -27,11 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slipstream.llm.arrowtext import slices
-from slipstream.llm.subword import ChunkEncoder, process_wide
+from slipstream.llm.subword import ChunkEncoder, chunks, process_wide
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: States, pieces and pairs of tokens that a worker remembers; beyond that they are made anew, so memory is bounded.
-STATES, PIECES, PAIRS = 200_000, 100_000, 1_000_000
+STATES, PIECES, PAIRS = 100_000, 50_000, 300_000
+#: A token's id is below 2 to this power.
+PAIR_BITS = 24
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -57,7 +59,7 @@ class Merges:
                     self.token_at.append(-1)
             self.token_at[node] = rank
         self.parts: dict[int, tuple[int, int] | None] = {}
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart: dict[int, bool] = {}
 
     def split(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``; none for a single byte."""
@@ -80,12 +82,9 @@ class Merges:
         Merges are undone from the later one on. At each step the tokens that meet at the border would have to be merged
         before the merge that is undone next; if the vocabulary has such a merge, the border does not hold.
         """
-        key = (a, b)
-        found = self.apart.get(key)
-        if found is None:
-            if len(self.apart) >= PAIRS:
-                self.apart.clear()
-            found = self.apart[key] = self._leaves_apart(a, b)
+        if len(self.apart) >= PAIRS:
+            self.apart.clear()
+        found = self.apart[a << PAIR_BITS | b] = self._leaves_apart(a, b)
         return found
 
     def _leaves_apart(self, a: int, b: int) -> bool:
@@ -133,23 +132,31 @@ class Transducer:
             self.states.append(state)
         return self.number[state]
 
-    def _read(self, byte: int, before: int, places: list[tuple[int, int]], last: list[int]) -> list[tuple[int, int]]:
-        """Reads one byte: adds the token that ends there to ``last`` and gives the places that stay open."""
-        child, token_at, chosen, after = self.merges.child, self.merges.token_at, -1, []
-        for place, node in places:
-            node = child.get(node << 8 | byte)
-            if node is None:
-                continue
-            after.append((place, node))
-            if chosen < 0 and (token := token_at[node]) >= 0:
-                previous = last[place - 1] if place else before
-                if previous < 0 or self.merges.leaves_apart(previous, token):
-                    chosen = token
-        if chosen < 0:
-            raise ValueError(f"no token ends at byte {byte}")
-        last.append(chosen)
-        after.append((len(last), 0))
-        return after
+    def _read(self, before: int, places: Sequence[tuple[int, int]], last: list[int], read: bytes) -> list[tuple[int, int]]:
+        """Reads bytes: adds the token that ends at each to ``last`` and gives the places that stay open."""
+        merges = self.merges
+        child, token_at, apart = merges.child, merges.token_at, merges.apart
+        for byte in read:
+            after, chosen = [], -1
+            for place, node in places:
+                node = child.get(node << 8 | byte)
+                if node is None:
+                    continue
+                after.append((place, node))
+                if chosen < 0 and (token := token_at[node]) >= 0:
+                    previous = last[place - 1] if place else before
+                    if previous < 0:
+                        chosen = token
+                    else:
+                        fits = apart.get(previous << PAIR_BITS | token)
+                        if merges.leaves_apart(previous, token) if fits is None else fits:
+                            chosen = token
+            if chosen < 0:
+                raise ValueError(f"no token ends at byte {byte}")
+            last.append(chosen)
+            after.append((len(last), 0))
+            places = after
+        return places
 
     def _path(self, last: Sequence[int], place: int) -> list[int]:
         found, bytes_of = [], self.merges.bytes_of
@@ -164,15 +171,14 @@ class Transducer:
         """The tokens of what is held in ``state`` and the ``rest`` of a piece."""
         before, places, last = self.states[state]
         last = list(last)
-        for byte in rest:
-            places = self._read(byte, before, places, last)
+        self._read(before, places, last, rest)
         return self._path(last, len(last))
 
     def _follow(self, state: int, byte: int) -> tuple[tuple[int, ...], int]:
         """Determinises one transition."""
         before, places, last = self.states[state]
         last = list(last)
-        places = self._read(byte, before, places, last)
+        places = self._read(before, places, last, bytes((byte,)))
         paths = [self._path(last, place) for place, _ in places]
         same = 0
         while all(len(p) > same and p[same] == paths[0][same] for p in paths):
@@ -190,8 +196,10 @@ class Transducer:
         return out, self._state((out[-1] if out else before, after, tuple(kept[done:])))
 
     def __call__(self, piece: bytes) -> list[int]:
-        if len(self.states) > self.most or len(self.asked) > 8 * self.most:
+        if len(self.states) > self.most:
             self._begin()
+        if len(self.asked) > 2 * self.most:
+            self.asked.clear()
         out, at, step = [], 0, self.step
         for k, byte in enumerate(piece):
             key = at << 8 | byte
@@ -220,16 +228,25 @@ class Encoder:
         self.matches = regex.compile(pattern).findall
         self.most, self.known = most, {}
 
+    def _pieces(self, word: str) -> list[str]:
+        """The matches in a word with a space before it. ASCII letters with a comma or full stop need no search."""
+        body = word[:-1] if word[-1] in ",." else word
+        if body.isascii() and body.isalpha():
+            return [f" {word}"] if body is word else [f" {body}", word[-1]]
+        return self.matches(f" {word}")
+
     def __call__(self, text: str) -> list[int]:
-        """Ids of ``text``."""
+        """Ids of ``text``, cut before each space that precedes something else, where the pattern begins a match."""
         found, known = [], self.known
-        for piece in self.matches(text):
-            ids = known.get(piece)
-            if ids is None:
-                if len(known) >= self.most:
-                    known.clear()
-                ids = known[piece] = self.transducer(piece.encode())
-            found += ids
+        head, *rest = chunks(text)
+        for pieces in (self.matches(head), *map(self._pieces, rest)):
+            for piece in pieces:
+                ids = known.get(piece)
+                if ids is None:
+                    if len(known) >= self.most:
+                        known.clear()
+                    ids = known[piece] = self.transducer(piece.encode())
+                found += ids
         return found
 
 
