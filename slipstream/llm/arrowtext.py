@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 #: The white space that ends a word: space and U+0009 to U+000D. ``bytes.split()`` splits at the same six.
 SPACES = b" \t\n\x0b\x0c\r"
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 _ONE = np.uint64(1)
 
@@ -82,7 +82,7 @@ class _Powers:
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * SLICE_BYTES)
+            size = max(n, SLICE_BYTES + 2)
             both = []
             for factor in (self.base, self.inverse):
                 steps = np.full(size, factor)
