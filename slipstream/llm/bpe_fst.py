@@ -272,19 +272,51 @@ def encoder(path: str, pattern: str) -> ChunkEncoder:
     return process_wide(("transducer", path, pattern), make)
 
 
+def _encode_batch(encode: ChunkEncoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after the other, and where each text's begin (one more at the end)."""
+    raw = encode.many(texts.to_pylist())
+    return np.frombuffer(b"".join(raw), "<u4").astype(np.int32), np.cumsum([0, *[len(r) // 4 for r in raw]])
+
+
+class _Decoder:
+    """Tokens' bytes and decimal ids of a rank file."""
+
+    def __init__(self, path: str) -> None:
+        ranks = read_ranks(path)
+        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.decimal = [str(rank) for rank in range(1 + max(self.bytes_of))]
+
+    def columns(self, ids: np.ndarray, ends: np.ndarray) -> list[pa.Array]:
+        """``n_tokens, ids_sha256, decoded_sha256, text`` for lists of ids."""
+        digests, plain, texts = [], [], []
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            found = ids[a:b].tolist()
+            raw = b"".join(map(self.bytes_of.__getitem__, found))
+            digests.append(hashlib.sha256(" ".join(map(self.decimal.__getitem__, found)).encode()).hexdigest())
+            plain.append(hashlib.sha256(raw).hexdigest())
+            texts.append("".join(_texts(raw)))
+        return [pa.array(np.diff(ends), pa.int64()), *[pa.array(x, pa.string()) for x in (digests, plain, texts)]]
+
+
+_DECODED = ["n_tokens", "ids_sha256", "decoded_sha256", "text"]
+_DECODED_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, text string"
+
+
+def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+
 def encoded(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, ids)`` for every row of ``docs``; a null or empty text has no ids."""
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, pattern)
         for batch in slices(batches, 1):
-            raw = encode.many(batch.column(1).to_pylist())
-            ends = np.cumsum([0, *[len(r) // 4 for r in raw]]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<u4").astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
+            ids, ends = _encode_batch(encode, batch.column(1))
+            listed = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([batch.column(0), listed], names=["doc_id", "ids"])
 
-    return own.mapInArrow(work, "doc_id long, ids array<int>")
+    return _own(docs, doc_id, text).mapInArrow(work, "doc_id long, ids array<int>")
 
 
 def decoded(rows: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -293,27 +325,28 @@ def decoded(rows: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "ids"
     The digests are of the decimal ids joined by one space, and of the tokens' bytes; ``text`` is what the streaming
     decoder gives.
     """
-    own = rows.select(F.col(doc_id).alias("doc_id"), F.col(ids).alias("ids"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = process_wide(("ranks", path), lambda: read_ranks(path))
-        bytes_of = {rank: token for token, rank in ranks.items()}
-        decimal = [str(rank) for rank in range(1 + max(bytes_of))]
+        decoder = process_wide(("decoder", path), lambda: _Decoder(path))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                n, digests, plain, texts = [], [], [], []
-                for found in part.column(1).to_pylist():
-                    found = found or []
-                    raw = b"".join(map(bytes_of.__getitem__, found))
-                    n.append(len(found))
-                    digests.append(hashlib.sha256(" ".join(map(decimal.__getitem__, found)).encode()).hexdigest())
-                    plain.append(hashlib.sha256(raw).hexdigest())
-                    texts.append("".join(_texts(raw)))
-                columns = [pa.array(n, pa.int64()), *[pa.array(x, pa.string()) for x in (digests, plain, texts)]]
-                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "text"])
-
-    return own.mapInArrow(work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, text string")
+                sizes = part.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                found = part.column(1).flatten().to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([part.column(0), *decoder.columns(found, np.cumsum([0, *sizes]))], names=["doc_id", *_DECODED])
+
+    return rows.select(F.col(doc_id).alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(work, _DECODED_SCHEMA)
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """What ``decoded`` gives for ``encoded`` documents, with one Python worker for each task instead of two."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, decoder = encoder(path, pattern), process_wide(("decoder", path), lambda: _Decoder(path))
+        for batch in slices(batches, 1):
+            yield pa.RecordBatch.from_arrays([batch.column(0), *decoder.columns(*_encode_batch(encode, batch.column(1)))], names=["doc_id", *_DECODED])
+
+    return _own(docs, doc_id, text).mapInArrow(work, _DECODED_SCHEMA)
 
 
 def _texts(raw: bytes, step: int = 1 << 16) -> Iterator[str]:

@@ -56,9 +56,8 @@ def op6_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = subword.public_path(bpe_fst.RANKS)
-    ids = bpe_fst.encoded(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
-    return bpe_fst.decoded(ids, path).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    found = bpe_fst.round_trip(_documents(spark, sf_dir), subword.public_path(bpe_fst.RANKS), public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
