@@ -12,7 +12,7 @@ import numpy as np
 #: A byte-level vocabulary whose first pattern splits at a space that precedes something other than white space. So
 #: ``" x"`` after such a cut is encoded by itself, whatever stands before it.
 VOCABULARY = "byte_bpe_50k.json"
-CACHE = 600_000
+CACHE = 300_000
 
 _CUT = re.compile(r" (?=[^\s\x1c-\x1f])")
 
@@ -92,12 +92,12 @@ def process_wide(key: tuple, make: Callable[[], object]) -> object:
     return held[key]
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str, most: int = CACHE) -> ChunkEncoder:
     """An encoder by the tokenizers library, without special tokens; the strings of special tokens are ordinary text."""
-    return process_wide(("tokenizers", path), lambda: _encoder(path))
+    return process_wide(("tokenizers", path, most), lambda: _encoder(path, most))
 
 
-def _encoder(path: str) -> ChunkEncoder:
+def _encoder(path: str, most: int) -> ChunkEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -110,4 +110,4 @@ def _encoder(path: str) -> ChunkEncoder:
     def encode(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return ChunkEncoder(encode, leads)
+    return ChunkEncoder(encode, leads, most)

@@ -24,6 +24,8 @@ from slipstream.llm.ordering import sort_id, sum_before
 BLOCK = 512
 #: Tokens after which a shard goes on in a further part, so that a task's memory is bounded.
 MOST_TOKENS = 1 << 24
+#: Chunks of text that a worker remembers in each of two generations.
+CHUNKS = 600_000
 _SHARD = "shard long, part int, n long, width int, alphabet binary, planes binary, ranks binary, zeros array<long>, doc_ids array<long>, ends array<long>"
 
 
@@ -195,7 +197,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int = 0, shard_bits:
     last = np.array([end], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = subword.encoder(vocabulary)
+        encode = subword.encoder(vocabulary, CHUNKS)
         now, part, doc_ids, ids, held = None, 0, [], [], 0
 
         def made() -> pa.RecordBatch:
