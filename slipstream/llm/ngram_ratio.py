@@ -3,12 +3,16 @@
 Tokens are runs of letters, digits and bytes from 0x80 on (A-Z lower-cased), and runs of other visible ASCII. Token
 n-grams up to ``order`` fall into ``buckets`` by hash. The raw counts are scaled to the size of the trusted ones and both
 get the same ``prior`` per bucket, so both are distributions and a rare n-gram says little.
+
+A mean hardly moves by a few words, so toxic documents have a statistic of their own: how much more often labelled toxic
+documents have a token than trusted ones, where that is no chance, summed over the ``WORST`` tokens of a text. A document over its cut scores below
+the threshold whatever its mean.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +21,9 @@ from pyspark.sql import functions as F
 
 from slipstream.llm.arrowtext import flat, mix, runs, slices, span_hashes
 
+#: Tokens that make up the harm of a text; documents added to each bucket; standard deviations from which a share is no chance.
+WORST, HARM_PRIOR, SURE = 3, 1.0, 4.0
+
 _WORD, _MARK = 1, 2
 _CLASSES = np.full(256, _MARK, np.uint8)
 _CLASSES[0x80:] = _WORD
@@ -53,24 +60,28 @@ def features(texts: pa.Array, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
 
 
 def labelled(labels: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` rows ``(label_id, good, part)`` of ``labels(doc_id, quality, toxic)``, chosen by a hash of the id.
+    """At most ``most`` rows ``(label_id, good, toxic, part)`` of ``labels(doc_id, quality, toxic)``, chosen by a hash of the id.
 
     Good is quality 1 and not toxic. ``part`` 0 fits the models, ``part`` 1 sets the threshold. An id with several
-    labels is good only if all are; a null in id or quality drops the label, a null in toxic is not toxic.
+    labels is good only if all are, and toxic if one is; a null in id or quality drops the label, a null in toxic is not
+    toxic.
     """
     rows = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("label_id"))
-    each = rows.agg(F.min(F.expr("quality = 1 and coalesce(toxic, 0) = 0")).alias("good"))
+    each = rows.agg(F.min(F.expr("quality = 1 and coalesce(toxic, 0) = 0")).alias("good"), F.max(F.expr("coalesce(toxic, 0) <> 0")).alias("toxic"))
     order = F.xxhash64(F.col("label_id"), F.lit("labelled"))
     return each.withColumn("part", F.pmod(F.xxhash64(F.col("label_id"), F.lit("part")), F.lit(2)).cast("int")).orderBy(order, "label_id").limit(most)
 
 
 @dataclass(frozen=True)
 class Model:
-    """Log ratio by bucket, natural logarithm, and the mean from which a document counts as trusted."""
+    """Log ratio by bucket, natural logarithm, and the score from which a document counts as trusted; log ratio of toxic
+    documents to trusted ones by bucket of a token, and the harm up to which a document scores its mean."""
 
     shape: Shape
     ratio: np.ndarray
     threshold: float
+    harm: np.ndarray
+    most_harm: float = np.inf
 
     def means(self, texts: pa.Array) -> np.ndarray:
         """Mean log ratio over the n-grams of each text; 0 where there is none."""
@@ -79,51 +90,101 @@ class Model:
         total = np.bincount(owner, weights=self.ratio[found], minlength=len(texts))
         return total / np.maximum(n, 1)
 
+    def harms(self, texts: pa.Array) -> np.ndarray:
+        """Sum of the ``WORST`` highest log ratios above 0 over the different tokens of each text."""
+        bucket, owner = _presence(texts, self.shape, self.harm > 0)
+        value = self.harm[bucket]
+        bad = np.lexsort((-value, owner))
+        rank = np.arange(len(bad)) - np.searchsorted(owner[bad], owner[bad])
+        worst = bad[rank < WORST]
+        return np.bincount(owner[worst], weights=value[worst], minlength=len(texts)).astype(float)
+
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        """The mean of each text; of one with too much harm, that or the threshold, whichever is less, less the harm."""
+        means, harms = self.means(texts), self.harms(texts)
+        return np.where(harms > self.most_harm, np.minimum(means, self.threshold) - harms, means)
+
+
+def _presence(texts: pa.Array, shape: Shape, among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The different buckets, ``among`` those marked, of the single tokens of each text, and its place, in ascending order."""
+    found, owner = features(texts, replace(shape, order=1))
+    both = owner * shape.buckets + found
+    both = np.unique(both if among is None else both[among[found]])
+    return both % shape.buckets, both // shape.buckets
+
 
 def _counted(shape: Shape):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, trusted = np.zeros(shape.buckets, np.int64), np.zeros(shape.buckets, np.int64)
+        raw, trusted, clean, toxic = (np.zeros(shape.buckets, np.int64) for _ in range(4))
         for batch in slices(batches, 0):
             found, owner = features(batch.column(0), shape)
-            good = batch.column(1).fill_null(False).to_numpy(zero_copy_only=False)
+            good, bad = (batch.column(k).fill_null(False).to_numpy(zero_copy_only=False) for k in (1, 2))
             raw += np.bincount(found, minlength=shape.buckets)
             trusted += np.bincount(found[good[owner]], minlength=shape.buckets)
+            either = good | bad
+            if either.any():
+                bucket, text = _presence(batch.column(0).filter(pa.array(either)), shape)
+                for total, which in ((clean, good), (toxic, bad)):
+                    total += np.bincount(bucket[which[either][text]], minlength=shape.buckets)
         some = np.flatnonzero(raw)
         if len(some):
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(trusted[some])], names=["bucket", "raw", "trusted"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, raw[some], trusted[some], clean[some], toxic[some])], names=["bucket", *_COUNTS])
 
     return work
 
 
+_COUNTS = ("raw", "trusted", "clean", "toxic")
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, doc_id: str, text: str, shape: Shape, most_labels: int, lost: float
 ) -> Model:
     """Counts the raw multinomial over all of ``docs``, and the trusted one over the labelled documents of part 0.
 
     Labels are a bounded sample of ``most_labels`` rows, which proves the size of what is broadcast; every task adds up
-    its buckets, so what is shuffled and collected is bounded by ``shape.buckets``. The threshold is set on part 1: that
-    with the best balanced accuracy, but at most the quantile ``lost`` of good documents. Without good documents the ratio
-    is 0 everywhere; without labels in part 1 the threshold is below every document.
+    its buckets, so what is shuffled and collected is bounded by ``shape.buckets``. Both cuts are set on part 1, each with
+    the best balanced accuracy: the threshold between good documents and those that are not toxic and not good, at most
+    the quantile ``lost`` of good documents; the most harm between good and toxic ones, at least the quantile
+    1 - ``lost`` of good ones. Without good documents the ratio is 0 everywhere; without labels in part 1 the
+    threshold is below every document. Without good or toxic documents in either part no harm is too much.
     """
     sample = F.broadcast(labelled(labels, most_labels))
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     known = own.join(sample, own.doc_id == F.col("label_id"), "left")
-    counted = known.select("text", F.expr("good and part = 0").alias("good")).mapInArrow(_counted(shape), "bucket long, raw long, trusted long")
-    table = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toPandas()
-    raw, trusted = np.zeros(shape.buckets), np.zeros(shape.buckets)
-    raw[table["bucket"]], trusted[table["bucket"]] = table["raw"], table["trusted"]
+    counted = known.select("text", F.expr("good and part = 0").alias("good"), F.expr("toxic and part = 0").alias("toxic"))
+    rows = counted.mapInArrow(_counted(shape), ", ".join(f"{c} long" for c in ("bucket", *_COUNTS)))
+    table = rows.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in _COUNTS]).toPandas()
+    raw, trusted, clean, toxic = (np.zeros(shape.buckets) for _ in _COUNTS)
+    for c, total in zip(_COUNTS, (raw, trusted, clean, toxic), strict=True):
+        total[table["bucket"]] = table[c]
     scaled = raw * (trusted.sum() / max(raw.sum(), 1.0))
     ratio = np.log((trusted + shape.prior) / (scaled + shape.prior))
-    model = Model(shape, ratio, -np.inf)
-    held = own.join(sample.where("part = 1"), own.doc_id == F.col("label_id")).select("text", "good")
-    scores = held.mapInArrow(_scored(model), "score double, good boolean").toPandas()
-    return Model(shape, ratio, threshold(scores["score"].to_numpy(float), scores["good"].to_numpy(bool), lost))
+    parts = known.where("part = 0").agg(F.count_if("good"), F.count_if("toxic")).first()
+    harm = _harm(clean, toxic, *parts) if all(parts) else np.zeros(shape.buckets)
+    model = Model(shape, ratio, -np.inf, harm)
+    held = own.join(sample.where("part = 1"), own.doc_id == F.col("label_id")).select("text", "good", "toxic")
+    found = held.mapInArrow(_scored(model), "score double, harm double, good boolean, toxic boolean").toPandas()
+    good, bad = found["good"].to_numpy(bool), found["toxic"].to_numpy(bool)
+    cut = threshold(found["score"].to_numpy(float)[~bad], good[~bad], lost)
+    most = np.inf
+    if all(parts) and good.any() and bad.any():
+        most = -threshold(-found["harm"].to_numpy(float)[good | bad], good[good | bad], lost)
+    return Model(shape, ratio, cut, harm, most)
+
+
+def _harm(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int) -> np.ndarray:
+    """Log ratio of the shares of toxic and clean documents that have a bucket; 0 where they may differ by chance."""
+    ratio = np.log((toxic + HARM_PRIOR) / (n_toxic + 2 * HARM_PRIOR)) - np.log((clean + HARM_PRIOR) / (n_clean + 2 * HARM_PRIOR))
+    deviation = np.sqrt((toxic + clean + 1) / (n_toxic + n_clean) / n_toxic)
+    return np.where(toxic / n_toxic - clean / n_clean > SURE * deviation, ratio, 0.0)
 
 
 def _scored(model: Model):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0):
-            yield pa.RecordBatch.from_arrays([pa.array(model.means(batch.column(0))), batch.column(1)], names=["score", "good"])
+            text = batch.column(0)
+            columns = [pa.array(model.means(text)), pa.array(model.harms(text)), batch.column(1), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, names=["score", "harm", "good", "toxic"])
 
     return work
 

@@ -34,7 +34,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "score"
     """``docs`` with the mean log ratio of each whole text. A null or empty text has no n-gram and scores 0."""
 
     def made():
-        return lambda texts: pa.array(model.means(texts))
+        return lambda texts: pa.array(model.scores(texts))
 
     return appended(docs, text, out, "double", made)
 

@@ -87,7 +87,7 @@ def judged(docs: DataFrame, model: Model, text: str = "text", out: str = "rules"
 
     def made():
         def of(texts: pa.Array) -> pa.Array:
-            return pa.StructArray.from_arrays([*measures(texts), pa.array(model.means(texts))], names=[*MEASURES, "llr"])
+            return pa.StructArray.from_arrays([*measures(texts), pa.array(model.scores(texts))], names=[*MEASURES, "llr"])
 
         return of
 

@@ -126,3 +126,18 @@ def test_odd_rows_empty_tables_and_columns(odd, table, spark, labels):
         assert quality_rules.judged(docs.select("doc_id", "text"), blank).count() == docs.count()
     nulls = spark.createDataFrame([(None, 1, 0), (3, None, 0), (4, 1, None), (4, 0, 0)], "doc_id long, quality int, toxic int")
     assert [tuple(r)[:2] for r in ngram_ratio.labelled(nulls, 10).collect()] == [(4, False)]
+
+
+def test_held_out_toxic_documents_go(spark):
+    """Fluent documents with a few toxic words are dropped by each filter, judged on labels it has not seen."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    seen, unseen = labels.where("doc_id % 2 = 0"), {r["doc_id"]: (r["quality"], r["toxic"]) for r in labels.where("doc_id % 2 = 1").collect()}
+    for kept in (
+        {r["doc_id"]: r["kept"] for r in quality_classifier.resampled(docs, quality_classifier.fit(docs, seen)).collect()},
+        {r["doc_id"]: r["kept"] for r in quality_rules.judged(docs, quality_rules.fit(docs, seen)).select("doc_id", "rules.*").where("not base_failed").collect()},
+    ):
+        clean = [kept[i] for i, v in unseen.items() if v == (1, 0) and i in kept]
+        toxic = [kept[i] for i, v in unseen.items() if v == (1, 1) and i in kept]
+        assert np.mean(clean) >= 0.99
+        assert np.mean(toxic) <= 0.3
