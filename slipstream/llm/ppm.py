@@ -7,11 +7,12 @@ number of the context's different symbols (method D), leads to the context one s
 are excluded. Below the empty context all symbols that are left are equally likely.
 
 **Training** counts the n-grams of the longest order in every task and adds them up in one exchange, which grows with the
-corpus; counts of shorter contexts are sums of these. For scoring the trie is broadcast, so each order keeps the nodes that
-occur most often, at most ``most_nodes`` of them.
+corpus; counts of shorter contexts are sums of these. Totals, distinct symbols and exclusions of a context are taken from all
+of its nodes.
 
-**Scoring** follows all positions of a batch of texts at once: the longest context is looked up first, and only the
-positions that escape go on.
+**Scoring** is exact. A symbol's probability depends on its key alone, the last ``ORDER`` symbols and itself. At most
+``most_nodes`` keys, those that training has most often, are broadcast with their probabilities. All other keys are counted
+per text; the different ones meet the whole tables, order by order, and their probabilities meet the counts in a join.
 
 Base scores need the count of every token of an open vocabulary. Tokens with more than one in ``FREQUENT`` of all counts
 (there cannot be more than that many) are broadcast; the others meet their counts in a join.
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slipstream.llm.arrowtext import flat, mix, runs, slices, span_hashes
@@ -235,10 +236,10 @@ def _gram_rows(codes: np.ndarray, held: int):
 _COUNTS = "kind int, key long, n long"
 
 
-def _most_frequent(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of ``table(key, n)``, sorted by key: all with a count from the least that leaves at most ``most`` rows.
+def _most_frequent(table: DataFrame, most: int) -> DataFrame:
+    """The rows of ``table`` with a count ``n`` from the least that leaves at most ``most`` rows.
 
-    The least count is found by halving on sums of one row each; what is collected is bounded by ``most``.
+    The least count is found by halving on sums of one row each.
     """
     low, high = 1, 1 + (table.agg(F.max("n")).first()[0] or 0)
     steps = [1]
@@ -251,15 +252,13 @@ def _most_frequent(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]
     while high - low > 1:
         middle = (low + high) // 2
         low, high = (middle, high) if table.where(F.col("n") >= middle).count() > most else (low, middle)
-    keys, counts = _collected(table.where(F.col("n") >= high))
-    order = np.argsort(keys)
-    return keys[order], counts[order]
+    return table.where(F.col("n") >= high)
 
 
-def _collected(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of a bounded table."""
-    found = table.select("key", "n").toArrow()
-    return found["key"].to_numpy(), found["n"].to_numpy()
+def _collected(table: DataFrame, *columns: str) -> list[np.ndarray]:
+    """Columns of a bounded table."""
+    found = table.select(*columns).toArrow()
+    return [found[c].to_numpy() for c in columns]
 
 
 def _level(keys: np.ndarray, counts: np.ndarray, lower: Level | None, order: int) -> Level:
@@ -272,24 +271,65 @@ def _level(keys: np.ndarray, counts: np.ndarray, lower: Level | None, order: int
     return Level(keys, counts, context[at], add(counts), np.diff(np.append(at, len(keys))), add(below))
 
 
-def train(docs: DataFrame, codes: np.ndarray, other: np.ndarray, held: int, most_nodes: int) -> Trie:
-    """The trie of all training documents in ``docs(doc_id, text)``. At most ``most_nodes`` nodes of an order are kept."""
+#: Shorter orders than this have at most 64^3 nodes, so their tables are broadcast.
+SMALL = 3
+
+
+def _suffix(symbols: int) -> Column:
+    return F.col("key").bitwiseAND(F.lit((1 << (BITS * symbols)) - 1))
+
+
+def _few(table: DataFrame, order: int) -> DataFrame:
+    return F.broadcast(table) if order < SMALL else table
+
+
+def train(docs: DataFrame, codes: np.ndarray, held: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """All nodes ``(key, n)`` and all contexts ``(context, total, kinds, below)`` of each order, of the training documents in
+    ``docs(doc_id, text)``."""
     grams = staged(docs.mapInArrow(_gram_rows(codes, held), _COUNTS).groupBy("key").agg(F.sum("n").alias("n")), "grams")
-    tables = [grams]
+    nodes = [grams]
     for order in range(ORDER - 1, -1, -1):
-        shorter = F.col("key").bitwiseAND(F.lit((1 << (BITS * (order + 1))) - 1))
-        tables.append(staged(tables[-1].groupBy(shorter.alias("key")).agg(F.sum("n").alias("n")), "grams"))
-    levels: list[Level] = []
-    for order, table in enumerate(reversed(tables)):
-        keys, counts = _most_frequent(table, most_nodes)
-        lower = levels[-1] if levels else None
-        if lower is not None and len(keys):  # a node's suffix is a node, which may fail only where a shorter order was cut deeper
-            inner = keys & ((1 << (BITS * order)) - 1)
-            place = np.minimum(np.searchsorted(lower.nodes, inner), len(lower.nodes) - 1)
-            there = lower.nodes[place] == inner
-            keys, counts = keys[there], counts[there]
-        levels.append(_level(keys, counts, lower, order))
-    return Trie(codes, other, levels)
+        nodes.insert(0, staged(nodes[0].groupBy(_suffix(order + 1).alias("key")).agg(F.sum("n").alias("n")), "grams"))
+    contexts = []
+    for order, table in enumerate(nodes):
+        below = table.withColumn("m", F.lit(0).cast("long"))
+        if order:
+            lower = _few(nodes[order - 1].select(F.col("key").alias("inner"), F.col("n").alias("m")), order - 1)
+            below = table.join(lower, _suffix(order) == F.col("inner"))
+        sums = below.groupBy(F.shiftright("key", BITS).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("m").alias("below"))
+        contexts.append(staged(sums, "contexts"))
+    return nodes, contexts
+
+
+def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """log10 probability of each key from its count, and its contexts' totals, kinds and exclusions, in every order."""
+    for batch in batches:
+        of = lambda name, batch=batch: batch.column(name).fill_null(0).to_numpy(zero_copy_only=False).astype(float)
+        score, shut_sum, shut_n = np.zeros(batch.num_rows), np.zeros(batch.num_rows), np.zeros(batch.num_rows)
+        active = np.ones(batch.num_rows, bool)
+        for order in range(ORDER, -1, -1):
+            n, total, distinct, below = (of(f"{name}{order}") for name in ("n", "total", "kinds", "below"))
+            known = active & (total > 0)
+            hit = known & (n > 0)
+            kinds, weight = distinct - shut_n, 2 * (total - shut_sum)
+            score[hit] += np.log10((2 * n[hit] - 1) / weight[hit])
+            miss = known & ~hit
+            some = miss & (kinds > 0)
+            score[some] += np.log10(kinds[some] / weight[some])
+            active &= ~hit
+            shut_sum, shut_n = np.where(miss, below, 0), np.where(miss, distinct, 0)
+        score[active] -= np.log10(np.maximum(SYMBOLS - shut_n[active], 1))
+        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(score)], names=["key", "logp"])
+
+
+def probabilities(keys: DataFrame, nodes: list[DataFrame], contexts: list[DataFrame]) -> DataFrame:
+    """``(key, logp)`` of different ``keys(key)`` by the whole model."""
+    for order in range(ORDER, -1, -1):
+        node = nodes[order].select(F.col("key").alias("node"), F.col("n").alias(f"n{order}"))
+        keys = keys.join(_few(node, order), _suffix(order + 1) == F.col("node"), "left").drop("node")
+        context = contexts[order].select(F.col("context"), *[F.col(c).alias(f"{c}{order}") for c in ("total", "kinds", "below")])
+        keys = keys.join(_few(context, order), F.shiftright(_suffix(order + 1), BITS) == F.col("context"), "left").drop("context")
+    return keys.mapInArrow(_chained, "key long, logp double")
 
 
 class Scorer:
@@ -361,14 +401,45 @@ class Scorer:
         return total
 
 
-_SCORES = "doc_id long, copy long, held_out boolean, n_tokens long, n_known long, base double, score double, hash long"
+class Settled:
+    """Scores the keys that are broadcast; counts the others."""
+
+    def __init__(self, codes: np.ndarray, other: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> None:
+        self.codes, self.table, self.logs = codes, Table(keys), logs
+        spread = other + 0.5 * ((codes == OTHER) & (_NOT_SPACE > 0))
+        with np.errstate(divide="ignore"):
+            self.other = np.log10(spread / max(spread.sum(), 1.0))
+
+    def texts(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What each text scores by broadcast keys and rare bytes; and text, key and count of each other key of a text."""
+        stream, begin, end = words.stream(self.codes)
+        keys = _keys(stream, begin)
+        text = np.repeat(np.arange(len(begin)), end - begin + 1)
+        place = self.table.find(keys)
+        hit = place >= 0
+        total = np.bincount(text[hit], weights=self.logs[place[hit]], minlength=len(begin)).astype(float)
+        rare = np.flatnonzero((self.codes[words.data] == OTHER) & (_NOT_SPACE[words.data] > 0))
+        if len(rare):
+            owner = np.searchsorted(words.offsets, rare, side="right") - 1
+            total += np.bincount(owner, weights=self.other[words.data[rare]], minlength=len(begin))
+        keys, text = keys[~hit], text[~hit]
+        order = np.lexsort((keys, text))
+        keys, text = keys[order], text[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])
+        at = np.flatnonzero(new)
+        return total, text[at], keys[at], np.diff(np.append(at, len(keys)))
+
 
+_SCORES = "doc_id long, copy long, held_out boolean, n_tokens long, n_known long, base double, score double, hash long, gram long, times long"
 
-def _score_rows(trie, frequent, held: int):
-    """A row for each document, with sums over its frequent tokens; and a row for each of its other tokens, by hash."""
+
+def _score_rows(settled, frequent, held: int):
+    """A row for each document, with sums over its frequent tokens and keys; and one for each of its other tokens, by hash,
+    and for each of its other keys, with their number."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(Trie.of(trie.value))
+        scorer = Settled(*settled.value)
         keys, counts = frequent.value
         table, logs = Table(keys), np.log10(counts + 0.5)
         for batch in slices(batches, 1, SLICE):
@@ -377,25 +448,27 @@ def _score_rows(trie, frequent, held: int):
             of = np.repeat(np.arange(batch.num_rows), words.n_words)
             place = table.find(hashes)
             known = place >= 0
-            base = np.bincount(of[known], weights=logs[place[known]], minlength=batch.num_rows)
+            base = np.bincount(of[known], weights=logs[place[known]], minlength=batch.num_rows).astype(float)
             n_known = np.bincount(of[known], minlength=batch.num_rows)
+            score, text, gram, times = scorer.texts(words)
             rows, rest = batch.num_rows, of[~known]
-            total = rows + len(rest)
-            own = np.arange(total) < rows
-            who = pa.array(np.concatenate([np.arange(rows), rest]))
+            tokens = rows + len(rest)
+            total = tokens + len(text)
+            own, is_token, is_gram = (np.arange(total) < rows, np.zeros(total, bool), np.arange(total) >= tokens)
+            is_token[rows:tokens] = True
+            who = pa.array(np.concatenate([np.arange(rows), rest, text]))
 
-            def column(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+            def column(values: np.ndarray, kind: pa.DataType, at: np.ndarray = own) -> pa.Array:
                 padded = np.zeros(total, values.dtype)
-                padded[:rows] = values
-                return pa.array(padded, kind, mask=~own)
+                padded[at] = values
+                return pa.array(padded, kind, mask=~at)
 
-            tail = np.zeros(total, np.int64)
-            tail[rows:] = hashes[~known]
             columns = [
                 batch.column(0).take(who), batch.column(2).take(who), column(~_trains(batch.column(0), held), pa.bool_()), column(words.n_words + 1, pa.int64()),
-                column(n_known, pa.int64()), column(base, pa.float64()), column(scorer.texts(words), pa.float64()), pa.array(tail, mask=own),
+                column(n_known, pa.int64()), column(base, pa.float64()), column(score, pa.float64()), column(hashes[~known], pa.int64(), is_token),
+                column(gram, pa.int64(), is_gram), column(times, pa.int64(), is_gram),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "held_out", "n_tokens", "n_known", "base", "score", "hash"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "held_out", "n_tokens", "n_known", "base", "score", "hash", "gram", "times"])
 
     return work
 
@@ -406,7 +479,7 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: in
     Documents whose CRC-32 of the id as text leaves ``held`` modulo 5 are held out; the model and the base counts learn from
     all others, repeated rows as often as they are repeated. A null or empty text is the end alone. A null id counts as an
     empty id text, so it is trained on. With nothing to learn from, all symbols are equally likely and no token is known.
-    Other columns are not read.
+    Other columns are not read. ``most_nodes`` bounds what is broadcast and changes no score.
     """
     spark = docs.sparkSession
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -420,11 +493,14 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: in
     for r in tables.where(F.col("kind") == _BYTE).collect():
         histogram[r["key"]] = r["n"]
     codes = codes_of(histogram)
-    trie = train(own, codes, np.where(codes == OTHER, histogram, 0), held, most_nodes)
-
-    common = _collected(tokens.where(F.col("n") > total // FREQUENT))
-    sent = [spark.sparkContext.broadcast(x) for x in (trie.plain(), common)]
-    del trie, common
+    nodes, contexts = train(own, codes, held)
+
+    often = _most_frequent(nodes[ORDER], most_nodes)
+    top = often.join(contexts[ORDER].select("context", "total"), F.shiftright("key", BITS) == F.col("context"))
+    keys, counts, totals = _collected(top, "key", "n", "total")
+    settled = (codes, np.where(codes == OTHER, histogram, 0), keys, np.log10((2 * counts - 1) / (2 * totals)))
+    sent = [spark.sparkContext.broadcast(x) for x in (settled, tuple(_collected(tokens.where(F.col("n") > total // FREQUENT), "key", "n")))]
+    del keys, counts, totals, settled
     rows = staged(own.withColumn("copy", F.xxhash64("text")).mapInArrow(_score_rows(*sent, held), _SCORES), "scores")
     for x in sent:
         x.destroy()
@@ -432,15 +508,22 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: in
     rest = rows.where("hash is not null").select("doc_id", "copy", "hash")
     rare = rest.join(tokens.withColumnRenamed("key", "hash"), "hash", "left").groupBy("doc_id", "copy")
     sums = staged(rare.agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_base"), F.count_if(F.col("n") > 0).alias("rare_known")), "sums")
-    each = rows.where("hash is null").drop("hash").groupBy("doc_id", "copy", "held_out", "n_tokens", "n_known", "base", "score").agg(F.count("*").alias("times"))
-    named = sums.select(F.col("doc_id").alias("d"), F.col("copy").alias("c"), "rare_base", "rare_known")
-    joined = each.join(named, each["doc_id"].eqNullSafe(named["d"]) & (each["copy"] == named["c"]), "left")
+    others = rows.where("gram is not null").select("doc_id", "copy", F.col("gram").alias("key"), F.col("times").alias("n_gram"))
+    found = staged(probabilities(others.select("key").distinct(), nodes, contexts), "probabilities")
+    grams = staged(others.join(found, "key").groupBy("doc_id", "copy").agg(F.sum(F.col("n_gram") * F.col("logp")).alias("rare_score")), "sums")
+    each = rows.where("hash is null and gram is null").drop("hash", "gram", "times")
+    each = each.groupBy("doc_id", "copy", "held_out", "n_tokens", "n_known", "base").agg(F.count("*").alias("times"), F.min("score").alias("score"))
+    joined = each
+    for table in (sums, grams):
+        named = table.withColumnsRenamed({"doc_id": "d", "copy": "c"})
+        joined = joined.join(named, joined["doc_id"].eqNullSafe(named["d"]) & (joined["copy"] == named["c"]), "left").drop("d", "c")
     log_total = float(np.log10(total + 0.5 * (vocabulary + 1)))
     end_base = float(np.log10(ends + 0.5))
     base = F.col("base") + F.coalesce("rare_base", F.lit(0.0)) / F.col("times") + F.lit(end_base) - F.col("n_tokens") * F.lit(log_total)
+    score = F.col("score") + F.coalesce("rare_score", F.lit(0.0)) / F.col("times")
     known = F.col("n_known") + F.floor(F.coalesce("rare_known", F.lit(0)) / F.col("times")) + F.lit(int(ends > 0))
     return joined.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(
-        "doc_id", "held_out", "n_tokens", known.cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score"
+        "doc_id", "held_out", "n_tokens", known.cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score")
     )
 
 

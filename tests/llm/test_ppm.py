@@ -130,6 +130,15 @@ def test_pruned_orders_stay_within_the_bound_and_score(small):
     assert len(rows) == small.count() and all(np.isfinite(r["score"]) and r["score"] < 0 for r in rows)
 
 
+def test_scores_do_not_depend_on_what_is_broadcast(small):
+    """With room for 1 or 500 nodes every other key takes the joins; the scores are those of the whole model."""
+    docs = small.limit(60).select("doc_id", "text")
+    want = {r["doc_id"]: r["score"] for r in ppm.scored(docs).collect()}
+    for most in (1, 500):
+        got = {r["doc_id"]: r["score"] for r in ppm.scored(docs, most_nodes=most).collect()}
+        assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], rel=1e-9) for i in want)
+
+
 def test_better_than_single_tokens_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     rows = ppm.scored(docs).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
