@@ -7,7 +7,7 @@ token. That is a transducer: its state is the bytes from the first open place on
 a byte it finds the token that ends there and fits the one before it, and emits the tokens that all open places agree on.
 States and transitions are made lazily: a transition that an input needs for the first time is only simulated, place by
 place; when it is needed again it is determinised, and from then on followed by one lookup. Tokens come out after a
-lookahead of at most the longest token's bytes.
+lookahead of at most the longest token's bytes. All new pieces of a slice of texts are stepped together in numpy.
 
 **Decoding.** A token's bytes are appended as they come; an incremental UTF-8 state machine turns them into text, holding
 back at most three bytes of an unfinished character.
@@ -22,16 +22,19 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slipstream.llm.arrowtext import slices
-from slipstream.llm.subword import ChunkEncoder, chunks, process_wide
+from slipstream.llm.subword import ChunkEncoder, Ragged, process_wide
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: States, pieces and pairs of tokens that a worker remembers; beyond that they are made anew, so memory is bounded.
-STATES, PIECES, PAIRS = 100_000, 50_000, 300_000
+STATES, PIECES, PAIRS = 100_000, 300_000, 300_000
+#: Pieces of a slice that have to need a transition before it is determinised for them, and bytes of a piece read alone.
+OFTEN, LONG = 16, 64
+#: Text that is encoded together; tokens that are decoded together.
+SLICE_BYTES, STEP = 4 << 20, 1 << 14
 #: A token's id is below 2 to this power.
 PAIR_BITS = 24
 
@@ -107,6 +110,118 @@ class Merges:
                 limit, b = b + 1, right[0]
 
 
+class Numbers:
+    """A hash table in numpy from non-negative 64-bit keys to 32-bit numbers; what is not there is -1."""
+
+    def __init__(self, keys: np.ndarray = (), values: np.ndarray = ()) -> None:
+        self.keys, self.values, self.used = np.full(1 << 10, -1, np.int64), np.full(1 << 10, -1, np.int32), 0
+        self.add(np.asarray(keys, np.int64), np.asarray(values, np.int32))
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - len(self.keys).bit_length())).astype(np.int64)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Adds distinct keys that are not there yet."""
+        self.used += len(keys)
+        if 2 * self.used > len(self.keys):
+            there = self.keys >= 0
+            keys, values = np.concatenate([self.keys[there], keys]), np.concatenate([self.values[there], values])
+            size = 1 << (2 * self.used).bit_length()
+            self.keys, self.values = np.full(size, -1, np.int64), np.full(size, -1, np.int32)
+        at = self._place(keys)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]  # of several keys for one place, the last one written stays
+            put = free & (self.keys[at] == keys)
+            self.values[at[put]] = values[put]
+            keys, values, at = keys[~put], values[~put], (at[~put] + 1) & (len(self.keys) - 1)
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        found, at, asked = np.full(len(keys), -1, np.int32), self._place(keys), np.arange(len(keys))
+        while len(asked):
+            there = self.keys[at]
+            same = there == keys
+            found[asked[same]] = self.values[at[same]]
+            on = ~same & (there >= 0)
+            keys, asked, at = keys[on], asked[on], (at[on] + 1) & (len(self.keys) - 1)
+        return found
+
+
+class Simulation:
+    """The reading of bytes that ``Transducer`` does for one piece, for many pieces together."""
+
+    def __init__(self, merges: Merges) -> None:
+        size = 1 + max(merges.bytes_of)
+        pairs, self.left, self.right, self.size = {}, np.full(size, -1, np.int64), np.full(size, -1, np.int64), np.zeros(size, np.int64)
+        for token, whole in merges.bytes_of.items():
+            self.size[token] = len(whole)
+            if (two := merges.split(token)) is not None:
+                self.left[token], self.right[token] = two
+            for k in range(1, len(whole)):
+                a, b = merges.ranks.get(whole[:k]), merges.ranks.get(whole[k:])
+                if a is not None and b is not None:
+                    pairs[a << PAIR_BITS | b] = token
+        self.joined = Numbers(list(pairs), list(pairs.values()))
+        self.child = Numbers(list(merges.child), list(merges.child.values()))
+        self.token_at = np.array(merges.token_at, np.int64)
+
+    def leaves_apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``Merges.leaves_apart`` for many pairs."""
+        found, asked, limit = np.ones(len(a), bool), np.arange(len(a)), np.full(len(a), 1 << 62)
+        while len(asked):
+            joined = self.joined[a << PAIR_BITS | b]
+            met = (joined >= 0) & (joined < limit)
+            found[asked[met]] = False
+            by_left = (a > b) | (self.right[b] < 0)
+            on = ~met & np.where(by_left, self.left[a] >= 0, True)
+            limit, a, b = np.where(by_left, a, b + 1)[on], np.where(by_left, self.right[a], a)[on], np.where(by_left, b, self.left[b])[on]
+            asked = asked[on]
+        return found
+
+    def __call__(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece as little-endian unsigned 32-bit integers; none is empty."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        order = np.argsort(-sizes, kind="stable")  # those that still read are always the first ones
+        sizes = sizes[order]
+        longest = int(sizes[0])
+        read = np.frombuffer(b"".join([pieces[k].ljust(longest, b"\0") for k in order.tolist()]), np.uint8).reshape(len(pieces), longest)
+        last = np.full((len(pieces), longest), -1, np.int64)
+        piece, place, node = np.arange(len(pieces)), np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        for k in range(longest):
+            going = np.searchsorted(-sizes, -k, side="left")  # pieces longer than k
+            if going < len(pieces):
+                on = piece < going
+                piece, place, node = piece[on], place[on], node[on]
+            node = self.child[node << 8 | read[piece, k]].astype(np.int64)
+            on = node >= 0
+            piece, place, node = piece[on], place[on], node[on]
+            token = self.token_at[node]
+            ends = np.flatnonzero(token >= 0)
+            p, at, t = piece[ends], place[ends], token[ends]
+            later = np.flatnonzero(at > 0)
+            fits = np.ones(len(ends), bool)
+            fits[later] = self.leaves_apart(last[p[later], at[later] - 1], t[later])
+            last[p[fits][::-1], k] = t[fits][::-1]  # the first open place counts, if more than one fits
+            if (last[:going, k] < 0).any():
+                raise ValueError("no token ends at some byte")
+            begun = np.arange(going)
+            piece, place, node = np.concatenate([piece, begun]), np.concatenate([place, np.full(going, k + 1)]), np.concatenate([node, np.zeros(going, np.int64)])
+            if k + 1 < longest:
+                near = np.argsort(piece, kind="stable")
+                piece, place, node = piece[near], place[near], node[near]
+        backwards, rows, left = [], np.arange(len(pieces)), sizes.copy()
+        while len(rows):
+            token = last[rows, left[rows] - 1]
+            backwards.append((rows, token))
+            left[rows] -= self.size[token]
+            rows = rows[left[rows] > 0]
+        tokens = np.concatenate([t for _, t in backwards[::-1]])
+        near = np.argsort(np.concatenate([order[r] for r, _ in backwards[::-1]]), kind="stable")
+        raw = tokens[near].astype("<u4").tobytes()
+        ends = 4 * np.cumsum([0, *np.bincount(np.concatenate([order[r] for r, _ in backwards]), minlength=len(pieces)).tolist()])
+        return [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
 class Transducer:
     """Encodes one piece at a time. ``step`` maps a state and a byte to the tokens emitted and the next state.
 
@@ -212,41 +327,81 @@ class Transducer:
             emitted, at = found
             if emitted:
                 out += emitted
-        if at not in self.rest:
-            last = self.states[at][2]
-            self.rest[at] = tuple(self._path(last, len(last)))
-        out += self.rest[at]
+        out += self.ending(at)
         return out
 
+    def ending(self, state: int) -> tuple[int, ...]:
+        """The tokens that a state still holds when its piece ends."""
+        if state not in self.rest:
+            last = self.states[state][2]
+            self.rest[state] = tuple(self._path(last, len(last)))
+        return self.rest[state]
+
+
+class Together:
+    """Encodes new pieces together: one step of the transducer for all of them at each byte.
+
+    A transition that ``OFTEN`` pieces need is determinised, if it is not yet; pieces that need a rarer one leave the
+    transducer and are simulated together. Pieces of more than ``LONG`` bytes are read one by one.
+    """
+
+    def __init__(self, merges: Merges, most: int = STATES) -> None:
+        self.transducer, self.single, self.simulated = Transducer(merges, most), Transducer(merges, most), Simulation(merges)
+        self._begin()
+
+    def _begin(self) -> None:
+        self.transducer._begin()
+        self.number, self.emitted, self.target = Numbers(), [()], np.zeros(1, np.int64)
+
+    def _determinised(self, keys: list[int]) -> None:
+        made = [self.transducer._follow(key >> 8, key & 255) for key in keys]
+        self.number.add(np.array(keys), np.arange(len(self.emitted), len(self.emitted) + len(keys)))
+        self.emitted += [out for out, _ in made]
+        self.target = np.concatenate([self.target, np.array([to for _, to in made], np.int64)])
+
+    def __call__(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of distinct pieces as little-endian unsigned 32-bit integers."""
+        found: list[bytes] = [b""] * len(pieces)
+        short = [k for k, p in enumerate(pieces) if 0 < len(p) <= LONG]
+        for at in range(0, len(short), 1 << 16):
+            part = short[at : at + (1 << 16)]
+            for k, ids in zip(part, self._short([pieces[k] for k in part]), strict=True):
+                found[k] = ids
+        for k, piece in enumerate(pieces):
+            if len(piece) > LONG:
+                found[k] = np.array(self.single(piece), "<u4").tobytes()
+        return found
 
-class Encoder:
-    """Encodes texts: the matches of a pattern, each by the transducer. The latest pieces are remembered."""
-
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = PIECES) -> None:
-        self.merges = Merges(ranks)
-        self.transducer = Transducer(self.merges)
-        self.matches = regex.compile(pattern).findall
-        self.most, self.known = most, {}
-
-    def _pieces(self, word: str) -> list[str]:
-        """The matches in a word with a space before it. ASCII letters with a comma or full stop need no search."""
-        body = word[:-1] if word[-1] in ",." else word
-        if body.isascii() and body.isalpha():
-            return [f" {word}"] if body is word else [f" {body}", word[-1]]
-        return self.matches(f" {word}")
-
-    def __call__(self, text: str) -> list[int]:
-        """Ids of ``text``, cut before each space that precedes something else, where the pattern begins a match."""
-        found, known = [], self.known
-        head, *rest = chunks(text)
-        for pieces in (self.matches(head), *map(self._pieces, rest)):
-            for piece in pieces:
-                ids = known.get(piece)
-                if ids is None:
-                    if len(known) >= self.most:
-                        known.clear()
-                    ids = known[piece] = self.transducer(piece.encode())
-                found += ids
+    def _short(self, pieces: list[bytes]) -> list[bytes]:
+        if len(self.transducer.states) > self.transducer.most:
+            self._begin()
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        longest = int(sizes.max())
+        read = np.frombuffer(b"".join([p.ljust(longest, b"\0") for p in pieces]), np.uint8).reshape(len(pieces), longest)
+        out: list[tuple[int, ...]] = [()] * len(pieces)
+        on, state, left = np.arange(len(pieces)), np.zeros(len(pieces), np.int64), []
+        for k in range(longest):
+            key = state << 8 | read[on, k]
+            step = self.number[key]
+            if (step < 0).any():
+                keys, times = np.unique(key[step < 0], return_counts=True)
+                self._determinised(keys[times >= OFTEN].tolist())
+                step = self.number[key]
+                left.append(on[step < 0])
+                on, step = on[step >= 0], step[step >= 0]
+            state = self.target[step]
+            for p, s in zip(on.tolist(), step.tolist(), strict=True):
+                if self.emitted[s]:
+                    out[p] += self.emitted[s]
+            end = sizes[on] == k + 1
+            for p, s in zip(on[end].tolist(), state[end].tolist(), strict=True):
+                out[p] += self.transducer.ending(s)
+            on, state = on[~end], state[~end]
+        found = [np.array(o, "<u4").tobytes() for o in out]
+        rare = np.concatenate([*left, np.empty(0, np.int64)]).astype(np.int64).tolist()
+        if rare:
+            for k, ids in zip(rare, self.simulated([pieces[k] for k in rare]), strict=True):
+                found[k] = ids
         return found
 
 
@@ -261,23 +416,16 @@ def decode_stream(ids: Iterable[int], bytes_of: dict[int, bytes]) -> Iterator[st
 
 
 def encoder(path: str, pattern: str) -> ChunkEncoder:
-    """An encoder of whole texts that cuts them where the pattern begins a match, and remembers the chunks."""
+    """An encoder of whole texts by the matches of ``pattern``, which has to begin a match at every space before something
+    else than white space; it remembers pieces."""
 
     def make() -> ChunkEncoder:
-        encode = Encoder(read_ranks(path), pattern)
-        leads = np.zeros(1 + max(encode.merges.bytes_of), bool)
-        leads[[rank for rank, token in encode.merges.bytes_of.items() if token.startswith(b" ")]] = True
-        return ChunkEncoder(lambda texts: [encode(t) for t in texts], leads)
+        together = Together(Merges(read_ranks(path)))
+        return ChunkEncoder(lambda pieces: together([p.encode() for p in pieces]), pattern, most=PIECES)
 
     return process_wide(("transducer", path, pattern), make)
 
 
-def _encode_batch(encode: ChunkEncoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after the other, and where each text's begin (one more at the end)."""
-    raw = encode.many(texts.to_pylist())
-    return np.frombuffer(b"".join(raw), "<u4").astype(np.int32), np.cumsum([0, *[len(r) // 4 for r in raw]])
-
-
 class _Decoder:
     """Tokens' bytes and decimal ids of a rank file."""
 
@@ -286,20 +434,28 @@ class _Decoder:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.decimal = [str(rank) for rank in range(1 + max(self.bytes_of))]
 
-    def columns(self, ids: np.ndarray, ends: np.ndarray) -> list[pa.Array]:
-        """``n_tokens, ids_sha256, decoded_sha256, text`` for lists of ids."""
+    def texts(self, ids: Sequence[int]) -> Iterator[str]:
+        """What ``decode_stream`` gives, many tokens at a step."""
+        machine = codecs.getincrementaldecoder("utf-8")("replace")
+        for at in range(0, len(ids), STEP):
+            yield machine.decode(b"".join(map(self.bytes_of.__getitem__, ids[at : at + STEP])))
+        yield machine.decode(b"", True)
+
+    def columns(self, ids: Ragged, text: bool) -> list[pa.Array]:
+        """``n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``text`` for rows of ids."""
         digests, plain, texts = [], [], []
-        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            found = ids[a:b].tolist()
-            raw = b"".join(map(self.bytes_of.__getitem__, found))
+        for k in range(len(ids.starts) - 1):
+            found = ids.row(k).tolist()
             digests.append(hashlib.sha256(" ".join(map(self.decimal.__getitem__, found)).encode()).hexdigest())
-            plain.append(hashlib.sha256(raw).hexdigest())
-            texts.append("".join(_texts(raw)))
-        return [pa.array(np.diff(ends), pa.int64()), *[pa.array(x, pa.string()) for x in (digests, plain, texts)]]
+            decoded = "".join(self.texts(found))
+            plain.append(hashlib.sha256(decoded.encode()).hexdigest())
+            texts.append(decoded if text else None)
+        columns = [pa.array(np.diff(ids.starts), pa.int64()), *[pa.array(x, pa.string()) for x in (digests, plain)]]
+        return [*columns, pa.array(texts, pa.string())] if text else columns
 
 
 _DECODED = ["n_tokens", "ids_sha256", "decoded_sha256", "text"]
-_DECODED_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, text string"
+_DECODED_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -307,13 +463,17 @@ def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, ids)`` for every row of ``docs``; a null or empty text has no ids."""
+    """``(doc_id, ids)`` for every row of ``docs``, repeated ones too; a null or empty text has no ids.
+
+    A very long text is encoded in one task, in one go. An empty table gives an empty result. Other columns, whatever their
+    names, are not read.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, pattern)
-        for batch in slices(batches, 1):
-            ids, ends = _encode_batch(encode, batch.column(1))
-            listed = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+        for batch in slices(batches, 1, SLICE_BYTES):
+            ids = encode(batch.column(1))
+            listed = pa.ListArray.from_arrays(pa.array(ids.starts.astype(np.int32)), pa.array(ids.values.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), listed], names=["doc_id", "ids"])
 
     return _own(docs, doc_id, text).mapInArrow(work, "doc_id long, ids array<int>")
@@ -322,8 +482,8 @@ def encoded(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", te
 def decoded(rows: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256, text)`` for ``rows`` of ids; null ids are none.
 
-    The digests are of the decimal ids joined by one space, and of the tokens' bytes; ``text`` is what the streaming
-    decoder gives.
+    The digests are of the decimal ids joined by one space, and of ``text`` in UTF-8, which the streaming decoder gives. It
+    is the tokens' bytes, but for such as are no UTF-8. Repeated rows stay; an empty table gives an empty result.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,26 +492,18 @@ def decoded(rows: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "ids"
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 sizes = part.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                found = part.column(1).flatten().to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([part.column(0), *decoder.columns(found, np.cumsum([0, *sizes]))], names=["doc_id", *_DECODED])
+                found = Ragged(part.column(1).flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *sizes]))
+                yield pa.RecordBatch.from_arrays([part.column(0), *decoder.columns(found, True)], names=["doc_id", *_DECODED])
 
-    return rows.select(F.col(doc_id).alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(work, _DECODED_SCHEMA)
+    return rows.select(F.col(doc_id).alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(work, f"{_DECODED_SCHEMA}, text string")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """What ``decoded`` gives for ``encoded`` documents, with one Python worker for each task instead of two."""
+    """What ``decoded`` gives for ``encoded`` documents but ``text``, with one Python worker for each task instead of two."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, decoder = encoder(path, pattern), process_wide(("decoder", path), lambda: _Decoder(path))
-        for batch in slices(batches, 1):
-            yield pa.RecordBatch.from_arrays([batch.column(0), *decoder.columns(*_encode_batch(encode, batch.column(1)))], names=["doc_id", *_DECODED])
+        for batch in slices(batches, 1, SLICE_BYTES):
+            yield pa.RecordBatch.from_arrays([batch.column(0), *decoder.columns(encode(batch.column(1)), False)], names=["doc_id", *_DECODED[:3]])
 
     return _own(docs, doc_id, text).mapInArrow(work, _DECODED_SCHEMA)
-
-
-def _texts(raw: bytes, step: int = 1 << 16) -> Iterator[str]:
-    """The incremental decoder over blocks of bytes, as ``decode_stream`` does over tokens."""
-    machine = codecs.getincrementaldecoder("utf-8")("replace")
-    for at in range(0, len(raw), step):
-        yield machine.decode(raw[at : at + step])
-    yield machine.decode(b"", True)

@@ -25,13 +25,8 @@ from slipstream.llm.staging import staged
 CAPACITY = 1024
 END = 2
 BLOCKS = 1024
-
-
-def cut(n: int, capacity: int) -> list[tuple[int, int]]:
-    """``(start, length)`` of the pieces of ``n`` tokens: whole ones, after a shorter first one where ``n`` leaves a rest."""
-    rest = n % capacity
-    found = [(0, rest)] if rest else []
-    return found + [(at, capacity) for at in range(rest, n, capacity)]
+#: Text that is encoded together.
+SLICE_BYTES = 4 << 20
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -98,24 +93,29 @@ class _Places:
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, piece, start, length, ids_crc32)`` of the token ids of each whole text with ``end`` after them."""
+    """``(doc_id, piece, start, length, ids_crc32)`` of the token ids of each whole text with ``end`` after them.
+
+    Pieces are whole ones, after a shorter first one where the length leaves a rest. The ids are those of the library's
+    default call, so the string of a special token in a text is its id.
+    """
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     last = np.array([end], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = subword.encoder(path)
-        for batch in slices(batches, 1):
-            row, place, start, length, crc = [], [], [], [], []
-            for k, raw in enumerate(encode.many(batch.column(1).to_pylist())):
-                ids = memoryview(raw + last)
-                for j, (at, n) in enumerate(cut(len(ids) // 4, capacity)):
-                    row.append(k)
-                    place.append(j)
-                    start.append(at)
-                    length.append(n)
-                    crc.append(zlib.crc32(ids[4 * at : 4 * (at + n)]))
+        for batch in slices(batches, 1, SLICE_BYTES):
+            ids = subword.with_end(encode(batch.column(1)), end)
+            tokens = np.diff(ids.starts)
+            many = -(-tokens // capacity)
+            row = np.repeat(np.arange(len(tokens)), many)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            rest = (tokens % capacity)[row]
+            start = np.where((rest > 0) & (place > 0), rest + (place - 1) * capacity, place * capacity)
+            length = np.where((rest > 0) & (place == 0), rest, capacity)
+            begin, raw = (4 * (ids.starts[row] + start)).tolist(), memoryview(ids.values.tobytes())
+            crc = [zlib.crc32(raw[at : at + n]) for at, n in zip(begin, (4 * length).tolist(), strict=True)]
             columns = [pa.array(place, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, crc)]]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), *columns], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *columns], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return own.mapInArrow(work, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -134,8 +134,8 @@ def numbered(found: DataFrame) -> DataFrame:
 def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every piece with its ``sequence_id`` (from 0) and ``offset``; sequences have no gaps and at most ``capacity`` tokens.
 
-    Null and empty texts are the end token alone. Repeated rows are packed each. A null id is carried along. An empty
-    table gives an empty result. Other columns are not read.
+    Null and empty texts are the end token alone; a very long one is encoded in one task and cut. Repeated rows are packed
+    each. A null id is carried along. An empty table gives an empty result. Other columns, whatever their names, are not read.
     """
     found = staged(pieces(docs, path, capacity, end, doc_id, text), "pieces")
     counts = dict(found.groupBy("length").count().collect())

@@ -1,20 +1,30 @@
-"""Token ids of whole texts by the tokenizers library, each distinct chunk of a task's texts encoded once."""
+"""Token ids of whole texts, each distinct chunk of a slice of texts encoded once.
+
+Texts are cut at every space that precedes something other than white space: there the first pattern of the vocabularies used
+begins a match, and no token reaches over it, so the encodings of the chunks, one after the other, are that of the text.
+Arrow cuts a slice and numbers its distinct chunks; only these are met in Python, and numpy deals their ids to the texts.
+"""
 
 from __future__ import annotations
 
 import os
 import re
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 
-#: A byte-level vocabulary whose first pattern splits at a space that precedes something other than white space. So
-#: ``" x"`` after such a cut is encoded by itself, whatever stands before it.
 VOCABULARY = "byte_bpe_50k.json"
+#: Matches of the pattern that a worker remembers in each of two generations.
 CACHE = 300_000
 
 _CUT = re.compile(r" (?=[^\s\x1c-\x1f])")
+#: Fixed value: the pattern of byte-level pre-tokenizers of the tokenizers library.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def public_path(name: str) -> str:
@@ -32,56 +42,175 @@ def chunks(text: str) -> list[str]:
     return _CUT.split(text)
 
 
-class ChunkEncoder:
-    """Encodes texts to ids as little-endian unsigned 32-bit integers.
+class Divided(NamedTuple):
+    """Texts in chunks: the distinct ones, and for every text the numbers of its own.
 
-    ``encode`` maps strings to lists of ids; ``leads`` tells for each id whether its bytes begin with a space. New chunks
-    are encoded many at a time and cut apart at the ids that lead with their space. Two generations of at most ``most``
-    chunks (or those of the texts encoded together, if they have more) are kept: when the younger is full it becomes the older, and what is
-    still in use moves back.
+    Numbers below ``len(heads)`` are chunks as they stand; the others are ``bodies``, words without a space, each after a cut
+    space. ``codes[starts[k]:starts[k + 1]]`` are the numbers of the k-th text.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], leads: np.ndarray, most: int = CACHE) -> None:
-        self.encode, self.leads, self.most = encode, leads, most
-        self.young, self.old = {}, {}
-
-    def _learn(self, words: set[str]) -> None:
-        fresh = []
-        for word in words:
-            if (ids := self.old.get(word)) is None:
-                fresh.append(word)
-            else:
-                self.young[word] = ids
-        plain = [w for w in fresh if " " not in w]
-        odd = [w for w in fresh if " " in w]
-        parts = [plain[at : at + 128] for at in range(0, len(plain), 128)]
-        for part, ids in zip(parts, self.encode([f" {' '.join(p)}" for p in parts]), strict=True):
-            found = np.array(ids, "<u4")
-            at = np.flatnonzero(self.leads[found])
-            if len(at) != len(part):
-                odd += part
-                continue
-            raw, ends = found.tobytes(), [*(4 * at[1:]).tolist(), 4 * len(found)]
-            self.young.update(zip(part, [raw[a:b] for a, b in zip((4 * at).tolist(), ends, strict=True)], strict=True))
-        for word, ids in zip(odd, self.encode([f" {w}" for w in odd]), strict=True):
-            self.young[word] = np.array(ids, "<u4").tobytes()
+    heads: list[str]
+    bodies: list[str]
+    codes: np.ndarray
+    starts: np.ndarray
 
-    def many(self, texts: list[str | None]) -> list[bytes]:
-        """Encodes texts together, so that what is new in them is learned at once. A null text is empty."""
-        split = [chunks(t) if t else [] for t in texts]
-        needed = {w for words in split for w in words[1:]}
-        missing = needed.difference(self.young)
-        if len(self.young) + len(missing) > self.most:
+
+def strings_of(texts: pa.Array) -> list[str]:
+    """The strings of an array without nulls; much faster than ``to_pylist``."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def divided(texts: pa.Array, whole: Sequence[str] = ()) -> Divided:
+    """Cuts texts into chunks. A null text is empty. A text that has one of ``whole`` in it is a single chunk."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    cut = pc.split_pattern(texts, " ")
+    numbered = cut.flatten().dictionary_encode()
+    words = strings_of(numbered.dictionary)
+    codes = numbered.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = cut.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = starts - starts[0]
+    body = np.ones(len(codes), bool)
+    body[starts[:-1]] = False
+    odd = np.array([not w or w[0].isspace() for w in words], bool)
+    own = np.zeros(len(texts), bool)
+    if odd.any():
+        own[np.searchsorted(starts, np.flatnonzero(odd[codes] & body), side="right") - 1] = True
+    for special in whole:
+        own |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+    if own.any():
+        body &= ~np.repeat(own, np.diff(starts))
+    used = np.zeros(len(words), bool)
+    used[codes[body]] = True
+    number = np.cumsum(used) - 1
+    bodies = [w for w, u in zip(words, used.tolist(), strict=True) if u]
+    heads: dict[str, int] = {}
+    lists = []
+    for k in np.flatnonzero(own).tolist():
+        text = texts[k].as_py()
+        first, *rest = [text] if any(s in text for s in whole) else _CUT.split(text)
+        lists.append([heads.setdefault(c, len(heads)) for c in (first, *[f" {r}" for r in rest])])
+    first_words = [words[c] for c in codes[starts[:-1]].tolist()]
+    first_numbers = [-1 if o else heads.setdefault(w, len(heads)) for w, o in zip(first_words, own.tolist(), strict=True)]
+    marked = number[codes] + len(heads)
+    marked[starts[:-1]] = first_numbers
+    if not lists:
+        return Divided(list(heads), bodies, marked, starts)
+    sizes = np.diff(starts)
+    plain = np.repeat(~own, sizes)
+    sizes[own] = [len(x) for x in lists]
+    starts = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=starts[1:])
+    codes = np.empty(starts[-1], np.int64)
+    there = np.repeat(own, sizes)
+    codes[there], codes[~there] = [c for x in lists for c in x], marked[plain]
+    return Divided(list(heads), bodies, codes, starts)
+
+
+class Ragged(NamedTuple):
+    """Rows of different lengths: ``values[starts[k]:starts[k + 1]]`` is the k-th."""
+
+    values: np.ndarray
+    starts: np.ndarray
+
+    @staticmethod
+    def of_bytes(rows: list[bytes]) -> Ragged:
+        """From rows of little-endian unsigned 32-bit integers."""
+        starts = np.zeros(len(rows) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) >> 2, out=starts[1:])
+        return Ragged(np.frombuffer(b"".join(rows), "<u4"), starts)
+
+    def row(self, k: int) -> np.ndarray:
+        return self.values[self.starts[k] : self.starts[k + 1]]
+
+    def dealt(self, codes: np.ndarray) -> Ragged:
+        """The rows with the numbers ``codes``, one after the other."""
+        sizes = np.diff(self.starts)[codes]
+        starts = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(sizes, out=starts[1:])
+        at = np.repeat(self.starts[codes] - starts[:-1], sizes)
+        at += np.arange(len(at))
+        return Ragged(self.values[at], starts)
+
+
+class Generations:
+    """Remembers what strings give: at most ``most`` in the younger generation, and the one before it."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.young, self.old = most, {}, {}
+
+    def of(self, strings: list[str], make: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """What distinct ``strings`` give; ``make`` is asked for the new ones together."""
+        if len(self.young) + len(strings) > self.most:
             self.young, self.old = {}, self.young
-            missing = needed
-        self._learn(missing)
-        heads = {words[0] for words in split if words}
-        first = {h: np.array(ids, "<u4").tobytes() for h, ids in zip(heads, self.encode(list(heads)), strict=True)}
-        known = self.young.__getitem__
-        return [first[words[0]] + b"".join(map(known, words[1:])) if words else b"" for words in split]
+        young, old = self.young, self.old
+        found = list(map(young.get, strings))
+        if old:
+            again = {s: old[s] for s, f in zip(strings, found, strict=True) if f is None and s in old}
+            young.update(again)
+            found = list(map(young.get, strings)) if again else found
+        fresh = [s for s, f in zip(strings, found, strict=True) if f is None]
+        if fresh:
+            young.update(zip(fresh, make(fresh), strict=True))
+            found = list(map(young.__getitem__, strings))
+        return found
 
-    def __call__(self, text: str | None) -> bytes:
-        return self.many([text])[0]
+
+class ChunkEncoder:
+    """Ids of chunks: matches of ``pattern``, each encoded by ``encode_all``, which maps distinct strings to little-endian
+    unsigned 32-bit ids. ``direct`` encodes a chunk that has one of ``whole`` in it."""
+
+    def __init__(self, encode_all: Callable[[list[str]], list[bytes]], pattern: str = PATTERN, whole: Sequence[str] = (), direct: Callable[[str], bytes] | None = None, most: int = CACHE) -> None:
+        self.encode_all, self.matches = encode_all, regex.compile(pattern).findall
+        self.whole, self.direct, self.pieces = tuple(whole), direct, Generations(most)
+
+    def _matches(self, cut: Divided) -> tuple[list[str], np.ndarray]:
+        """The matches in all chunks, and where each chunk's begin. Bodies are searched together: each begins at the next space."""
+        parts = [self.matches(h) for h in cut.heads]
+        starts = np.cumsum([0, *map(len, parts)])
+        found = [piece for part in parts for piece in part]
+        if not cut.bodies:
+            return found, starts
+        rest = self.matches(f" {' '.join(cut.bodies)}")
+        leads = np.flatnonzero(np.fromiter((p[0] == " " for p in rest), bool, len(rest)))
+        if len(leads) != len(cut.bodies):
+            raise ValueError("the pattern does not begin a match at every space before something else")
+        return found + rest, np.concatenate([starts[:-1], starts[-1] + leads, [len(found) + len(rest)]])
+
+    def of_chunks(self, cut: Divided) -> Ragged:
+        """Ids of the distinct chunks of ``cut``."""
+        if any(w in h for w in self.whole for h in cut.heads):
+            plain = self.of_chunks(cut._replace(heads=["" if any(w in h for w in self.whole) else h for h in cut.heads]))
+            raw = [np.frombuffer(self.direct(h), "<u4") if any(w in h for w in self.whole) else plain.row(k) for k, h in enumerate(cut.heads)]
+            at = plain.starts[len(cut.heads) :]
+            starts = np.cumsum([0, *map(len, raw)])
+            return Ragged(np.concatenate([*raw, plain.values[at[0] :]]), np.concatenate([starts[:-1], at - at[0] + starts[-1]]))
+        found, starts = self._matches(cut)
+        numbered = pa.array(found, pa.large_string()).dictionary_encode()
+        ids = Ragged.of_bytes(self.pieces.of(strings_of(numbered.dictionary), self.encode_all))
+        dealt = ids.dealt(numbered.indices.to_numpy(zero_copy_only=False))
+        return Ragged(dealt.values, dealt.starts[starts])
+
+    def __call__(self, texts: pa.Array) -> Ragged:
+        """Ids of whole texts."""
+        cut = divided(texts, self.whole)
+        ids = self.of_chunks(cut).dealt(cut.codes)
+        return Ragged(ids.values, ids.starts[cut.starts])
+
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        ids = self(pa.array(texts, pa.large_string()))
+        return [ids.row(k).tobytes() for k in range(len(texts))]
+
+
+def with_end(ids: Ragged, end: int) -> Ragged:
+    """Every row with ``end`` after it."""
+    n = len(ids.starts) - 1
+    starts = ids.starts + np.arange(n + 1)
+    values = np.empty(len(ids.values) + n, "<u4")
+    last = np.zeros(len(values), bool)
+    last[starts[1:] - 1] = True
+    values[last], values[~last] = end, ids.values
+    return Ragged(values, starts)
 
 
 def process_wide(key: tuple, make: Callable[[], object]) -> object:
@@ -92,22 +221,40 @@ def process_wide(key: tuple, make: Callable[[], object]) -> object:
     return held[key]
 
 
-def encoder(path: str, most: int = CACHE) -> ChunkEncoder:
-    """An encoder by the tokenizers library, without special tokens; the strings of special tokens are ordinary text."""
-    return process_wide(("tokenizers", path, most), lambda: _encoder(path, most))
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies spell each byte: printable Latin-1 by itself, all others by letters from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+def encoder(path: str, specials: bool = True, most: int = CACHE) -> ChunkEncoder:
+    """An encoder by the tokenizers library, without added tokens.
+
+    ``specials`` is the library's default: the strings of special tokens become their ids. Without it they are ordinary text.
+    """
+    return process_wide(("tokenizers", path, specials, most), lambda: _encoder(path, specials, most))
 
 
-def _encoder(path: str, most: int) -> ChunkEncoder:
+def _encoder(path: str, specials: bool, most: int) -> ChunkEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    leads = np.zeros(tokenizer.get_vocab_size(), bool)
-    for token, at in tokenizer.get_vocab().items():
-        leads[at] = token.startswith("\u0120")  # how byte-level vocabularies spell a space
+    letters, model = byte_letters(), tokenizer.model
+    one = np.arange(tokenizer.get_vocab_size(), dtype="<u4").tobytes()
+    four = [one[4 * k : 4 * k + 4] for k in range(len(one) // 4)]
+
+    def encode_all(pieces: list[str]) -> list[bytes]:
+        spelled = "\0".join(pieces).encode().decode("latin-1").translate(joined).split("\0")
+        if len(spelled) != len(pieces):
+            spelled = [p.encode().decode("latin-1").translate(letters) for p in pieces]
+        return [b"".join([four[t.id] for t in model.tokenize(s)]) for s in spelled]
+
+    joined = {b: c for b, c in letters.items() if b}
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()] if specials else []
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def direct(text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    return ChunkEncoder(encode, leads, most)
+    return ChunkEncoder(encode_all, whole=added, direct=direct, most=most)

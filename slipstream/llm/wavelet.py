@@ -24,8 +24,8 @@ from slipstream.llm.ordering import sort_id, sum_before
 BLOCK = 512
 #: Tokens after which a shard goes on in a further part, so that a task's memory is bounded.
 MOST_TOKENS = 1 << 24
-#: Chunks of text that a worker remembers in each of two generations.
-CHUNKS = 600_000
+#: Text that is encoded together.
+SLICE_BYTES = 4 << 20
 _SHARD = "shard long, part int, n long, width int, alphabet binary, planes binary, ranks binary, zeros array<long>, doc_ids array<long>, ends array<long>"
 
 
@@ -150,8 +150,8 @@ class Shard:
         self.doc_ids, self.ends = row["doc_ids"], np.array(row["ends"], np.int64)
 
     @staticmethod
-    def packed(shard: int, part: int, doc_ids: list[int | None], ids: list[bytes]) -> dict:
-        tokens = np.frombuffer(b"".join(ids), "<u4")
+    def packed(shard: int, part: int, doc_ids: list[int | None], ids: list[np.ndarray]) -> dict:
+        tokens = np.concatenate(ids)
         times = np.bincount(tokens)
         used = np.flatnonzero(times)
         alphabet = used[np.argsort(-times[used], kind="stable")]
@@ -159,7 +159,7 @@ class Shard:
         rename[alphabet] = np.arange(len(alphabet))
         matrix = WaveletMatrix.build(rename[tokens])
         planes, ranks = matrix.parts()
-        ends = np.cumsum([len(x) // 4 for x in ids]).tolist()
+        ends = np.cumsum([len(x) for x in ids]).tolist()
         return {
             "shard": shard, "part": part, "n": len(tokens), "width": matrix.width, "alphabet": alphabet.astype("<u4").tobytes(), "planes": planes, "ranks": ranks,
             "zeros": matrix.zeros, "doc_ids": doc_ids, "ends": ends,
@@ -186,25 +186,43 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield batch.slice(k, 1).to_pylist()[0]
 
 
+def encoded(docs: DataFrame, vocabulary: str, end: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, sort_id, ids)``: ids of each whole text and ``end``, as little-endian unsigned integers of 16 bits where all fit
+    in them, else of 32; the ids are those of the library's default call."""
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), sort_id(doc_id).alias("sort_id"), F.col(text).alias("text"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = subword.encoder(vocabulary)
+        for batch in slices(batches, 2, SLICE_BYTES):
+            ids = subword.with_end(encode(batch.column(2)), end)
+            small = len(ids.values) == 0 or int(ids.values.max()) < 1 << 16
+            raw, size = memoryview(ids.values.astype("<u2" if small else "<u4").tobytes()), 2 if small else 4
+            ends = (size * ids.starts).tolist()
+            rows = pa.array([bytes(raw[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
+            sizes = pa.array(np.full(batch.num_rows, size), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sizes, rows], names=["doc_id", "sort_id", "size", "ids"])
+
+    return own.mapInArrow(work, "doc_id long, sort_id long, size int, ids binary")
+
+
 def write(docs: DataFrame, path: str, vocabulary: str, end: int = 0, shard_bits: int = 12, doc_id: str = "doc_id", text: str = "text") -> None:
     """Writes a file for each shard (and part) of ``docs`` to ``path``: ids of each whole text and the id ``end``.
 
-    Null and empty texts are the end id alone. A null id sorts first. Rows with one id are each written. Other columns
-    are not read.
+    Texts are encoded where they are read; only ids are exchanged. Null and empty texts are the end id alone; a very long one
+    is a part of its own. A null id sorts first. Rows with one id are each written. An empty table writes no shard. Other
+    columns, whatever their names, are not read.
     """
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), sort_id(doc_id).alias("sort_id"))
-    dealt = own.withColumn("shard", F.shiftright("sort_id", shard_bits)).repartition("shard").sortWithinPartitions("shard", "sort_id", F.xxhash64("text"))
-    last = np.array([end], "<u4").tobytes()
+    dealt = encoded(docs, vocabulary, end, doc_id, text).withColumn("shard", F.shiftright("sort_id", shard_bits))
+    dealt = dealt.repartition("shard").sortWithinPartitions("shard", "sort_id", F.xxhash64("ids"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = subword.encoder(vocabulary, CHUNKS)
         now, part, doc_ids, ids, held = None, 0, [], [], 0
 
         def made() -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([Shard.packed(now, part, doc_ids, ids)], schema=schema)
 
-        for batch in slices(batches, 1):
-            for row_id, raw, shard in zip(batch.column(0).to_pylist(), encode.many(batch.column(1).to_pylist()), batch.column(2).to_pylist(), strict=True):
+        for batch in batches:
+            for row_id, size, raw, shard in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 if doc_ids and (shard != now or held >= MOST_TOKENS):
                     yield made()
                     part = part + 1 if shard == now else 0
@@ -213,8 +231,8 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int = 0, shard_bits:
                     part = 0
                 now = shard
                 doc_ids.append(row_id)
-                ids.append(raw + last)
-                held += len(ids[-1]) // 4
+                ids.append(np.frombuffer(raw, f"<u{size}"))
+                held += len(ids[-1])
         if doc_ids:
             yield made()
 
@@ -222,7 +240,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int = 0, shard_bits:
         ("shard", pa.int64()), ("part", pa.int32()), ("n", pa.int64()), ("width", pa.int32()), ("alphabet", pa.binary()), ("planes", pa.binary()), ("ranks", pa.binary()),
         ("zeros", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())),
     ])
-    shards = dealt.select("doc_id", "text", "shard").mapInArrow(work, _SHARD)
+    shards = dealt.select("doc_id", "size", "ids", "shard").mapInArrow(work, _SHARD)
     shards.write.option("compression", "zstd").option("maxRecordsPerFile", 1).parquet(path)
 
 

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from slipstream.llm import packing, subword
@@ -11,7 +12,6 @@ PATH = subword.public_path(subword.VOCABULARY)
 
 def check(docs, capacity):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     got = packing.packed(docs, PATH, capacity).collect()
     want, tokens = [], 0
     for i, text in pairs(docs):
@@ -75,10 +75,20 @@ def test_fullest_is_best():
         assert all(n <= counts[x] for x, n in chosen.items())
 
 
-def test_encoder_generations_agree_with_the_library():
+TEXTS = ["", " ", "a  b \n c", "x \x1cy   z", "tab\t x trail ", "don't  's <|endoftext|> q", "many words here that do not fit at all", "  lead", "a\0b \0 c", "<|endoftext|>"]
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_encoder_agrees_with_the_library(plain):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    tiny = subword.encoder(PATH)
-    tiny = subword.ChunkEncoder(tiny.encode, tiny.leads, 5)
-    for text in ["", " ", "a  b \n c", "x \x1cy   z", "tab\t x trail ", "don't  's <|endoftext|> q", "many words here that do not fit at all", "  lead"]:
-        assert np.frombuffer(tiny(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    tokenizer.encode_special_tokens = plain
+    own = subword.encoder(PATH, specials=not plain)
+    tiny = subword.ChunkEncoder(own.encode_all, whole=own.whole, direct=own.direct, most=5)
+    want = [tokenizer.encode(text, add_special_tokens=False).ids for text in TEXTS]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in tiny.many(TEXTS)] == want
+    assert [np.frombuffer(tiny.many([t])[0], "<u4").tolist() for t in TEXTS] == want
+
+
+def test_special_tokens_in_a_text_are_those_of_the_default_call(table):
+    check(table([(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>"), (3, "a b")]), 4)

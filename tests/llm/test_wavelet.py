@@ -30,7 +30,6 @@ def test_matrix_against_the_array(n, high):
 
 def encoded(docs):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]) for i, t in pairs(docs)]
 
 
