@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipstream.llm import bpe_fst, html_extract, multiset_hash, packing, ppm, quality_classifier, quality_rules, simhash_dedup, substring_dedup, subword, wavelet
+from slipstream.llm import alignment, bpe_fst, html_extract, multiset_hash, packing, ppm, quality_classifier, quality_rules, simhash_dedup, substring_dedup, subword, wavelet
 from slipstream.llm.staging import new_folder
 
 
@@ -75,6 +75,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(_documents(spark, sf_dir), subword.public_path(subword.VOCABULARY), subword.public_path(alignment.PIECES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_multiset_hash": op2_multiset_hash,
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_html_extraction": op10_html_extraction,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
 }
 
 #: The other operators fit models, link by 64-bit hashes, run tokenizers or choose numbers freely: tests/llm checks them

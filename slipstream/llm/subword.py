@@ -22,7 +22,9 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Matches of the pattern that a worker remembers in each of two generations.
 CACHE = 300_000
 
-_CUT = re.compile(r" (?=[^\s\x1c-\x1f])")
+#: A space before something other than white space; and one that no other space precedes.
+CUT = re.compile(r" (?=[^\s\x1c-\x1f])")
+LONE_CUT = re.compile(r"(?<! ) (?=[^\s\x1c-\x1f])")
 #: Fixed value: the pattern of byte-level pre-tokenizers of the tokenizers library.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -34,14 +36,6 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def chunks(text: str) -> list[str]:
-    """Pieces whose encodings, one after the other, are that of ``text``. All but the first begin after a cut space."""
-    found = text.split(" ")
-    if all(found) and not any(map(str.isspace, [w[0] for w in found[1:]])):
-        return found
-    return _CUT.split(text)
-
-
 class Divided(NamedTuple):
     """Texts in chunks: the distinct ones, and for every text the numbers of its own.
 
@@ -60,8 +54,11 @@ def strings_of(texts: pa.Array) -> list[str]:
     return texts.to_numpy(zero_copy_only=False).tolist()
 
 
-def divided(texts: pa.Array, whole: Sequence[str] = ()) -> Divided:
-    """Cuts texts into chunks. A null text is empty. A text that has one of ``whole`` in it is a single chunk."""
+def divided(texts: pa.Array, whole: Sequence[str] = (), places: re.Pattern = CUT) -> Divided:
+    """Cuts texts into chunks. A null text is empty. A text that has one of ``whole`` in it is a single chunk.
+
+    ``places`` finds the spaces to cut at in texts that have more than single spaces between words.
+    """
     texts = texts.cast(pa.large_string()).fill_null("")
     cut = pc.split_pattern(texts, " ")
     numbered = cut.flatten().dictionary_encode()
@@ -87,7 +84,7 @@ def divided(texts: pa.Array, whole: Sequence[str] = ()) -> Divided:
     lists = []
     for k in np.flatnonzero(own).tolist():
         text = texts[k].as_py()
-        first, *rest = [text] if any(s in text for s in whole) else _CUT.split(text)
+        first, *rest = [text] if any(s in text for s in whole) else places.split(text)
         lists.append([heads.setdefault(c, len(heads)) for c in (first, *[f" {r}" for r in rest])])
     first_words = [words[c] for c in codes[starts[:-1]].tolist()]
     first_numbers = [-1 if o else heads.setdefault(w, len(heads)) for w, o in zip(first_words, own.tolist(), strict=True)]
@@ -176,10 +173,10 @@ class ChunkEncoder:
             raise ValueError("the pattern does not begin a match at every space before something else")
         return found + rest, np.concatenate([starts[:-1], starts[-1] + leads, [len(found) + len(rest)]])
 
-    def of_chunks(self, cut: Divided) -> Ragged:
+    def of_distinct(self, cut: Divided) -> Ragged:
         """Ids of the distinct chunks of ``cut``."""
         if any(w in h for w in self.whole for h in cut.heads):
-            plain = self.of_chunks(cut._replace(heads=["" if any(w in h for w in self.whole) else h for h in cut.heads]))
+            plain = self.of_distinct(cut._replace(heads=["" if any(w in h for w in self.whole) else h for h in cut.heads]))
             raw = [np.frombuffer(self.direct(h), "<u4") if any(w in h for w in self.whole) else plain.row(k) for k, h in enumerate(cut.heads)]
             at = plain.starts[len(cut.heads) :]
             starts = np.cumsum([0, *map(len, raw)])
@@ -193,7 +190,7 @@ class ChunkEncoder:
     def __call__(self, texts: pa.Array) -> Ragged:
         """Ids of whole texts."""
         cut = divided(texts, self.whole)
-        ids = self.of_chunks(cut).dealt(cut.codes)
+        ids = self.of_distinct(cut).dealt(cut.codes)
         return Ragged(ids.values, ids.starts[cut.starts])
 
     def many(self, texts: list[str | None]) -> list[bytes]:

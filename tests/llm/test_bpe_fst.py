@@ -54,10 +54,16 @@ def test_pieces_together_against_the_library(ranks, merges, library, often, most
         assert [list(memoryview(x).cast("I")) for x in own(pieces)] == [library._encode_single_piece(p) if p else [] for p in pieces]
 
 
-def test_a_pattern_of_another_kind(library, table):
-    other = r"[a-z]+|[^a-z ]+| +(?![^ ])| ?[a-z]+| "
-    with pytest.raises(Exception, match="does not begin a match"):
-        bpe_fst.encoder(PATH, other)(pa.array(["a b c"]))
+def test_a_pattern_that_reaches_over_spaces_is_refused():
+    with pytest.raises(ValueError, match="does not begin a match"):
+        bpe_fst.encoder(PATH, r"[^\n]+|\n")(pa.array(["a b c"]))
+
+
+def test_another_pattern(ranks):
+    other = r"[a-z]+|[^a-z]"
+    library = tiktoken.Encoding("other", pat_str=other, mergeable_ranks=ranks, special_tokens={})
+    texts = ["a b c", "these, and those 12 Words\n more ", "", "  x"]
+    assert [x.tolist() for x in map(bpe_fst.encoder(PATH, other)(pa.array(texts)).row, range(4))] == [library.encode_ordinary(t) for t in texts]
 
 
 def test_tokens_come_out_before_the_end(merges):
