@@ -28,7 +28,7 @@ def _star(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``(node, component)`` for every node of ``links`` (columns ``a``, ``b``, both long); the component is its least node.
+    """``(node, component)`` for every node of ``links`` (columns ``a``, ``b``, both of one type that can be ordered); the component is its least node.
 
     Each round is a Spark job over all links, written to the shared folder; only a count and a checksum come to the
     driver. Links of a node to itself and nulls are passed over; an empty table gives an empty result.
