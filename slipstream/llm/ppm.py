@@ -1,8 +1,7 @@
 """Language-model scores by prediction by partial matching.
 
-The model is a trie of byte contexts. Bytes of the lower-cased words, one space between two and an end after the last,
-are coded as 64 symbols: end, space, the 61 most frequent other bytes, and one for all other bytes, which are then coded
-among themselves. A context's symbols are predicted by their counts less a half; an escape, with half the weight of the
+The model is a trie of byte contexts. Its symbols are the bytes of the lower-cased words, one space between two, and an end
+after the last. A context's symbols are predicted by their counts less a half; an escape, with half the weight of the
 number of the context's different symbols (method D), leads to the context one shorter, where symbols of the longer one
 are excluded. Below the empty context all symbols that are left are equally likely.
 
@@ -22,7 +21,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +30,9 @@ from pyspark.sql import functions as F
 from slipstream.llm.arrowtext import flat, mix, runs, slices, span_hashes
 from slipstream.llm.staging import staged
 
-ORDER, SYMBOLS, BITS = 5, 64, 6
-END, SPACE, OTHER = 0, 1, 63
+ORDER, BITS = 5, 8
+#: The end is spelled as a byte that no word has. All other bytes but white space are symbols, and so is the space.
+END, SPACE, SYMBOLS = 0x09, 0x20, 252
 FREQUENT = 1 << 19
 SLICE = 2 << 20
 
@@ -76,42 +75,6 @@ class Table:
         return found
 
 
-@dataclass(frozen=True)
-class Level:
-    """Nodes of one order: keys of context and symbol, their counts; contexts with totals, distinct symbols, and what
-    their symbols count in the next shorter context."""
-
-    nodes: np.ndarray
-    counts: np.ndarray
-    contexts: np.ndarray
-    totals: np.ndarray
-    distinct: np.ndarray
-    below: np.ndarray
-
-
-@dataclass(frozen=True)
-class Trie:
-    codes: np.ndarray
-    other: np.ndarray
-    levels: list[Level]
-
-    def plain(self) -> tuple:
-        """Arrays only, to be broadcast."""
-        return self.codes, self.other, [(x.nodes, x.counts, x.contexts, x.totals, x.distinct, x.below) for x in self.levels]
-
-    @staticmethod
-    def of(plain: tuple) -> Trie:
-        return Trie(plain[0], plain[1], [Level(*x) for x in plain[2]])
-
-
-def codes_of(histogram: np.ndarray) -> np.ndarray:
-    """A symbol for each byte, from counts of the bytes that are not white space."""
-    codes = np.full(256, OTHER, np.uint8)
-    often = [b for b in np.argsort(-histogram, kind="stable") if _NOT_SPACE[b]][: OTHER - SPACE - 1]
-    codes[often] = np.arange(SPACE + 1, SPACE + 1 + len(often))
-    return codes
-
-
 class Words:
     """Lower-cased words of a batch of texts."""
 
@@ -124,14 +87,10 @@ class Words:
     def hashes(self) -> np.ndarray:
         return span_hashes(self.data, self.starts, self.ends).view(np.int64)
 
-    def histogram(self, docs: np.ndarray) -> np.ndarray:
-        chosen = np.repeat(docs, np.diff(self.offsets)) & (_NOT_SPACE[self.data] > 0)
-        return np.bincount(self.data[chosen], minlength=256)
-
-    def stream(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def stream(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Symbols of all texts, each after ``ORDER`` ends and followed by one; and where each text begins and ends."""
         keep = _NOT_SPACE[self.data] > 0
-        symbols = codes[self.data]
+        symbols = self.data.copy()
         inner = np.ones(len(self.starts), bool)
         inner[self.first[:-1][self.n_words > 0]] = False
         gaps = self.starts[inner] - 1
@@ -139,7 +98,7 @@ class Words:
         before = np.concatenate([[0], np.cumsum(keep)])[self.offsets]
         length = np.diff(before)
         begin = before[:-1] + (ORDER + 1) * np.arange(len(length)) + ORDER
-        out = np.zeros(int(before[-1]) + (ORDER + 1) * len(length), np.uint8)
+        out = np.full(int(before[-1]) + (ORDER + 1) * len(length), END, np.uint8)
         shift = np.repeat(begin - before[:-1], length)
         out[np.arange(len(shift)) + shift] = symbols[keep]
         return out, begin, begin + length
@@ -197,34 +156,32 @@ def _table(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["kind", "key", "n"])
 
 
-_TOKEN, _BYTE, _TEXTS = 0, 1, 2
+_TOKEN, _TEXTS = 0, 1
 
 
 def _token_rows(held: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, histogram, texts = _Sums(), np.zeros(256, np.int64), 0
+        sums, texts = _Sums(), 0
         for batch in slices(batches, 1, SLICE):
             chosen, words = _trains(batch.column(0), held), Words(batch.column(1))
             sums.add(words.hashes()[np.repeat(chosen, words.n_words)])
-            histogram += words.histogram(chosen)
             texts += int(chosen.sum())
             if (found := sums.taken(4 * sums.most)) is not None:
                 yield _table(_TOKEN, *found)
         if (found := sums.taken()) is not None:
             yield _table(_TOKEN, *found)
-        yield _table(_BYTE, np.arange(256), histogram)
         yield _table(_TEXTS, np.zeros(1), np.array([texts]))
 
     return work
 
 
-def _gram_rows(codes: np.ndarray, held: int):
+def _gram_rows(held: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
         for batch in slices(batches, 1, SLICE):
             some = batch.filter(pa.array(_trains(batch.column(0), held)))
             if some.num_rows:
-                sums.add(_keys(*Words(some.column(1)).stream(codes)[:2]))
+                sums.add(_keys(*Words(some.column(1)).stream()[:2]))
             if (found := sums.taken(4 * sums.most)) is not None:
                 yield _table(_TOKEN, *found)
         if (found := sums.taken()) is not None:
@@ -261,18 +218,8 @@ def _collected(table: DataFrame, *columns: str) -> list[np.ndarray]:
     return [found[c].to_numpy() for c in columns]
 
 
-def _level(keys: np.ndarray, counts: np.ndarray, lower: Level | None, order: int) -> Level:
-    context = keys >> BITS
-    at = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(keys) else np.empty(0, np.int64)
-    add = lambda x: np.add.reduceat(x, at) if len(at) else np.empty(0, np.int64)
-    below = np.zeros(len(keys), np.int64)
-    if lower is not None and len(keys):
-        below = lower.counts[np.searchsorted(lower.nodes, keys & ((1 << (BITS * order)) - 1))]
-    return Level(keys, counts, context[at], add(counts), np.diff(np.append(at, len(keys))), add(below))
-
-
-#: Shorter orders than this have at most 64^3 nodes, so their tables are broadcast.
-SMALL = 3
+#: Shorter orders than this have at most 2^16 nodes, so their tables are broadcast.
+SMALL = 2
 
 
 def _suffix(symbols: int) -> Column:
@@ -283,10 +230,10 @@ def _few(table: DataFrame, order: int) -> DataFrame:
     return F.broadcast(table) if order < SMALL else table
 
 
-def train(docs: DataFrame, codes: np.ndarray, held: int) -> tuple[list[DataFrame], list[DataFrame]]:
+def train(docs: DataFrame, held: int) -> tuple[list[DataFrame], list[DataFrame]]:
     """All nodes ``(key, n)`` and all contexts ``(context, total, kinds, below)`` of each order, of the training documents in
     ``docs(doc_id, text)``."""
-    grams = staged(docs.mapInArrow(_gram_rows(codes, held), _COUNTS).groupBy("key").agg(F.sum("n").alias("n")), "grams")
+    grams = staged(docs.mapInArrow(_gram_rows(held), _COUNTS).groupBy("key").agg(F.sum("n").alias("n")), "grams")
     nodes = [grams]
     for order in range(ORDER - 1, -1, -1):
         nodes.insert(0, staged(nodes[0].groupBy(_suffix(order + 1).alias("key")).agg(F.sum("n").alias("n")), "grams"))
@@ -332,96 +279,20 @@ def probabilities(keys: DataFrame, nodes: list[DataFrame], contexts: list[DataFr
     return keys.mapInArrow(_chained, "key long, logp double")
 
 
-class Scorer:
-    """Scores whole batches of texts."""
-
-    def __init__(self, trie: Trie) -> None:
-        self.trie = trie
-        self.nodes = [Table(x.nodes) for x in trie.levels]
-        self.contexts = [Table(x.contexts) for x in trie.levels]
-        top = trie.levels[-1]
-        owner = np.searchsorted(top.contexts, top.nodes >> BITS)
-        self.top = np.log10((2 * top.counts - 1) / (2 * top.totals[owner])).astype(np.float32) if len(top.nodes) else np.empty(0, np.float32)
-        spread = trie.other + 0.5 * ((trie.codes == OTHER) & (_NOT_SPACE > 0))
-        with np.errstate(divide="ignore"):
-            self.other = np.log10(spread / max(spread.sum(), 1.0))
-
-    def symbols(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of the last symbol of each key after the others."""
-        place = self.nodes[ORDER].find(keys)
-        hit = place >= 0
-        found = np.zeros(len(keys))
-        found[hit] = self.top[place[hit]]
-        left = np.flatnonzero(~hit)
-        if len(left):
-            found[left] = self._escaped(keys[left])
-        return found
-
-    def _escaped(self, keys: np.ndarray) -> np.ndarray:
-        score, active = np.zeros(len(keys)), np.arange(len(keys))
-        shut_sum, shut_n = np.zeros(len(keys)), np.zeros(len(keys))  # counts and number of the symbols excluded
-        for order in range(ORDER, -1, -1):
-            level = self.trie.levels[order]
-            key = keys[active] & ((1 << (BITS * (order + 1))) - 1)
-            context = self.contexts[order].find(key >> BITS)
-            known = np.flatnonzero(context >= 0)
-            if not len(known):
-                continue
-            rows, place = active[known], context[known]
-            kinds = level.distinct[place] - shut_n[rows]
-            weight = 2 * (level.totals[place] - shut_sum[rows])
-            node = self.nodes[order].find(key[known])
-            hit = node >= 0
-            score[rows[hit]] += np.log10((2 * level.counts[node[hit]] - 1) / weight[hit])
-            miss = ~hit
-            some = miss & (kinds > 0)
-            score[rows[some]] += np.log10(kinds[some] / weight[some])
-            shut_sum[rows[miss]], shut_n[rows[miss]] = level.below[place[miss]], level.distinct[place[miss]]
-            done = np.zeros(len(keys), bool)
-            done[rows[hit]] = True
-            unknown = np.ones(len(active), bool)
-            unknown[known] = False
-            shut_sum[active[unknown]], shut_n[active[unknown]] = 0, 0
-            active = active[~done[active]]
-            if not len(active):
-                return score
-        score[active] -= np.log10(np.maximum(SYMBOLS - shut_n[active], 1))
-        return score
-
-    def texts(self, words: Words) -> np.ndarray:
-        """log10 probability of each whole text with its end."""
-        stream, begin, end = words.stream(self.trie.codes)
-        scores = self.symbols(_keys(stream, begin))
-        length = end - begin + 1
-        total = np.add.reduceat(scores, np.cumsum(length) - length) if len(length) else scores
-        rare = np.flatnonzero((self.trie.codes[words.data] == OTHER) & (_NOT_SPACE[words.data] > 0))
-        if len(rare):
-            text = np.searchsorted(words.offsets, rare, side="right") - 1
-            total = total + np.bincount(text, weights=self.other[words.data[rare]], minlength=len(total))
-        return total
-
-
 class Settled:
     """Scores the keys that are broadcast; counts the others."""
 
-    def __init__(self, codes: np.ndarray, other: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> None:
-        self.codes, self.table, self.logs = codes, Table(keys), logs
-        spread = other + 0.5 * ((codes == OTHER) & (_NOT_SPACE > 0))
-        with np.errstate(divide="ignore"):
-            self.other = np.log10(spread / max(spread.sum(), 1.0))
+    def __init__(self, keys: np.ndarray, logs: np.ndarray) -> None:
+        self.table, self.logs = Table(keys), logs
 
     def texts(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """What each text scores by broadcast keys and rare bytes; and text, key and count of each other key of a text."""
-        stream, begin, end = words.stream(self.codes)
+        """What each text scores by broadcast keys; and text, key and count of each other key of a text."""
+        stream, begin, end = words.stream()
         keys = _keys(stream, begin)
         text = np.repeat(np.arange(len(begin)), end - begin + 1)
         place = self.table.find(keys)
         hit = place >= 0
         total = np.bincount(text[hit], weights=self.logs[place[hit]], minlength=len(begin)).astype(float)
-        rare = np.flatnonzero((self.codes[words.data] == OTHER) & (_NOT_SPACE[words.data] > 0))
-        if len(rare):
-            owner = np.searchsorted(words.offsets, rare, side="right") - 1
-            total += np.bincount(owner, weights=self.other[words.data[rare]], minlength=len(begin))
         keys, text = keys[~hit], text[~hit]
         order = np.lexsort((keys, text))
         keys, text = keys[order], text[order]
@@ -478,8 +349,8 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: in
 
     Documents whose CRC-32 of the id as text leaves ``held`` modulo 5 are held out; the model and the base counts learn from
     all others, repeated rows as often as they are repeated. A null or empty text is the end alone. A null id counts as an
-    empty id text, so it is trained on. With nothing to learn from, all symbols are equally likely and no token is known.
-    Other columns are not read. ``most_nodes`` bounds what is broadcast and changes no score.
+    empty id text, so it is trained on. A very long text is read whole, in one task. With nothing to learn from, all symbols are equally likely and no token is known.
+    An empty table gives an empty result. Other columns, whatever their names, are not read. ``most_nodes`` bounds what is broadcast and changes no score.
     """
     spark = docs.sparkSession
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -489,16 +360,12 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: in
     words, kinds = tokens.agg(F.sum("n"), F.count("*")).first()
     ends = sum(r["n"] for r in tables.where(F.col("kind") == _TEXTS).collect())
     total, vocabulary = (words or 0) + ends, kinds + (ends > 0)
-    histogram = np.zeros(256)
-    for r in tables.where(F.col("kind") == _BYTE).collect():
-        histogram[r["key"]] = r["n"]
-    codes = codes_of(histogram)
-    nodes, contexts = train(own, codes, held)
+    nodes, contexts = train(own, held)
 
     often = _most_frequent(nodes[ORDER], most_nodes)
     top = often.join(contexts[ORDER].select("context", "total"), F.shiftright("key", BITS) == F.col("context"))
     keys, counts, totals = _collected(top, "key", "n", "total")
-    settled = (codes, np.where(codes == OTHER, histogram, 0), keys, np.log10((2 * counts - 1) / (2 * totals)))
+    settled = (keys, np.log10((2 * counts - 1) / (2 * totals)))
     sent = [spark.sparkContext.broadcast(x) for x in (settled, tuple(_collected(tokens.where(F.col("n") > total // FREQUENT), "key", "n")))]
     del keys, counts, totals, settled
     rows = staged(own.withColumn("copy", F.xxhash64("text")).mapInArrow(_score_rows(*sent, held), _SCORES), "scores")
@@ -525,9 +392,3 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: in
     return joined.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(
         "doc_id", "held_out", "n_tokens", known.cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score")
     )
-
-
-def code_lengths(scores: DataFrame) -> DataFrame:
-    """``scores`` with ``bits``, the code length of each text under the model."""
-    return scores.withColumn("bits", -F.col("score") / F.lit(float(np.log10(2))))
-

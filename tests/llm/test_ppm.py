@@ -3,7 +3,6 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from slipstream.llm import ppm
@@ -18,24 +17,17 @@ def held_out(i):
     return zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
 
 
-def symbols(text, codes):
-    raw = " ".join(words_of(lower(text))).encode()
-    return [ppm.SPACE if b == 32 else int(codes[b]) for b in raw] + [ppm.END], raw
+def symbols(text):
+    return [*" ".join(words_of(lower(text))).encode(), ppm.END]
 
 
 class Brute:
     """The same model by dictionaries of contexts."""
 
     def __init__(self, texts):
-        histogram = np.zeros(256)
-        for t in texts:
-            for b in "".join(words_of(lower(t))).encode():
-                histogram[b] += 1
-        self.codes = ppm.codes_of(histogram)
-        self.other = np.where(self.codes == ppm.OTHER, histogram, 0)
         self.context = [{} for _ in range(ppm.ORDER + 1)]
         for t in texts:
-            s = [ppm.END] * ppm.ORDER + symbols(t, self.codes)[0]
+            s = [ppm.END] * ppm.ORDER + symbols(t)
             for j in range(ppm.ORDER, len(s)):
                 for k in range(ppm.ORDER + 1):
                     self.context[k].setdefault(tuple(s[j - k : j]), Counter())[s[j]] += 1
@@ -56,11 +48,8 @@ class Brute:
         return p - math.log10(max(ppm.SYMBOLS - len(shut), 1))
 
     def text(self, t):
-        s, raw = symbols(t, self.codes)
-        s = [ppm.END] * ppm.ORDER + s
-        spread = self.other + 0.5 * ((self.codes == ppm.OTHER) & (ppm._NOT_SPACE > 0))
-        rare = sum(math.log10(spread[b] / spread.sum()) for b in raw if b != 32 and self.codes[b] == ppm.OTHER)
-        return sum(self.symbol(s, j) for j in range(ppm.ORDER, len(s))) + rare
+        s = [ppm.END] * ppm.ORDER + symbols(t)
+        return sum(self.symbol(s, j) for j in range(ppm.ORDER, len(s)))
 
 
 def check(docs):
@@ -105,29 +94,29 @@ def test_nothing_to_learn_from(table):
     assert all(r["score"] < 0 for r in row)
 
 
-def test_probabilities_of_a_context_add_up(small):
-    texts = [t for _, t in pairs(small.limit(30))]
-    model = Brute(texts)
-    data = pa.array(texts, pa.string())
-    keys = ppm._keys(*ppm.Words(data).stream(model.codes)[:2])
-    found, counts = np.unique(keys, return_counts=True)
-    tables = [(found, counts)]
-    for order in range(ppm.ORDER - 1, -1, -1):
-        tables.append(ppm._added([(tables[-1][0] & ((1 << 6 * (order + 1)) - 1), tables[-1][1])]))
-    levels = []
-    for order, (k, n) in enumerate(reversed(tables)):
-        levels.append(ppm._level(k, n, levels[-1] if levels else None, order))
-    scorer = ppm.Scorer(ppm.Trie(model.codes, model.other, levels))
-    rng = np.random.default_rng(1)
-    for context in rng.choice(found, 50) >> 6:
-        every = (int(context) << 6) + np.arange(64)
-        assert (10 ** scorer.symbols(every)).sum() == pytest.approx(1.0, abs=1e-4)
+MANY_BYTES = [
+    "Быстрая лиса перепрыгнула через ленивую собаку. Быстрая собака", "敏捷的棕色狐狸跳过了懒狗。敏捷的狗", "🙂🙃 🙂🙂 🦊🐕 🙂🙃", "ещё одна быстрая лиса и собака 敏捷的 🦊", "a\0b \x01\x7f ÿþ é",
+]
+
 
+def test_texts_of_many_bytes(table):
+    """Bytes beyond the frequent ones of Latin text are symbols and contexts of their own."""
+    check(table([(i, MANY_BYTES[i % len(MANY_BYTES)] + " " * (i % 2) + "ж狐🦊"[i % 3]) for i in range(40)]))
 
-def test_pruned_orders_stay_within_the_bound_and_score(small):
-    docs = small.select("doc_id", "text")
-    rows = ppm.scored(docs, most_nodes=500).collect()
-    assert len(rows) == small.count() and all(np.isfinite(r["score"]) and r["score"] < 0 for r in rows)
+
+def test_probabilities_of_a_context_add_up(spark, table, small):
+    docs = table([(i, t) for i, t in enumerate(MANY_BYTES * 3)]).unionByName(small.limit(30).select("doc_id", "text"), allowMissingColumns=True).select("doc_id", "text")
+    nodes, contexts = ppm.train(docs, held=1)
+    symbols = [b for b in range(256) if b not in range(0x0A, 0x0E)]
+    assert len(symbols) == ppm.SYMBOLS and ppm.END in symbols
+    seen = [r["context"] for r in contexts[ppm.ORDER].orderBy("context").collect()]
+    rng = np.random.default_rng(1)
+    some = {*rng.choice(seen, 25).tolist(), *(int.from_bytes("狐狸".encode()[k : k + 5]) for k in (0, 1)), int.from_bytes(b"qqqqq")}
+    keys = spark.createDataFrame([((c << 8) | b,) for c in some for b in symbols], "key long")
+    sums = Counter()
+    for r in ppm.probabilities(keys, nodes, contexts).collect():
+        sums[r["key"] >> 8] += 10 ** r["logp"]
+    assert len(sums) == len(some) and all(total == pytest.approx(1.0, abs=1e-6) for total in sums.values())
 
 
 def test_scores_do_not_depend_on_what_is_broadcast(small):
