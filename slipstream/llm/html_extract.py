@@ -2,9 +2,10 @@
 
 The standard library's parser reads a page as a stream of events. Every block-level tag begins a line; a line's ratio is
 its characters of text over its tags. Lines inside elements that hold no article text (menus, forms, scripts and so on, by
-tag, role or name) count no text. The ratios are smoothed with a Gaussian, lines over a threshold of the page's own
-deviation are clustered as content, and the element that holds that cluster is the content region. Every block of the
-region is kept, short ones too, except those in elements without article text.
+tag, role or name) count no text. The ratios are smoothed with a Gaussian; consecutive lines over a threshold of the page's own
+deviation are a cluster. The clusters that hold a share of the content decide: the lowest common ancestor of their lines of
+text and headings is the content region, whatever it is called. Every block of the region is kept, short ones too, except
+those in elements without article text.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from slipstream.llm.arrowtext import slices
 RADIUS, SIGMA = 2, 1.0
 #: Of the deviation of the smoothed ratios: lines over it are content.
 THRESHOLD = 0.5
-#: A region that is named as the article has to hold this share of the content; any other, the second.
-NAMED_SHARE, SHARE = 0.5, 0.8
+#: Of the text of the largest cluster: smaller clusters do not widen the region.
+SHARE = 0.1
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FEED = 1 << 16
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,15 +50,18 @@ NAMES = frozenset(
     "subscription signup login search searchbox form comment comments commentlist reply replies respond disqus discussion "
     "pagination pager toolbar copyright disclaimer".split()
 )
-MAIN_NAMES = frozenset("article content main post entry story".split())
+#: Last words of a name that only say how such an element is laid out, so that the first word counts.
+CARRIERS = frozenset("area bar block box button buttons container group icons inner item items left link links list outer panel posts right section top bottom wrap wrapper".split())
+#: Blocks of a text.
+BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li td th tr dt dd ul ol dl table tbody blockquote pre".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "apart", "main", "lines")
+    __slots__ = ("tag", "parent", "apart")
 
-    def __init__(self, tag: str, parent: _Element | None, apart: bool, main: bool) -> None:
-        self.tag, self.parent, self.apart, self.main, self.lines = tag, parent, apart, main, 0
+    def __init__(self, tag: str, parent: _Element | None, apart: bool) -> None:
+        self.tag, self.parent, self.apart = tag, parent, apart
 
 
 class _Line:
@@ -71,7 +76,7 @@ class LineParser(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.at = _Element("", None, False, False)
+        self.at = _Element("", None, False)
         self.lines = [_Line(self.at)]
         self.seen = False
 
@@ -93,7 +98,7 @@ class LineParser(HTMLParser):
                 self.lines[-1].tags += 1
             return
         main = tag in ("article", "main")
-        by_name = bool(attrs) and self._apart_by_name(attrs, self._inside_main())
+        by_name = bool(attrs) and self._apart_by_name(attrs, self._inside_main(), main)
         if main and not by_name and not self.seen:  # menus and the like that were never closed end before the article
             self.seen = True
             element = self.at
@@ -102,8 +107,7 @@ class LineParser(HTMLParser):
                     self.at = element.parent
                 element = element.parent
         apart = (tag in APART or tag == "header" and not self._inside_main() or by_name) and tag not in ("html", "body", "main")
-        named = main and not apart or bool(attrs) and not apart and self._main_by_name(attrs)
-        self.at = _Element(tag, self.at, apart or self.at.apart, named)
+        self.at = _Element(tag, self.at, apart or self.at.apart)
         self._line()
         self.lines[-1].tags += 1
 
@@ -141,17 +145,27 @@ class LineParser(HTMLParser):
         return False
 
     @staticmethod
-    def _named(attrs: list[tuple[str, str | None]]) -> set[str]:
-        return {w.lower() for k, v in attrs if k in ("class", "id") and v for w in _WORDS.findall(v)}
+    def _apart_by_name(attrs: list[tuple[str, str | None]], inside_main: bool = False, main: bool = False) -> bool:
+        """Whether a role, or a class or id as a whole, names an element that holds no article text.
 
-    def _apart_by_name(self, attrs: list[tuple[str, str | None]], inside_main: bool = False) -> bool:
+        A name counts by its last word (``top-menu``, but not ``share-price``), or by its first where the last one only tells
+        the layout (``sidebar-left``). An article or main element has to be named by a single word.
+        """
         if any(k == "role" and v and v.lower() in ROLES for k, v in attrs):
             return True
-        found = self._named(attrs) & NAMES
-        return bool(found - {"header"} if inside_main else found)
-
-    def _main_by_name(self, attrs: list[tuple[str, str | None]]) -> bool:
-        return any(k == "role" and v == "main" for k, v in attrs) or bool(self._named(attrs) & MAIN_NAMES)
+        for k, v in attrs:
+            if k not in ("class", "id") or not v:
+                continue
+            for token in v.split():
+                words = [w.lower() for w in _WORDS.findall(token)]
+                if token.lower() in NAMES:
+                    words = [token.lower()]
+                if not words or main and len(words) > 1:
+                    continue
+                named = words[-1] if words[-1] not in CARRIERS else words[0]
+                if named in NAMES and not (inside_main and named == "header"):
+                    return True
+        return False
 
 
 def smoothed(ratios: np.ndarray, radius: int = RADIUS, sigma: float = SIGMA) -> np.ndarray:
@@ -160,33 +174,35 @@ def smoothed(ratios: np.ndarray, radius: int = RADIUS, sigma: float = SIGMA) ->
     return np.convolve(ratios, kernel / kernel.sum(), mode="full")[radius : radius + len(ratios)]
 
 
-def _region(lines: list[_Line], weight: np.ndarray, root: _Element) -> _Element:
-    """The element that holds the content: the outermost one named as the article, else the innermost with most of it."""
-    held: dict[_Element, float] = {}
-    for line, w in zip(lines, weight.tolist(), strict=True):
-        element = line.element
-        while w and element is not None:
-            held[element] = held.get(element, 0.0) + w
-            element = element.parent
-    total = held.get(root, 0.0)
-    if not total:
-        return root
-    for strict in (True, False):  # the article or main element; then one named so
-        named = [e for e, w in held.items() if (e.tag in ("article", "main") if strict else e.main) and w >= NAMED_SHARE * total]
-        if named:
-            return max(named, key=lambda e: held[e])
-    best = root
-    for element, w in held.items():
-        if w >= SHARE * total and element.tag not in ("p", "li", "td", "tr", "ul", "ol", "blockquote", "pre") and _depth(element) > _depth(best):
-            best = element
-    return best
-
-
-def _depth(element: _Element) -> int:
-    n = 0
-    while element.parent is not None:
-        element, n = element.parent, n + 1
-    return n
+def clusters(ratios: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which lines are in a cluster that counts: consecutive lines of text whose smoothed ratio is over the threshold, with
+    ``SHARE`` of the text of the largest such cluster."""
+    smooth = smoothed(ratios)
+    content = smooth >= THRESHOLD * smooth.std()
+    number = np.cumsum(content & ~np.concatenate([[False], content[:-1]]))
+    text = np.bincount(number, weights=sizes * content)
+    return content & (ratios > 0) & (text[number] >= SHARE * text.max())
+
+
+def _path(element: _Element | None) -> list[_Element]:
+    """An element and all it is in, from the outermost."""
+    found = []
+    while element is not None:
+        found.append(element)
+        element = element.parent
+    return found[::-1]
+
+
+def _region(lines: list[_Line]) -> _Element:
+    """The lowest common ancestor of lines."""
+    common = _path(lines[0].element)
+    for line in lines[1:]:
+        other = _path(line.element)
+        common = common[: next((k for k, (a, b) in enumerate(zip(common, other, strict=False)) if a is not b), min(len(common), len(other)))]
+    # a block of a text is no region of its own
+    while len(common) > 1 and common[-1].tag in BLOCKS:
+        common.pop()
+    return common[-1]
 
 
 def extract(html: str) -> str:
@@ -200,12 +216,10 @@ def extract(html: str) -> str:
     ratios = np.array([len(t) / max(line.tags, 1) for t, line in zip(texts, lines, strict=True)])
     if not len(ratios) or not ratios.any():
         return ""
-    smooth = smoothed(ratios)
-    content = (smooth >= THRESHOLD * smooth.std()) & (ratios > 0)
-    root = parser.at
-    while root.parent is not None:
-        root = root.parent
-    region = _region(lines, np.array([len(t) for t in texts]) * content, root)
+    chosen = clusters(ratios, np.array([len(t) for t in texts], float))
+    least = THRESHOLD * smoothed(ratios).std()
+    # what smoothing alone has raised does not widen the region, but for headings
+    region = _region([line for line, c, r in zip(lines, chosen.tolist(), ratios.tolist(), strict=True) if c and (r >= least or line.element.tag in HEADINGS)])
     return " ".join(t for t, line in zip(texts, lines, strict=True) if t and _inside(line.element, region))
 
 
@@ -221,7 +235,7 @@ def main_text(pages: DataFrame, html: str = "html", page_id: str = "page_id", ur
     """``(page_id, url, text, n_chars)`` for every row of ``pages``; ``n_chars`` counts code points.
 
     Null, empty and text-free pages give an empty text. Pages cut off in the middle are read as far as they go. Repeated
-    rows give repeated rows; other columns are not read.
+    rows give repeated rows, an empty table an empty result; other columns, whatever their names, are not read.
     """
     own = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
 
