@@ -243,15 +243,16 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates: that with the smallest id, once if it is repeated.
+    """``docs`` with one document of each group of near duplicates: that with the smallest id, once if it is repeated.
 
-    Rows with a null id cannot be named and stay. All columns are returned as they were.
+    Only rows equal in id and text are repeats; different texts of one id that is kept all stay. Rows with a null id cannot be
+    named and stay. All columns are returned as they were.
     """
     found = near_duplicates(docs, doc_id, text, shingle, distance)
     keep = free_name(docs, "keep_id")
     first = found.where("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
     left = docs.where(F.col(doc_id).isNotNull()).join(first, F.col(doc_id).cast("long") == F.col(keep), "left_semi")
-    return left.dropDuplicates([doc_id]).unionByName(docs.where(F.col(doc_id).isNull()))
+    return left.dropDuplicates([doc_id, text]).unionByName(docs.where(F.col(doc_id).isNull()))
 
 
 def as_hex(fingerprint: Column) -> Column:

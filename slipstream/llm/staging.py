@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,8 +14,12 @@ _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where that is unset, one in the warehouse."""
-    return spark.conf.get(_DIR, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging"
+    """The folder named by ``spark.checkpoint.dir``. Only a local session may go without: it then uses the warehouse."""
+    if found := spark.conf.get(_DIR, None):
+        return found
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError(f"{_DIR} has to name a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -50,4 +50,4 @@ def test_queries_against_their_sql(spark):
         columns = sorted(got.columns)
         assert sorted(want.columns) == columns
         place = [want.columns.index(c) for c in columns]
-        assert sorted(map(tuple, got.select(*columns).collect())) == sorted(tuple(r[p] for p in place) for r in want.fetchall())
+        assert sorted(map(tuple, got.select(*columns).collect()), key=repr) == sorted((tuple(r[p] for p in place) for r in want.fetchall()), key=repr)

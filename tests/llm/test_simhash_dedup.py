@@ -96,7 +96,9 @@ def test_one_of_each_keeps_the_smallest_id_and_all_columns(odd):
     assert left.columns == odd.columns
     components_of = {(i, c) for i, _, c in brute(pairs(odd))}
     ids = [i for i, _ in pairs(left)]
-    assert sorted(i for i in ids if i is not None) == sorted({c for i, c in components_of if i == c and i is not None})
+    kept = {c for i, c in components_of if i == c and i is not None}
+    assert sorted(pairs(left.where("doc_id is not null")), key=repr) == sorted({(i, t) for i, t in pairs(odd) if i in kept}, key=repr)
+    assert {t for i, t in pairs(left) if i == 18} == {"x", "y z"}  # two texts of one id are no repeat
     assert ids.count(None) == 2
 
 
