@@ -2,25 +2,28 @@
 
 Spark has no such join, and a window over all rows of a key would put a busy key into one task. Instead:
 
-1. Both sides are put into one table, tagged, and shuffled once by key and time bucket.
-2. Inside a bucket, running windows up and down the clock carry the last right row before and the first right row
-   after every left row. They stream over sorted rows, so a full bucket costs time but not memory.
-3. Each bucket's first and last right row are aggregated from the same shuffle; only these border rows, one for each
-   bucket, are ordered per key, to carry a right row over bucket edges.
-
-Each side is read once. Of right rows with equal keys and clocks the later line wins.
+1. Both sides are put into one table, tagged, and shuffled once into ranges of key, clock and place. The bounds come from a
+   sample of fixed size, so ranges hold about as many rows each, however unevenly keys and clocks are filled.
+2. Inside a range, running windows up and down the clock carry the last right row before and the first right row
+   after every left row. They stream over sorted rows.
+3. Each range's last and first right row of a key are aggregated from the same shuffle; only these border rows, one for
+   each range and key, are ordered per key, to carry a right row over the edges of ranges.
+
+Of right rows with equal keys and clocks the later line wins.
 """
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slipstream.functions.jsonwalk import ORDER
+from slipstream.functions.jsonwalk import ORDER, bound
 from slipstream.functions.parse import clock_seconds
 
-BUCKET_MS = 5_000
+#: Rows of the sample for each range that is wanted.
+SAMPLE = 40
 PLACE = [*ORDER, "key_pos"]
 
 
@@ -33,37 +36,41 @@ def asof_join(
     tolerance: int | None = None,
     place: Sequence[str] = PLACE,
     suffix: str = "_right",
-    width: int = BUCKET_MS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """All left rows, each with the chosen right row's columns or nulls.
 
     On equal distance the earlier right row counts. Right columns that clash get ``suffix``; keys, clock and
     ``place`` columns of the right side are not repeated. ``place`` identifies a row within its key; ``on`` counts
-    in whole numbers. Rows with a null key or clock match nothing.
+    in whole numbers. Rows with a null key or clock match nothing. ``ranges`` is the number of tasks, by default that
+    of shuffles; it changes no result.
     """
     if strategy not in ("nearest", "backward", "forward"):
         raise ValueError(f"unknown strategy {strategy!r}")
     by = list(by)
     if not by:
         raise ValueError("an as-of join needs at least one key column")
-    cell = [*[f"_by{i}" for i in range(len(by))], "_bucket"]
+    keys = [f"_by{i}" for i in range(len(by))]
+    cell = [*keys, "_range"]
     values = [c for c in right.columns if c not in (*by, on, *place)]
     names = {c: c + suffix if c in left.columns else c for c in values}
 
-    both = _tagged(left, right, on, by, values, place, width).repartition(*cell)
-    after_right = ["_is_left", "_place"]
+    ranges = ranges or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = _tagged(left, right, on, by, values, place)
+    where = [*keys, "_at", "_is_left", "_place"]
+    both = both.withColumn("_range", _range_of(both.select(*where), ranges)).repartition(ranges, "_range")
     reach = (Window.unboundedPreceding, Window.currentRow)
-    up = Window.partitionBy(*cell).orderBy("_at", *after_right).rowsBetween(*reach)
-    down = Window.partitionBy(*cell).orderBy(F.desc("_at"), *after_right).rowsBetween(*reach)
-    before, after = strategy != "forward", strategy != "backward"
-    nothing = F.lit(None).cast(both.schema["_item"].dataType)
-    last = F.last("_item", ignorenulls=True)
-    found = both.select("*", (last.over(up) if before else nothing).alias("_before"), (last.over(down) if after else nothing).alias("_after"))
+    up = Window.partitionBy(*cell).orderBy("_at", "_is_left", "_place").rowsBetween(*reach)
+    down = Window.partitionBy(*cell).orderBy(F.desc("_at"), "_is_left", "_place").rowsBetween(*reach)
+    found = both.select("*", F.max("_item").over(up).alias("_before"), F.max(_ahead(F.col("_item"))).over(down).alias("_after"))
 
     same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_edge{c}")) for c in cell))
-    joined = found.filter("_is_left").join(_borders(both, cell, before, after), same, "left")
-    known = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in (*cell[:-1], "_at")))
-    hit = _nearer(F.coalesce("_before", "_edge_before"), F.coalesce("_after", "_edge_after"), F.col("_at"))
+    joined = found.filter("_is_left").join(_borders(both, cell), same, "left")
+    known = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in (*keys, "_at")))
+    before = F.greatest("_before", "_edge_before")
+    # right rows at the very clock of a left row come before it, so only the way up has always seen them
+    after = F.when(before["at"] == F.col("_at"), before).otherwise(_ahead(F.greatest("_after", "_edge_after")))
+    hit = {"backward": before, "forward": after, "nearest": _nearer(before, after, F.col("_at"))}[strategy]
     hit = F.when(known, hit)
     if tolerance is not None:
         hit = F.when(F.abs(hit["at"] - F.col("_at")) <= tolerance, hit)
@@ -71,27 +78,53 @@ def asof_join(
     return chosen.select(*[F.col(f"_left.{c}").alias(c) for c in left.columns], *[F.col(f"_hit.row.{c}").alias(n) for c, n in names.items()])
 
 
-def _tagged(
-    left: DataFrame, right: DataFrame, on: str, by: list[str], values: list[str], place: Sequence[str], width: int
-) -> DataFrame:
-    """Both sides in one table: keys, bucket, clock, place, and either the left row or the right item.
+def _tagged(left: DataFrame, right: DataFrame, on: str, by: list[str], values: list[str], place: Sequence[str]) -> DataFrame:
+    """Both sides in one table: keys, clock, place, and either the left row or the right item.
 
-    Left rows without a clock are dealt over buckets by their place; nothing is found for them.
+    Items are compared by clock, then place.
     """
     keys = [F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]
-    start = F.col(on) - F.pmod(F.col(on), F.lit(width))
     where = F.struct(*[F.col(c) for c in place]).alias("_place")
-    lefts = left.select(
-        *keys, F.coalesce(start, F.xxhash64(*place)).alias("_bucket"), F.col(on).alias("_at"), where, F.struct(*[F.col(c) for c in left.columns]).alias("_left")
-    )
-    item = F.struct(F.col(on).alias("at"), F.struct(*[F.col(c) for c in values]).alias("row")).alias("_item")
+    lefts = left.select(*keys, F.col(on).alias("_at"), where, F.struct(*[F.col(c) for c in left.columns]).alias("_left"))
+    item = F.struct(F.col(on).cast("long").alias("at"), where.alias("place"), F.struct(*[F.col(c) for c in values]).alias("row"))
     rights = right.filter(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in (*by, on))))
-    rights = rights.select(*keys, start.alias("_bucket"), F.col(on).alias("_at"), where, item)
+    rights = rights.select(*keys, F.col(on).alias("_at"), where, item.alias("_item"))
     return lefts.withColumn("_is_left", F.lit(True)).unionByName(rights.withColumn("_is_left", F.lit(False)), allowMissingColumns=True)
 
 
-def _borders(both: DataFrame, cell: list[str], before: bool, after: bool) -> DataFrame:
-    """Per bucket, the last right row of earlier buckets and the first of later ones.
+def _ahead(item: Column) -> Column:
+    """An item with its clock negated, so that the greatest one is the earliest; and back again."""
+    return F.when(item.isNotNull(), F.struct((-item["at"]).alias("at"), item["place"].alias("place"), item["row"].alias("row")))
+
+
+def _range_of(rows: DataFrame, ranges: int) -> Column:
+    """The number of the range a row falls into, as an expression over the columns of ``rows``.
+
+    The bounds are taken from the ``SAMPLE * ranges`` rows of least hash, in one pass over these columns. A row meets the
+    bounds in two steps: the first bounds of groups of them, then those of its group.
+    """
+    picked = rows.orderBy(F.xxhash64(*rows.columns)).limit(SAMPLE * ranges)
+    whole = F.struct(*[F.col(c) for c in rows.columns])
+    listed = picked.agg(F.sort_array(F.collect_list(whole)).alias("all"))
+    kind = listed.schema["all"].dataType.simpleString()
+    sample = json.loads(listed.select(F.to_json("all")).first()[0])
+    bounds = [sample[len(sample) * k // ranges] for k in range(1, ranges)] if sample else []
+    if not bounds:
+        return F.lit(0)
+    size = int(len(bounds) ** 0.5) + 1
+    groups = [bounds[k : k + size] for k in range(0, len(bounds), size)]
+    heads = F.from_json(F.lit(json.dumps([g[0] for g in groups[1:]])), kind)
+    fine = F.from_json(F.lit(json.dumps(groups)), f"array<{kind}>")
+
+    def number(place: Column) -> Column:
+        reached = lambda found: F.size(F.filter(found, lambda b: b <= place))
+        return bound(reached(heads), lambda g: g * size + reached(F.get(fine, g)))
+
+    return bound(whole, number)
+
+
+def _borders(both: DataFrame, cell: list[str]) -> DataFrame:
+    """Per range and key, the last right row of earlier ranges and the first of later ones.
 
     The whole row goes through the aggregates, so that this branch reads the very same shuffle as the windows.
     """
@@ -100,13 +133,12 @@ def _borders(both: DataFrame, cell: list[str], before: bool, after: bool) -> Dat
     tail = F.max_by(whole, F.when(right, F.struct("_at", "_place")))["_item"]
     head = F.max_by(whole, F.when(right, F.struct(-F.col("_at"), "_place")))["_item"]
     ends = both.groupBy(*cell).agg(tail.alias("_tail"), head.alias("_head"))
-    up = Window.partitionBy(*cell[:-1]).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    down = Window.partitionBy(*cell[:-1]).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    nothing = F.lit(None).cast(both.schema["_item"].dataType)
+    up = Window.partitionBy(*cell[:-1]).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*cell[:-1]).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
     return ends.select(
         *[F.col(c).alias(f"_edge{c}") for c in cell],
-        (F.last("_tail", ignorenulls=True).over(up) if before else nothing).alias("_edge_before"),
-        (F.last("_head", ignorenulls=True).over(down) if after else nothing).alias("_edge_after"),
+        F.max("_tail").over(up).alias("_edge_before"),
+        F.max(_ahead(F.col("_head"))).over(down).alias("_edge_after"),
     )
 
 

@@ -4,7 +4,7 @@ Lookups take a table of queries, so any number of them is one job. A query that
 is a row with a status rather than an error.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slipstream.functions import parse
@@ -42,6 +42,35 @@ def meeting_folders(sessions: DataFrame) -> DataFrame:
     return sessions.groupBy(*MEETING).agg(folder.alias("folder"))
 
 
+#: Letters of the longest gram of the index over the fields of meetings.
+GRAM = 3
+
+
+def _grams(text: Column, size: int) -> Column:
+    """All runs of ``size`` letters of a text."""
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - (size - 1)))
+    return F.coalesce(F.transform(starts, lambda k: F.substring(text, k, F.lit(size))), F.array().cast("array<string>"))
+
+
+def _grams_of_fields(fields: str) -> Column:
+    """The grams of all sizes up to ``GRAM`` that any field has, and the empty one if there is a field."""
+    there = F.transform(F.filter(fields, lambda f: f.isNotNull()), F.lower)
+    of_one = lambda f: F.concat(F.array(F.lit("")), *[_grams(f, size) for size in range(1, GRAM + 1)])
+    return F.array_distinct(F.flatten(F.transform(there, of_one)))
+
+
+def _rarest_grams(asked: DataFrame, postings: DataFrame) -> DataFrame:
+    """``asked`` with ``_gram``: of the longest grams of a needle, one that fewest meetings of the year have."""
+    size = F.least(F.length("_needle"), F.lit(GRAM))
+    own = F.when(size == 0, F.array(F.lit("")))
+    for k in range(1, GRAM + 1):
+        own = own.when(size == k, F.array_distinct(_grams(F.col("_needle"), k)))
+    counts = postings.groupBy("year", "_gram").agg(F.count("*").alias("_n"))
+    grams = asked.select("*", F.explode(own).alias("_gram")).join(counts, ["year", "_gram"], "left")
+    rarest = F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram")))
+    return grams.groupBy(*asked.columns).agg(rarest.alias("_r")).select(*asked.columns, F.col("_r.gram").alias("_gram"))
+
+
 def search_meetings(queries: DataFrame, meetings: DataFrame, sessions: DataFrame) -> DataFrame:
     """Resolve ``query_id, year, text`` to a meeting of that year.
 
@@ -52,9 +81,10 @@ def search_meetings(queries: DataFrame, meetings: DataFrame, sessions: DataFrame
         "year", "meeting_pos", "meeting_key", "number", F.col("name").alias("meeting"), "location", "folder",
         F.array("name", "location", "circuit_short_name", "country_name", "folder").alias("_fields"),
     )
-    # Every different text is looked up once, and a meeting's fields are the join's small side, whatever many queries ask.
+    # Every different text is looked up once, by its rarest gram, and only meetings that have it are compared.
     asked = queries.select("year", "text", parse.folded(F.col("text")).alias("_needle")).distinct()
-    hits = asked.join(places, "year").filter(
+    postings = places.select("*", F.explode(_grams_of_fields("_fields")).alias("_gram"))
+    hits = _rarest_grams(asked, postings).join(postings, ["year", "_gram"]).filter(
         F.exists("_fields", lambda f: parse.contains_folded(f, F.col("_needle")))
     )
     place = F.struct("number", "meeting_pos")
@@ -122,7 +152,7 @@ def weekend_span(sessions: DataFrame) -> DataFrame:
 
 
 def season_listing(meetings: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Meetings of each year in order, with their span and session names in order."""
+    """Meetings of each year in order, with their rank in it, span, and session names in order."""
     names = F.transform(
         F.sort_array(F.collect_list(F.struct("start_date", "session_pos", F.coalesce("name", F.lit("None")).alias("n")))),
         lambda s: s["n"],
@@ -135,13 +165,15 @@ def season_listing(meetings: DataFrame, sessions: DataFrame) -> DataFrame:
     return (
         meetings.join(listed, MEETING, "left")
         .select("year", "number", "meeting_pos", "meeting_key", "name", "location", "weekend_start", "weekend_end", "sessions")
+        .withColumn("meeting_rank", F.row_number().over(Window.partitionBy("year").orderBy("number", "meeting_pos")))
         .orderBy("year", "number", "meeting_pos")
     )
 
 
 def ordered_sessions(sessions: DataFrame) -> DataFrame:
-    """Sessions by meeting and start."""
-    return sessions.orderBy(*MEETING[:2], "start_date", "session_pos")
+    """Sessions by meeting and start, with their rank in the meeting."""
+    rank = F.row_number().over(Window.partitionBy(*MEETING[:2]).orderBy("start_date", "session_pos"))
+    return sessions.withColumn("session_rank", rank).orderBy(*MEETING[:2], "start_date", "session_pos")
 
 
 def resolve_sessions(queries: DataFrame, meetings: DataFrame, sessions: DataFrame) -> DataFrame:

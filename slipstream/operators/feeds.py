@@ -10,7 +10,7 @@ shuffle, so they run at the speed of the scan and any group may be as large as i
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slipstream.functions import parse
@@ -26,6 +26,8 @@ from slipstream.functions.jsonwalk import (
     is_list,
     is_object,
     is_text,
+    judged,
+    mapped,
     ordered_entries,
     parsed,
     parsed_strictly,
@@ -337,7 +339,7 @@ def timing_app(raw: DataFrame) -> DataFrame:
 
 def lap_series(raw: DataFrame, compat: bool = False) -> DataFrame:
     """Position per car and lap. ``compat`` skips list snapshots, whose index is the lap."""
-    cars = explode_objects(raw.select(*ENTRY, F.from_json("payload", "MAP<STRING,STRING>").alias("m")), "m")
+    cars = explode_objects(mapped(raw), "m")
     cars = cars.withColumn("laps", F.from_json("value", "LapPosition STRING")["LapPosition"]).drop("value")
     laps = explode_items(cars.withColumnRenamed("key", "car"), "laps", "_p1", "lap", "value", lists=not compat)
     return laps.select(
@@ -350,7 +352,7 @@ def lap_series(raw: DataFrame, compat: bool = False) -> DataFrame:
 
 def lap_count(raw: DataFrame) -> DataFrame:
     """One row per entry; ``total_laps`` is kept beside the lap for the session totals."""
-    rows = raw.withColumn("c", F.from_json("payload", _texts("CurrentLap", "TotalLaps")))
+    rows = parsed(raw, _texts("CurrentLap", "TotalLaps"), out="c", keep=True)
     quoted = F.coalesce(is_text(F.col("payload"), "TotalLaps"), F.lit(False))
     return rows.select(
         *ENTRY,
@@ -591,7 +593,7 @@ def _colon(columns: list[tuple[str, str]]) -> str:
 
 
 def _drivers(raw: DataFrame) -> DataFrame:
-    return explode_objects(raw.select(*ENTRY, F.from_json("payload", "MAP<STRING,STRING>").alias("m")), "m")
+    return explode_objects(mapped(raw), "m")
 
 
 def driver_list(raw: DataFrame) -> DataFrame:
@@ -602,10 +604,14 @@ def driver_list(raw: DataFrame) -> DataFrame:
     )
 
 
-def driver_race_rows(raw: DataFrame) -> DataFrame:
-    """Race info updates of every entry, before the snapshot is set apart."""
+def driver_race_rows(raw: DataFrame, outer: bool = False) -> DataFrame:
+    """Race info updates of every entry, before the snapshot is set apart.
+
+    With ``outer`` an entry that names no car gives one row without a car.
+    """
     keys = ["Position", "Gap", "Interval", "Catching", "OvertakeState", "PitStops", "IsOut"]
-    rows = _child(_drivers(raw), *keys).withColumn("gap", parse.race_gap(_when_text("value", "Gap", "c.Gap")))
+    cars = _drivers(raw) if not outer else explode_map(mapped(raw), "m", keep=lambda e: is_object(e["value"]))
+    rows = _child(cars, *keys).withColumn("gap", parse.race_gap(_when_text("value", "Gap", "c.Gap")))
 
     def code(field: str, names: dict[int, str]) -> Column:
         quoted = F.coalesce(is_text(F.col("value"), field), F.lit(False))
@@ -629,18 +635,19 @@ def driver_race_rows(raw: DataFrame) -> DataFrame:
 def driver_race_info(raw: DataFrame) -> DataFrame:
     """Updates after the opening snapshot; of several at one clock the last per car counts.
 
-    The snapshot is the earliest entry, so where it holds the last row of a clock and car it holds the only
-    one: it can be taken out after the rows are reduced.
+    Snapshot and updates come from one read: entries without a car keep a row, so that the aggregate which reduces the
+    rows also knows the first entry of every session.
     """
-    place = ["block_no", "line_no", "entry_no", "key_pos"]
-    last = ordered.last_per_key(driver_race_rows(raw), ["session_id", "timestamp_ms", "car_number"], place)
-    return ordered.after_first_entry(last, raw)
+    rows = driver_race_rows(raw, outer=True)
+    keys, place = ["session_id", "timestamp_ms", "car_number"], ["block_no", "line_no", "entry_no", "key_pos"]
+    return ordered.last_per_key_after_first_entry(rows, keys, place).filter("key_pos IS NOT NULL")
 
 
 def starting_grid(raw: DataFrame) -> DataFrame:
-    """Grid from the opening snapshot, by position."""
-    rows = driver_race_rows(ordered.first_entry(raw)).filter("position IS NOT NULL")
-    return rows.select(*LINEAGE, "position", "car_number").orderBy("session_id", "position")
+    """Grid from the opening snapshot, by position, with the rank in the session."""
+    rows = driver_race_rows(ordered.first_entry(judged(raw))).filter("position IS NOT NULL")
+    rank = F.rank().over(Window.partitionBy("session_id").orderBy("position")).alias("grid_rank")
+    return rows.select(*LINEAGE, "position", "car_number", rank).orderBy("session_id", "position")
 
 
 def championship(raw: DataFrame) -> DataFrame:
@@ -723,7 +730,7 @@ def session_data(raw: DataFrame, compat: bool = False) -> DataFrame:
     ``compat`` gives one row per entry: its last section with the last item's values (a list counts its
     first item only), and a row of nulls for an empty entry.
     """
-    sections = raw.select(*ENTRY, F.from_json("payload", "MAP<STRING,STRING>").alias("m"))
+    sections = mapped(raw)
     keys = ["Utc", "Lap", "TrackStatus", "SessionStatus"]
     if compat:
         last = sections.withColumn("e", F.try_element_at(ordered_entries(F.col("m")), F.lit(-1)))
@@ -821,6 +828,6 @@ def read_feed(
     """The stream table of a feed over many sessions of an archive, in one scan."""
     feed = FEEDS[name]
     if feed.flatten_docs is None:
-        return feed.flatten(archive.read_entries(spark, root, feed.stream_file, sessions, on_bad), **options)
+        return feed.flatten(archive.read_entries(spark, root, feed.stream_file, sessions, on_bad, judge=False), **options)
     lines = archive.read_stream_lines(spark, archive.feed_paths(root, feed.stream_file, sessions))
-    return feed.flatten_docs(archive.inflate_lines(lines, on_bad))
+    return feed.flatten_docs(archive.inflate_lines(lines, on_bad, judge=False))

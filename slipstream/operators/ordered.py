@@ -65,14 +65,19 @@ def first_entry(raw: DataFrame) -> DataFrame:
     return first.select("session_id", "_row.*").select(*raw.columns)
 
 
-def after_first_entry(rows: DataFrame, raw: DataFrame) -> DataFrame:
-    """Those of ``rows`` that come from later raw entries than the first of their session.
+def last_per_key_after_first_entry(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """:func:`last_per_key` without the rows of each session's first raw entry, from one read of ``df``.
 
-    The first entry is told by its line number, which is that of the file and the same in every scan.
+    ``keys`` begin with ``session_id`` and hold the clock; every raw entry has a row. The first entry is the least place that
+    any group has seen. Both branches read the very same shuffle: each asks for the row and the least place, lest one be
+    pruned from its aggregate.
     """
-    firsts = raw.groupBy("session_id").agg(F.min(F.struct(*ORDER)).alias("_first"))
-    later = rows.join(firsts, "session_id").filter(F.struct(*ORDER) > F.col("_first"))
-    return later.select(*rows.columns)
+    rest = [c for c in df.columns if c not in keys]
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"), F.min(F.struct(*ORDER)).alias("_least"))
+    seen = last.select("session_id", F.when(F.col("_row").isNotNull(), F.col("_least")).alias("_least"))
+    firsts = seen.groupBy("session_id").agg(F.min("_least").alias("_first"))
+    later = last.filter("_least IS NOT NULL").join(firsts, "session_id").filter(F.struct(*[F.col(f"_row.{c}") for c in ORDER]) > F.col("_first"))
+    return later.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def patch_back(

@@ -4,7 +4,7 @@ Rules cover types (a value is there but does not fit its column) and fixed vocab
 keyframes keep such rows with a null or the raw value; this report counts them.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from slipstream.functions import parse
@@ -42,10 +42,26 @@ def count_breaches(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return totals.select("session_id", "rows", F.explode(pairs).alias("r")).select("session_id", "r.rule", "rows", "r.breaches")
 
 
+def observed(rows: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """``rows``, and what the job that uses them counts on the way: ``rows`` and the breaches of each rule, of all sessions."""
+    seen = Observation()
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(broken).alias(name) for name, broken in rules.items()]), seen
+
+
+def line_rules() -> dict[str, Column]:
+    return {fault: F.col("fault").eqNullSafe(F.lit(fault)) for fault in archive.FAULTS}
+
+
+def payload_rules(columns: dict[str, str]) -> dict[str, Column]:
+    """Rules of :func:`type_report` for values looked up in whole entries."""
+    values = F.from_json("payload", ", ".join(f"`{k}` STRING" for k in columns))
+    return {k: _misfit(values[k], kind) for k, kind in columns.items()}
+
+
 def line_report(lines: DataFrame, compressed: bool = False) -> DataFrame:
     """Lines of a stream file that cannot be read: no payload ``mark``, no ``clock``, a broken ``blob`` or broken ``json``."""
     rows = archive.judged_lines(lines, compressed)
-    return count_breaches(rows, {fault: F.col("fault").eqNullSafe(F.lit(fault)) for fault in archive.FAULTS})
+    return count_breaches(rows, line_rules())
 
 
 def race_control_report(docs: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from slipstream.operators import feeds
-from slipstream.operators.asof import BUCKET_MS, asof_join, telemetry_on_track
+from slipstream.operators.asof import asof_join, telemetry_on_track
 from slipstream.plans.feed_queries import Query
 from slipstream.plans.lines import EVENTS_SQL, entries, template
 
@@ -14,15 +14,15 @@ IS_CAR = "et IN ('view', 'error', 'signup')"
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Telemetry and position; a line of the other feed has no cars for this one."""
-    car = feeds.car_data(entries(spark, sf_dir, f"CASE WHEN {IS_CAR} THEN {CAR} ELSE '{{}}' END"))
-    point = feeds.position(entries(spark, sf_dir, f"CASE WHEN {IS_CAR} THEN '{{}}' ELSE {POINT} END"))
+    car = feeds.car_data(entries(spark, sf_dir, f"CASE WHEN {IS_CAR} THEN {CAR} ELSE '{{}}' END", judge=False))
+    point = feeds.position(entries(spark, sf_dir, f"CASE WHEN {IS_CAR} THEN '{{}}' ELSE {POINT} END", judge=False))
     return car, point
 
 
-def _joined(strategy: str, tolerance: int | None = None, width: int = BUCKET_MS):
+def _joined(strategy: str, tolerance: int | None = None, ranges: int | None = None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         car, point = _sides(spark, sf_dir)
-        rows = asof_join(car, point, strategy=strategy, tolerance=tolerance, width=width)
+        rows = asof_join(car, point, strategy=strategy, tolerance=tolerance, ranges=ranges)
         return rows.drop("block_no", "entry_no", "key_pos")
 
     return run
@@ -58,7 +58,7 @@ QUERIES = {
         _joined("nearest", tolerance=900_000),
         _sql(f"(CASE WHEN abs(({NEAREST}) - timestamp_ms) <= 900000 THEN ({NEAREST}) END)"),
     ),
-    "asof_one_minute_buckets": Query(_joined("nearest", width=60_000), _sql(f"({NEAREST})")),
+    "asof_one_minute_buckets": Query(_joined("nearest", ranges=60), _sql(f"({NEAREST})")),
     "telemetry_on_track": Query(
         lambda spark, sf_dir: telemetry_on_track(*_sides(spark, sf_dir), racing_number=7).drop(
             "block_no", "entry_no", "key_pos"

@@ -104,7 +104,7 @@ def _query(name: str, build: Callable[[DataFrame, DataFrame], DataFrame], sql: s
 
 
 _query("meetings", lambda m, s: m, "SELECT * FROM m")
-_query("sessions", lambda m, s: catalog.ordered_sessions(s), "SELECT * FROM s")
+_query("sessions", lambda m, s: catalog.ordered_sessions(s), 'SELECT *, row_number() OVER (PARTITION BY "year", meeting_pos ORDER BY start_date, session_pos)::INTEGER AS session_rank FROM s')
 _query("meeting_folders", lambda m, s: catalog.meeting_folders(s), 'SELECT "year", meeting_pos, meeting_key, folder FROM w')
 _query(
     "weekend_span",
@@ -123,7 +123,8 @@ _query(
 _query(
     "season_list",
     catalog.season_listing,
-    """SELECT "year", number, m.meeting_pos, meeting_key, m.name, location, weekend_start, weekend_end, sessions
+    """SELECT "year", number, m.meeting_pos, meeting_key, m.name, location, weekend_start, weekend_end, sessions,
+         row_number() OVER (PARTITION BY "year" ORDER BY number, m.meeting_pos)::INTEGER AS meeting_rank
        FROM m JOIN w USING ("year", meeting_key) JOIN (SELECT "year", meeting_key,
          string_agg(coalesce(name, 'None'), ', ' ORDER BY start_date) AS sessions FROM s GROUP BY ALL) USING ("year", meeting_key)""",
 )

@@ -28,7 +28,7 @@ def _table(df: DataFrame) -> DataFrame:
 
 def _feed(flatten: Callable[..., DataFrame], payload: str, sql: str, clock: str = "clock", **options: object) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _table(flatten(entries(spark, sf_dir, payload, clock), **options))
+        return _table(flatten(entries(spark, sf_dir, payload, clock, judge=False), **options))
 
     return Query(run, f"WITH {EVENTS_SQL} {sql}")
 
@@ -145,7 +145,7 @@ QUERIES["car_data"] = _feed(feeds.car_data, CAR_PAYLOAD, CAR_SQL)
 def _car_data_z(spark: SparkSession, sf_dir: str) -> DataFrame:
     document = f"""concat('{{"Entries":[', {CAR_PAYLOAD}, ']}}')"""
     lines = compressed_lines(spark, sf_dir, document)
-    return _table(feeds.car_data_docs(archive.inflate_lines(lines)))
+    return _table(feeds.car_data_docs(archive.inflate_lines(lines, judge=False)))
 
 
 QUERIES["car_data_z"] = Query(_car_data_z, f"WITH {EVENTS_SQL} {CAR_SQL}")
@@ -359,11 +359,11 @@ PIT_PATCH_SQL = """, grouped AS (
     (arg_max({{'at': {at}}}, (line_no, pos)) FILTER (NOT ({ins}))).at AS broadcast_deleted_at_ms
   FROM grouped WHERE g > 0 GROUP BY session_id, c, g"""
 QUERIES["pit_lane_patch"] = Query(
-    lambda spark, sf_dir: _table(feeds.pit_lane_times(entries(spark, sf_dir, PIT_PAYLOAD))),
+    lambda spark, sf_dir: _table(feeds.pit_lane_times(entries(spark, sf_dir, PIT_PAYLOAD, judge=False))),
     f"WITH {EVENTS_SQL}, {PIT_MARKS_SQL}" + PIT_PATCH_SQL.format(ins="ins", at="timestamp_ms"),
 )
 QUERIES["pit_lane_patch_compat"] = Query(
-    lambda spark, sf_dir: _table(feeds.pit_lane_times(entries(spark, sf_dir, PIT_PAYLOAD), compat=True)),
+    lambda spark, sf_dir: _table(feeds.pit_lane_times(entries(spark, sf_dir, PIT_PAYLOAD, judge=False), compat=True)),
     f"WITH {EVENTS_SQL}, {PIT_MARKS_SQL}" + PIT_PATCH_SQL.format(
         ins="et IN ('purchase', 'view')", at="CASE WHEN et = 'signup' AND pos = 1 THEN NULL ELSE timestamp_ms END"
     ),
@@ -487,13 +487,14 @@ RACE_ROWS_SQL = f"""r AS (
     NULL, 0::SMALLINT, NULL, NULL, NULL, false, NULL, NULL, NULL FROM e),
 f AS (SELECT session_id, min(line_no) AS first_line FROM e GROUP BY session_id)"""
 QUERIES["race_info_last"] = Query(
-    lambda spark, sf_dir: _table(feeds.driver_race_info(entries(spark, sf_dir, RACE_PAYLOAD, RACE_CLOCK))),
+    lambda spark, sf_dir: _table(feeds.driver_race_info(entries(spark, sf_dir, RACE_PAYLOAD, RACE_CLOCK, judge=False))),
     f"""WITH {EVENTS_SQL}, {RACE_ROWS_SQL} SELECT r.* FROM r JOIN f USING (session_id) WHERE line_no > first_line
         QUALIFY row_number() OVER (PARTITION BY session_id, timestamp_ms, car_number ORDER BY line_no DESC) = 1""",
 )
 QUERIES["starting_grid"] = Query(
-    lambda spark, sf_dir: _table(feeds.starting_grid(entries(spark, sf_dir, RACE_PAYLOAD, RACE_CLOCK))),
-    f"""WITH {EVENTS_SQL}, {RACE_ROWS_SQL} SELECT session_id, line_no, timestamp_ms, position, car_number
+    lambda spark, sf_dir: _table(feeds.starting_grid(entries(spark, sf_dir, RACE_PAYLOAD, RACE_CLOCK, judge=False))),
+    f"""WITH {EVENTS_SQL}, {RACE_ROWS_SQL} SELECT session_id, line_no, timestamp_ms, position, car_number,
+          rank() OVER (PARTITION BY session_id ORDER BY position)::INTEGER AS grid_rank
         FROM r JOIN f USING (session_id) WHERE line_no = first_line AND position IS NOT NULL""",
 )
 QUERIES["championship"] = _feed(

@@ -42,7 +42,10 @@ def template(text: str) -> str:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*EVENT_COLUMNS)
+    """Events dealt out by their number over all shuffle partitions: the file itself may be a single split, unlike the many
+    files of an archive that the lines stand for."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "event_type", "value", "props", "user_id")
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id").selectExpr(*EVENT_COLUMNS)
 
 
 def _spelled(text: str | Column) -> Column:
@@ -57,8 +60,8 @@ def stream_lines(spark: SparkSession, sf_dir: str, payload: str, clock: str = "c
     )
 
 
-def entries(spark: SparkSession, sf_dir: str, payload: str, clock: str = "clock") -> DataFrame:
-    return archive.decode_lines(stream_lines(spark, sf_dir, payload, clock))
+def entries(spark: SparkSession, sf_dir: str, payload: str, clock: str = "clock", judge: bool = True) -> DataFrame:
+    return archive.decode_lines(stream_lines(spark, sf_dir, payload, clock), judge=judge)
 
 
 def deflate_raw(text: Column) -> Column:

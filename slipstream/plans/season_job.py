@@ -8,11 +8,13 @@ report, not an error.
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slipstream.operators import catalog, feeds, keyframes
+from slipstream.functions.jsonwalk import ENTRY
+from slipstream.operators import catalog, feeds, keyframes, quality
 from slipstream.operators.asof import telemetry_on_track
 from slipstream.sources import archive, index
 
@@ -42,6 +44,87 @@ def build_feed_tables(
     }
 
 
+MANIFEST = f"{archive.FILES}, rows long, read_at timestamp"
+
+
+def manifest(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """The files a written table was built from, as they were when they were last read: path, size, modification time, and
+    the rows of their session. One row per file."""
+    try:
+        every = spark.read.schema(MANIFEST).parquet(_manifest_folder(out, name))
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+    rest = [c for c in every.columns if c != "path"]
+    last = every.groupBy("path").agg(F.max_by(F.struct(*rest), "read_at").alias("f"))
+    return last.select("path", "f.*").select(*every.columns)
+
+
+def _manifest_folder(out: str, name: str) -> str:
+    return f"{out.rstrip('/')}/manifest.{name}"
+
+
+def changed_files(spark: SparkSession, root: str, out: str, name: str, sessions: Sequence[str] = ("*/*/*",)) -> DataFrame:
+    """The files of a feed that are new, or of another size or time than when they were read; nothing in them is read."""
+    there = archive.list_files(spark, archive.feed_paths(root, feeds.FEEDS[name].stream_file, sessions))
+    return there.join(manifest(spark, out, name), ["session_id", "path", "length", "modified"], "left_anti")
+
+
+def update_feed_tables(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    names: Sequence[str] = tuple(feeds.FEEDS),
+    sessions: Sequence[str] = ("*/*/*",),
+    on_bad: str = "raise",
+) -> dict[str, int]:
+    """Bring the stream tables up to date: only files that are new or changed are read. Returns how many, per feed.
+
+    The list of these files goes through the driver, which lists them for a scan anyway. A file is noted once its session is
+    written, so a job that fails is done again by the next one.
+    """
+    read = {}
+    for name in names:
+        files = [tuple(r) for r in changed_files(spark, root, out, name, sessions).collect()]
+        read[name] = len(files)
+        if not files:
+            continue
+        found = spark.createDataFrame(files, archive.FILES)
+        changed = sorted({session for session, *_ in files})
+        archive.write_feed(feeds.read_feed(spark, root, name, changed, on_bad), out, name, replaced=changed)
+        rows = archive.read_written(spark, out, name, table_schema(spark, name)).groupBy(F.col("session").alias("session_id")).agg(F.count("*").alias("rows"))
+        noted = found.join(rows, "session_id", "left").withColumns({"rows": F.coalesce("rows", F.lit(0)), "read_at": F.current_timestamp()})
+        noted.select("session_id", "path", "length", "modified", "rows", "read_at").write.mode("append").parquet(_manifest_folder(out, name))
+    return read
+
+
+def write_with_report(
+    spark: SparkSession, root: str, out: str, name: str, sessions: Sequence[str] = ("*/*/*",), types: dict[str, str] | None = None
+) -> dict[str, int]:
+    """Write the sound entries of a feed, and return what the scan has seen of its lines and values on the way.
+
+    One job: ``lines`` and a count for each fault of a line and, as in ``quality.type_report``, for each JSON key of ``types``
+    whose value does not fit. A busy feed of whole documents has line counts only.
+    """
+    feed = feeds.FEEDS[name]
+    lines = archive.read_stream_lines(spark, archive.feed_paths(root, feed.stream_file, sessions))
+    compressed = ".z." in feed.stream_file
+    judged, of_lines = quality.observed(archive.judged_lines(lines, compressed), quality.line_rules())
+    sound = judged.filter("fault IS NULL")
+    if feed.flatten_docs is not None:
+        table, of_values = feed.flatten_docs(sound.select(*ENTRY[:3], "timestamp_ms", "doc")), None
+    else:
+        raw = archive.entries_of_documents(sound) if compressed else sound.select(*ENTRY[:3], F.lit(0).alias("entry_no"), "timestamp_ms", F.col("doc").alias("payload"))
+        of_values = None
+        if types:
+            raw, of_values = quality.observed(raw, quality.payload_rules(types))
+        table = feed.flatten(raw)
+    archive.write_feed(table, out, name)
+    found = dict(of_lines.get)
+    return {"lines": found.pop("rows"), **found, **({k: v for k, v in of_values.get.items() if k != "rows"} if of_values is not None else {})}
+
+
 def build_derived_tables(
     spark: SparkSession, root: str, out: str, sessions: Sequence[str] = ("*/*/*",), on_bad: str = "raise"
 ) -> dict[str, str]:

@@ -164,19 +164,30 @@ def test_line_numbers_are_the_files_own(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        rows = archive.read_entries(spark, str(tmp_path), "X.jsonStream", on_bad="drop")
+        rows = archive.read_entries(spark, str(tmp_path), "X.jsonStream", on_bad="drop", numbered=True)
         season = {(r.session_id, r.line_no, r.payload) for r in rows.collect()}
-        lines = archive.read_stream_lines(spark, archive.feed_paths(str(tmp_path), "X.jsonStream"))
+        lines = archive.read_stream_lines(spark, archive.feed_paths(str(tmp_path), "X.jsonStream"), numbered=True)
         faults = sorted((r.session_id, r.line_no) for r in archive.line_faults(lines).collect())
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
-    one = archive.read_entries(spark, str(tmp_path), "X.jsonStream", ["2024/a/c"], on_bad="drop")
+    one = archive.read_entries(spark, str(tmp_path), "X.jsonStream", ["2024/a/c"], on_bad="drop", numbered=True)
     assert {(r.session_id, r.line_no, r.payload) for r in one.collect()} == {x for x in season if x[0] == "2024/a/c"}
     assert season == {(s, i, f'{{"n":{i}}}') for s, n in (("2024/a/b", 900), ("2024/a/c", 700)) for i in range(n) if i % 100}
     assert faults == [(s, i) for s, n in (("2024/a/b", 900), ("2024/a/c", 700)) for i in range(0, n, 100)]
 
 
+def test_a_feed_is_one_scan_and_one_parse(spark, tmp_path):
+    put(tmp_path, "2024/a/b", "CarData.z.jsonStream", f'00:00:01.000"{packed({"Entries": []})}"\n')
+    put(tmp_path, "2024/a/b", "DriverRaceInfo.jsonStream", '00:00:01.000{"44":{"Position":"1"}}\n')
+    put(tmp_path, "2024/a/b", "TrackStatus.jsonStream", '00:00:01.000{"Status":"1","Message":"AllClear"}\n')
+    for name in ("CarData", "DriverRaceInfo", "TrackStatus"):
+        table = feeds.read_feed(spark, str(tmp_path), name)
+        table.collect()
+        plan = table._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+        assert plan.count("FileScan") == 1
+
+
 def test_absent_files_give_no_rows(spark, tmp_path):
     put(tmp_path, "2024/m/s1", "TrackStatus.jsonStream", '00:00:01.000{"Status":"1","Message":"AllClear"}\n')
     put(tmp_path, "2024/m/s3", "Other.jsonStream", "x")

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from slipstream.operators import asof
 from slipstream.operators.asof import asof_join
 
 LEFT = "session_id string, racing_number int, block_no long, line_no long, entry_no int, key_pos int, timestamp_ms long, speed int, utc string"
@@ -40,15 +41,15 @@ def brute(left, right, strategy, tolerance):
 
 
 @pytest.mark.parametrize("strategy", ["nearest", "backward", "forward"])
-@pytest.mark.parametrize("width,tolerance", [(1000, None), (50, 300), (100_000, None)])
-def test_against_all_pairs(spark, strategy, width, tolerance):
+@pytest.mark.parametrize("ranges,tolerance", [(20, None), (90, 300), (1, None), (None, None)])
+def test_against_all_pairs(spark, strategy, ranges, tolerance):
     left, right = make(1, 400, 20_000), make(2, 150, 12_000)
     got = asof_join(
         spark.createDataFrame(left, LEFT).repartition(3),
         spark.createDataFrame(right, RIGHT).repartition(3),
         strategy=strategy,
         tolerance=tolerance,
-        width=width,
+        ranges=ranges,
     )
     assert got.columns[-2:] == ["x", "utc_right"]
     assert sorted(map(tuple, got.collect()), key=repr) == brute(left, right, strategy, tolerance)
@@ -67,17 +68,17 @@ def test_unknown_strategy(spark):
 
 
 @pytest.mark.parametrize("strategy", ["nearest", "backward", "forward"])
-def test_one_bucket_with_most_rows(spark, strategy):
+def test_one_clock_with_most_rows(spark, strategy):
     left, right = make(3, 300, 9000), make(4, 100, 9000)
     left = [(*r[:6], 4200 + r[3] % 3 if r[3] % 4 else r[6], *r[7:]) for r in left]
-    got = asof_join(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), strategy=strategy, width=100)
+    got = asof_join(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), strategy=strategy, ranges=40)
     assert sorted(map(tuple, got.collect()), key=repr) == brute(left, right, strategy, None)
 
 
 def test_rows_without_a_clock_match_nothing(spark):
     left = [("a", 1, 0, i, 0, 0, None if i % 2 else 50 * i, 1, "u") for i in range(40)]
     right = [("a", 1, 0, i, 0, 0, 10 * i, i, "r") for i in range(100)]
-    got = asof_join(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), width=20)
+    got = asof_join(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ranges=7)
     assert sorted((r.line_no, r.x) for r in got.collect()) == [(i, None if i % 2 else min(5 * i, 99)) for i in range(40)]
 
 
@@ -90,6 +91,16 @@ def test_each_side_is_read_once(spark, tmp_path):
     assert plan.count("FileScan") == 2 and "ReusedExchange" in plan
 
 
+def test_a_hot_span_is_dealt_over_many_ranges(spark):
+    """Nine rows of ten within five seconds of one key, half of those at one clock: no range has much more than its share."""
+    rows = [("a", 1, 0, i, 0, 0, (7000 if i % 2 else 5000 + i % 5000) if i % 10 else i * 37, 1, "u") for i in range(40_000)]
+    left, right = spark.createDataFrame(rows[::2], LEFT), spark.createDataFrame(rows[1::2], RIGHT)
+    both = asof._tagged(left, right, "timestamp_ms", ["session_id", "racing_number"], ["x", "utc"], asof.PLACE)
+    where = both.select("_by0", "_by1", "_at", "_is_left", "_place")
+    sizes = [r["count"] for r in both.groupBy(asof._range_of(where, 20).alias("r")).count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 2 * sorted(sizes)[10]
+
+
 def test_needs_a_key(spark):
     empty = spark.createDataFrame([], RIGHT)
     with pytest.raises(ValueError, match="key"):

@@ -56,6 +56,22 @@ def test_meeting_search(spark, tables):
     assert [got[k].status for k in "def"] == ["none", "none", "found"]
 
 
+def test_meeting_search_by_texts_of_any_length(spark, tables):
+    texts = ["", " ", "m", "mo", "mon", "ITAL", "za", "zz", "x", "2023-09-03_italian", "grand prix", "n g", "pre-season testing of"]
+    queries = spark.createDataFrame([(t, 2023, t) for t in texts] + [("null", 2023, None)], "query_id string, year int, text string")
+    got = {r.query_id: r.candidates for r in catalog.search_meetings(queries, *tables).collect()}
+    fields = {"Pre-Season Testing (Sakhir)": ["pre-season testing", "sakhir", "bahrain", "2023-02-25_test"], "Bahrain Grand Prix (Sakhir)": ["bahrain grand prix", "sakhir", "bahrain"],
+              "Italian Grand Prix (Monza)": ["italian grand prix", "monza", "italy", "2023-09-03_italian"]}
+    assert got == {t: "; ".join(m for m, f in fields.items() if any(t.strip().lower() in x for x in f)) for t in texts} | {"null": ""}
+
+
+def test_search_joins_on_grams(spark, tables):
+    queries = spark.createDataFrame([("a", 2023, "monza")], "query_id string, year int, text string")
+    plan = catalog.search_meetings(queries, *tables)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join" in line and "_fields" in line]
+    assert joins and all("_gram" in line for line in joins)
+
+
 def test_session_search(spark, tables):
     asked = spark.createDataFrame([("a", 2023, 3, "sprint"), ("b", 2023, 3, "Race"), ("c", 2023, 3, "q")], "query_id string, year int, meeting_key int, text string")
 
@@ -73,6 +89,8 @@ def test_types_spans_and_listing(tables):
     spans = {r.meeting_key: (str(r.weekend_start), str(r.weekend_end)) for r in catalog.weekend_span(tables[1]).collect()}
     assert spans[3] == ("2023-09-01 15:00:00", "2023-09-03 15:00:00")
     listing = catalog.season_listing(*tables).collect()
+    assert [r.meeting_rank for r in listing] == [1, 2, 3]
+    assert [(r.meeting_key, r.session_key, r.session_rank) for r in catalog.ordered_sessions(tables[1]).collect() if r.meeting_key == 3] == [(3, 32, 1), (3, 33, 2), (3, 31, 3)]
     assert [(r.name, r.sessions) for r in listing] == [
         ("Pre-Season Testing", "Practice 1"), ("Bahrain Grand Prix", "None"), ("Italian Grand Prix", "Sprint Shootout, Sprint, Race"),
     ]

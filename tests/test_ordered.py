@@ -60,4 +60,10 @@ def test_last_per_key_and_first_entry(spark, raw):
     last = ordered.last_per_key(df, ["session_id", "timestamp_ms"], ["block_no", "line_no", "entry_no"])
     assert sorted((r.timestamp_ms, r.payload) for r in last.collect()) == [(5, "b"), (6, "c")]
     assert [r.payload for r in ordered.first_entry(df).collect()] == ["a"]
-    assert sorted(r.payload for r in ordered.after_first_entry(df, df).collect()) == ["b", "c"]
+
+
+def test_last_per_key_after_first_entry(spark, raw):
+    df = raw((5, "a"), (5, "b"), (6, "c"), (6, "d")).unionByName(raw((9, "x"), (9, "y"), (9, "z"), session="2024/a/c")).unionByName(raw((9, "only"), session="2024/a/d"))
+    got = ordered.last_per_key_after_first_entry(df.repartition(3), ["session_id", "timestamp_ms"], ["block_no", "line_no", "entry_no"])
+    assert got.columns == df.columns
+    assert sorted((r.timestamp_ms, r.payload) for r in got.collect()) == [(5, "b"), (6, "d"), (9, "z")]

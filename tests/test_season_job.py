@@ -5,7 +5,9 @@ import json
 import pytest
 from tests.test_archive import packed, put
 
+from slipstream.operators import quality
 from slipstream.plans import season_job
+from slipstream.sources import archive
 
 
 @pytest.fixture(scope="module")
@@ -94,3 +96,50 @@ def test_from_names_to_rows(spark, built):
         ("b", "no meeting", None, None), ("c", "no session", None, None),
     ]
     assert [(r.lookup_status, r.session_id, r.message) for r in found if r.query_id == "a"] == [("found", "2024/m2/s2", "m")] * 2
+
+
+def _status(root, session, text):
+    folder = root / session
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "TrackStatus.jsonStream").write_text(text)
+
+
+def test_update_reads_only_new_and_changed_files(spark, tmp_path):
+    root, out = tmp_path / "archive", str(tmp_path / "out")
+    line = '00:00:0{}.000{{"Status":"{}","Message":"m"}}\n'.format
+    update = lambda: season_job.update_feed_tables(spark, str(root), out, ["TrackStatus", "PitStop"])
+    rows = lambda: sorted((r.session_id, r.status) for r in season_job.feed_table(spark, out, "TrackStatus").collect())
+    _status(root, "2024/São_Paulo+1/b", line(1, 1))
+    _status(root, "2024/a/c", line(1, 2) + line(2, 3))
+    assert update() == {"TrackStatus": 2, "PitStop": 0}
+    assert rows() == [("2024/São_Paulo+1/b", 1), ("2024/a/c", 2), ("2024/a/c", 3)]
+    assert update() == {"TrackStatus": 0, "PitStop": 0}
+    _status(root, "2024/a/d", line(1, 4))
+    _status(root, "2024/a/c", "\n")  # no rows any more
+    (root / "2024/São_Paulo+1/b/TrackStatus.jsonStream").chmod(0o000)  # an old file is not opened again
+    changed = season_job.changed_files(spark, str(root), out, "TrackStatus")
+    assert sorted(r.session_id for r in changed.collect()) == ["2024/a/c", "2024/a/d"]
+    assert update() == {"TrackStatus": 2, "PitStop": 0}
+    assert rows() == [("2024/São_Paulo+1/b", 1), ("2024/a/d", 4)]
+    assert sorted((r.session_id, r.rows) for r in season_job.manifest(spark, out, "TrackStatus").collect()) == [("2024/São_Paulo+1/b", 1), ("2024/a/c", 0), ("2024/a/d", 1)]
+    with pytest.raises(Exception, match="Malformed"):
+        _status(root, "2024/a/e", "no line\n")
+        update()
+    _status(root, "2024/a/e", line(1, 5))
+    assert update()["TrackStatus"] == 1 and ("2024/a/e", 5) in rows()
+
+
+def test_a_write_reports_what_it_has_seen(spark, tmp_path):
+    text = '00:00:01.000{"Status":"1","Message":"m"}\n00:00:02.000{"Status":"x","Message":"m"}\nnone\n00:00:03.000{"Status":\n{"Status":"2"}\n'
+    root = tmp_path / "archive"
+    _status(root, "2024/a/b", text)
+    _status(root, "2024/a/c", text)
+    types, out = {"Status": "smallint", "Message": "string"}, str(tmp_path / "out")
+    got = season_job.write_with_report(spark, str(root), out, "TrackStatus", types=types)
+    lines = archive.read_stream_lines(spark, archive.feed_paths(str(root), "TrackStatus.jsonStream"))
+    raw = archive.decode_lines(lines, on_bad="drop")
+    want = {"lines": lines.count()}
+    for report in (quality.line_report(lines), quality.type_report(raw, types)):
+        want |= {r.rule: r.n for r in report.groupBy("rule").sum("breaches").toDF("rule", "n").collect()}
+    assert got == want and got["Status"] == 2 and got["json"] == 2
+    assert season_job.feed_table(spark, out, "TrackStatus").count() == 4
