@@ -6,10 +6,10 @@ added to or taken from a fingerprint without the text. A vector has two parts:
 
 - ``WHOLE`` lanes modulo 2^32, uniform hashes of the whole paragraph. Documents with equal multisets of paragraphs have
   equal sums; others have so with a chance of 2^-128.
-- ``SIGNS`` lanes modulo 2^16, each the sum of +1 or -1 for each of the paragraph's sentences. The inner product of two such
-  sums estimates how many sentences two documents share, which gives the likeness of two fingerprints.
+- ``SIGNS`` lanes modulo 2^32, each the sum of +1 or -1 for each run of up to ``RUN`` words in the paragraph's sentences. The
+  inner product of two such sums estimates how many runs two documents share, which gives the likeness of two fingerprints.
 
-Sums are taken in whole-stage code by one hash aggregation over exploded sentences: a 64-bit hash holds one bit for each
+Sums are taken in whole-stage code by one hash aggregation over exploded runs: a 64-bit hash holds one bit for each
 of 64 lanes, and two lanes are counted in each long.
 """
 
@@ -23,11 +23,14 @@ from slipstream.llm.ordering import previous, sort_id
 from slipstream.llm.staging import staged
 
 SIGNS, WHOLE = 128, 4
-_SIGN_MOD, _WHOLE_MOD = 1 << 16, 1 << 32
+_SIGN_MOD = _WHOLE_MOD = 1 << 32
+#: Words of a run, counted from the beginning of its sentence.
+RUN = 8
 _TWO_LANES = 0x0000000100000001
 _LOW = 0xFFFFFFFF
 #: Where a paragraph is cut into sentences.
-SENTENCE = r"(?<=[.!?])[\x20\x09-\x0D]+"
+_SPACES = r"[\x20\x09-\x0D]+"
+SENTENCE = r"(?<=[.!?])" + _SPACES
 _BLANK = r"^[\x20\x09-\x0D]*$"
 
 #: Documents whose texts meet in one group to find the next document's text.
@@ -38,17 +41,22 @@ def _hash(value: Column, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), value)
 
 
-def _sentences(text: Column) -> Column:
-    """A struct for each sentence: its two hashes, and with the first of a paragraph those of the whole paragraph."""
+def _runs(text: Column) -> Column:
+    """A struct for each run of words: its two hashes, and with the first of a paragraph those of the whole paragraph."""
     lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda p: ~p.rlike(_BLANK))
 
     def parts(p: Column) -> Column:
-        return F.transform(
-            F.split(p, SENTENCE, -1),
-            lambda s, i: F.struct(
-                _hash(s, 1).alias("s0"), _hash(s, 2).alias("s1"), F.when(i == 0, _hash(p, 3)).otherwise(0).alias("p0"), F.when(i == 0, _hash(p, 4)).otherwise(0).alias("p1")
-            ),
-        )
+        def run(words: Column, i: Column, k: Column) -> Column:
+            some = F.slice(words, k * RUN + 1, F.lit(RUN))
+            whole = lambda seed: F.when((i == 0) & (k == 0), _hash(p, seed)).otherwise(0)
+            return F.struct(_hash(some, 1).alias("s0"), _hash(some, 2).alias("s1"), whole(3).alias("p0"), whole(4).alias("p1"))
+
+        def sentence(s: Column, i: Column) -> Column:
+            words = F.split(s, _SPACES, -1)
+            places = F.sequence(F.lit(0), F.floor((F.size(words) - 1) / RUN).cast("int"))
+            return F.flatten(F.transform(F.array(words), lambda w: F.transform(places, lambda k: run(w, i, k))))
+
+        return F.flatten(F.transform(F.split(p, SENTENCE, -1), sentence))
 
     return F.flatten(F.transform(lines, parts))
 
@@ -58,7 +66,7 @@ def vectors(rows: DataFrame, keys: list[str], text: str = "text", out: str = "ve
 
     The texts of rows with equal keys add up. A null, empty or blank text adds nothing, and its vector is all zero.
     """
-    each = rows.select(*keys, F.explode_outer(_sentences(F.col(text))).alias("u")).select(*keys, "u.*")
+    each = rows.select(*keys, F.explode_outer(_runs(F.col(text))).alias("u")).select(*keys, "u.*")
     ones = [F.sum(F.shiftright(h, j).bitwiseAND(F.lit(_TWO_LANES))).alias(f"{h}_{j}") for h in ("s0", "s1") for j in range(32)]
     whole = [
         F.sum((F.col(p) if part == 0 else F.shiftrightunsigned(p, 32)).bitwiseAND(F.lit(_LOW))).alias(f"{p}_{part}") for p in ("p0", "p1") for part in (0, 1)
@@ -86,8 +94,9 @@ def deleted(vector: Column, less: Column) -> Column:
 
 
 def as_hex(vector: Column) -> Column:
-    """A vector as lowercase hex digits: four for each sign lane, then eight for each whole lane."""
-    digits = F.transform(vector, lambda x, i: F.lower(F.lpad(F.hex(x), F.when(i < SIGNS, 4).otherwise(8), F.lit("0"))))
+    """A vector as lowercase hex digits: four for each sign lane, which is reduced modulo 2^16, then eight for each whole lane."""
+    printed = lambda x, i: F.when(i < SIGNS, F.pmod(x, F.lit(1 << 16))).otherwise(x)
+    digits = F.transform(vector, lambda x, i: F.lower(F.lpad(F.hex(printed(x, i)), F.when(i < SIGNS, 4).otherwise(8), F.lit("0"))))
     return F.array_join(digits, "")
 
 
@@ -100,7 +109,7 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated share of sentences that two documents have in common, from their vectors: 0 to 1, and 1 if they are equal."""
+    """Estimated share of word runs that two documents have in common, from their vectors: 0 to 1, and 1 if they are equal."""
     x, y = _signed(a), _signed(b)
     size = _dot(x, x) + _dot(y, y)
     shared = F.when(size > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * _dot(x, y) / size))).otherwise(0.0)

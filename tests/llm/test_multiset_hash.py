@@ -76,6 +76,16 @@ def test_likeness_follows_shared_text(spark):
     assert same_ == 1.0 and abs(half - 0.5) < 0.3 and none < 0.3
 
 
+def test_likeness_of_repeats_and_of_one_sentence(spark):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    texts = {"many": "again and again. " * 40_000, "less": "again and again. " * 30_000, "one": " ".join(words), "edited": " ".join(words[:300] + [f"x{k}" for k in range(100)])}
+    v = {r["id"]: r["vector"] for r in M.vectors(spark.createDataFrame(list(texts.items()), "id string, text string"), ["id"]).collect()}
+    row = spark.createDataFrame([(v["many"], v["less"], v["one"], v["edited"])], "a array<long>, b array<long>, c array<long>, d array<long>")
+    often, most, none = row.select(M.likeness(F.col("a"), F.col("b")), M.likeness(F.col("c"), F.col("d")), M.likeness(F.col("a"), F.col("c"))).first()
+    assert often > 0.9 and abs(most - 0.75) < 0.2 and none < 0.3
+
+
 def test_main_path_has_no_python(small):
     plan = M.edited_fingerprints(small)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
