@@ -43,7 +43,8 @@ def asof_join(
     On equal distance the earlier right row counts. Right columns that clash get ``suffix``; keys, clock and
     ``place`` columns of the right side are not repeated. ``place`` identifies a row within its key; ``on`` counts
     in whole numbers. Rows with a null key or clock match nothing. ``ranges`` is the number of tasks, by default that
-    of shuffles; it changes no result.
+    of shuffles; it changes no result. With 0 rows are joined where they lie: sides that are bucketed by the keys then need no
+    shuffle, and all rows of a key are one task's work.
     """
     if strategy not in ("nearest", "backward", "forward"):
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -51,25 +52,31 @@ def asof_join(
     if not by:
         raise ValueError("an as-of join needs at least one key column")
     keys = [f"_by{i}" for i in range(len(by))]
-    cell = [*keys, "_range"]
+    cell = [*keys, "_range"] if ranges != 0 else keys
     values = [c for c in right.columns if c not in (*by, on, *place)]
     names = {c: c + suffix if c in left.columns else c for c in values}
 
-    ranges = ranges or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     both = _tagged(left, right, on, by, values, place)
-    where = [*keys, "_at", "_is_left", "_place"]
-    both = both.withColumn("_range", _range_of(both.select(*where), ranges)).repartition(ranges, "_range")
+    if ranges != 0:
+        ranges = ranges or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        where = both.select(*keys, "_at", "_is_left", "_place")
+        both = both.withColumn("_range", _range_of(where, ranges)).repartition(ranges, "_range")
     reach = (Window.unboundedPreceding, Window.currentRow)
     up = Window.partitionBy(*cell).orderBy("_at", "_is_left", "_place").rowsBetween(*reach)
     down = Window.partitionBy(*cell).orderBy(F.desc("_at"), "_is_left", "_place").rowsBetween(*reach)
     found = both.select("*", F.max("_item").over(up).alias("_before"), F.max(_ahead(F.col("_item"))).over(down).alias("_after"))
 
-    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_edge{c}")) for c in cell))
-    joined = found.filter("_is_left").join(_borders(both, cell), same, "left")
+    joined = found.filter("_is_left")
+    if ranges != 0:
+        same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_edge{c}")) for c in cell))
+        joined = joined.join(_borders(both, cell), same, "left")
+        edges = F.col("_edge_before"), F.col("_edge_after")
+    else:
+        edges = F.col("_before"), F.col("_after")
     known = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in (*keys, "_at")))
-    before = F.greatest("_before", "_edge_before")
+    before = F.greatest(F.col("_before"), edges[0])
     # right rows at the very clock of a left row come before it, so only the way up has always seen them
-    after = F.when(before["at"] == F.col("_at"), before).otherwise(_ahead(F.greatest("_after", "_edge_after")))
+    after = F.when(before["at"] == F.col("_at"), before).otherwise(_ahead(F.greatest(F.col("_after"), edges[1])))
     hit = {"backward": before, "forward": after, "nearest": _nearer(before, after, F.col("_at"))}[strategy]
     hit = F.when(known, hit)
     if tolerance is not None:
@@ -148,8 +155,8 @@ def _nearer(before: Column, after: Column, at: Column) -> Column:
     return F.when(first, before).otherwise(after)
 
 
-def telemetry_on_track(car: DataFrame, position: DataFrame, racing_number: int | None = None) -> DataFrame:
+def telemetry_on_track(car: DataFrame, position: DataFrame, racing_number: int | None = None, ranges: int | None = None) -> DataFrame:
     """Telemetry with the nearest position of the same car, and a clock in whole seconds."""
     if racing_number is not None:
         car, position = (df.filter(F.col("racing_number") == racing_number) for df in (car, position))
-    return asof_join(car, position).withColumn("timestamp_s", clock_seconds(F.col("timestamp_ms")))
+    return asof_join(car, position, ranges=ranges).withColumn("timestamp_s", clock_seconds(F.col("timestamp_ms")))

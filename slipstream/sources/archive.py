@@ -140,7 +140,10 @@ def judged_lines(lines: DataFrame, compressed: bool) -> DataFrame:
 
 
 def line_faults(lines: DataFrame, compressed: bool = False) -> DataFrame:
-    """The lines a strict decode would stop at, with ``fault``: no payload ``mark``, ``clock``, ``blob`` or ``json``."""
+    """The lines a strict decode would stop at, with ``fault``: no payload ``mark``, ``clock``, ``blob`` or ``json``.
+
+    Lines that were read ``numbered`` are named by their number in the file.
+    """
     return judged_lines(lines, compressed).filter("fault IS NOT NULL").select("session_id", "block_no", "line_no", "value", "fault")
 
 

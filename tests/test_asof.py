@@ -41,7 +41,7 @@ def brute(left, right, strategy, tolerance):
 
 
 @pytest.mark.parametrize("strategy", ["nearest", "backward", "forward"])
-@pytest.mark.parametrize("ranges,tolerance", [(20, None), (90, 300), (1, None), (None, None)])
+@pytest.mark.parametrize("ranges,tolerance", [(20, None), (90, 300), (1, None), (None, None), (0, None)])
 def test_against_all_pairs(spark, strategy, ranges, tolerance):
     left, right = make(1, 400, 20_000), make(2, 150, 12_000)
     got = asof_join(

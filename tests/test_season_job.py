@@ -143,3 +143,19 @@ def test_a_write_reports_what_it_has_seen(spark, tmp_path):
         want |= {r.rule: r.n for r in report.groupBy("rule").sum("breaches").toDF("rule", "n").collect()}
     assert got == want and got["Status"] == 2 and got["json"] == 2
     assert season_job.feed_table(spark, out, "TrackStatus").count() == 4
+
+
+def test_tables_by_car_are_joined_without_a_shuffle(spark, built):
+    out = built[1]
+    by_car = season_job.lay_out_by_car(spark, out, 4)
+    try:
+        joined = season_job.telemetry(spark, out, by_car=by_car)
+        want = season_job.telemetry(spark, out)
+        assert joined.columns == want.columns
+        assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Window" in plan and "Exchange" not in plan and "Join" not in plan
+        assert season_job.telemetry(spark, out, years=[2024], by_car=by_car).count() == season_job.telemetry(spark, out, years=[2024]).count() > 0
+    finally:
+        for table in by_car.values():
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
