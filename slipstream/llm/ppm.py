@@ -344,7 +344,7 @@ def _score_rows(settled, frequent, held: int):
     return work
 
 
-def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: int = 1, most_nodes: int = 1 << 20) -> DataFrame:
+def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: int = 1, most_nodes: int = 1 << 19) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row of ``docs``.
 
     Documents whose CRC-32 of the id as text leaves ``held`` modulo 5 are held out; the model and the base counts learn from
