@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,19 +78,18 @@ class WaveletMatrix:
     def build(symbols: np.ndarray) -> WaveletMatrix:
         n = len(symbols)
         width = int(symbols.max()).bit_length() if n else 0
-        now = symbols.astype(np.uint16 if width <= 16 else np.uint32)
+        now = pa.array(symbols.astype(np.uint16 if width <= 16 else np.uint32))
         planes, ranks, zeros = [], [], []
         for shift in range(width - 1, -1, -1):
-            ones = (now >> now.dtype.type(shift) & now.dtype.type(1)).astype(bool)
-            packed = np.packbits(ones, bitorder="little")
+            packed = np.packbits((now.to_numpy() & (1 << shift)) != 0, bitorder="little")
             words = np.zeros(-(-len(packed) // (BLOCK // 8)) * (BLOCK // 8), np.uint8)
             words[: len(packed)] = packed
             per_block = np.bitwise_count(words.view(np.uint64)).reshape(-1, BLOCK // 64).sum(axis=1)
             planes.append(packed.tobytes())
             ranks.append(np.concatenate([[0], np.cumsum(per_block)]).astype("<u4").tobytes())
-            left = now[~ones]
+            left, right = (pc.filter(now, pa.BooleanArray.from_buffers(pa.bool_(), n, [None, pa.py_buffer(bits)])) for bits in (~packed, packed))
             zeros.append(len(left))
-            now = np.concatenate([left, now[ones]])
+            now = pa.concat_arrays([left, right])
         return WaveletMatrix(n, width, b"".join(planes), b"".join(ranks), zeros)
 
     def parts(self) -> tuple[bytes, bytes]:
