@@ -54,6 +54,24 @@ def strings_of(texts: pa.Array) -> list[str]:
     return texts.to_numpy(zero_copy_only=False).tolist()
 
 
+#: First bytes of white space, and those that may begin a white space of several bytes.
+_BLANK = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+_MAYBE_BLANK = np.isin(np.arange(256), sorted({c.encode()[0] for c in map(chr, range(128, 0xD800)) if c.isspace()}))
+
+
+def _blank_starts(words: pa.Array) -> np.ndarray:
+    """Which of the words (large strings without nulls) are empty or begin with what ``str.isspace`` calls white space."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    blank = np.diff(offsets) == 0
+    filled = np.flatnonzero(~blank)
+    if len(filled):
+        first = np.frombuffer(words.buffers()[2], np.uint8)[offsets[filled]]
+        blank[filled] = _BLANK[first]
+        for k in filled[_MAYBE_BLANK[first]].tolist():
+            blank[k] = words[k].as_py()[0].isspace()
+    return blank
+
+
 def divided(texts: pa.Array, whole: Sequence[str] = (), places: re.Pattern = CUT) -> Divided:
     """Cuts texts into chunks. A null text is empty. A text that has one of ``whole`` in it is a single chunk.
 
@@ -68,7 +86,7 @@ def divided(texts: pa.Array, whole: Sequence[str] = (), places: re.Pattern = CUT
     starts = starts - starts[0]
     body = np.ones(len(codes), bool)
     body[starts[:-1]] = False
-    odd = np.array([not w or w[0].isspace() for w in words], bool)
+    odd = _blank_starts(numbered.dictionary)
     own = np.zeros(len(texts), bool)
     if odd.any():
         own[np.searchsorted(starts, np.flatnonzero(odd[codes] & body), side="right") - 1] = True
@@ -119,14 +137,20 @@ class Ragged(NamedTuple):
     def row(self, k: int) -> np.ndarray:
         return self.values[self.starts[k] : self.starts[k + 1]]
 
+    def rows(self) -> list[bytes]:
+        raw, ends = self.values.tobytes(), (self.values.itemsize * self.starts).tolist()
+        return [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
     def dealt(self, codes: np.ndarray) -> Ragged:
         """The rows with the numbers ``codes``, one after the other."""
-        sizes = np.diff(self.starts)[codes]
-        starts = np.zeros(len(codes) + 1, np.int64)
-        np.cumsum(sizes, out=starts[1:])
-        at = np.repeat(self.starts[codes] - starts[:-1], sizes)
-        at += np.arange(len(at))
-        return Ragged(self.values[at], starts)
+        if not len(codes):
+            return Ragged(self.values[:0], np.zeros(1, np.int64))
+        values, size = np.ascontiguousarray(self.values), self.values.itemsize
+        ends = np.ascontiguousarray(self.starts, np.int64) * size
+        rows = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(values)]).take(pa.array(codes))
+        starts = np.frombuffer(rows.buffers()[1], np.int64)[: len(codes) + 1]
+        raw = rows.buffers()[2]
+        return Ragged(np.frombuffer(raw, values.dtype, starts[-1] // size) if starts[-1] else values[:0], starts // size)
 
 
 class Generations:
@@ -137,19 +161,21 @@ class Generations:
 
     def of(self, strings: list[str], make: Callable[[list[str]], list[bytes]]) -> list[bytes]:
         """What distinct ``strings`` give; ``make`` is asked for the new ones together."""
-        if len(self.young) + len(strings) > self.most:
+        found = list(map(self.young.get, strings))
+        missing = [s for s, f in zip(strings, found, strict=True) if f is None]
+        if not missing:
+            return found
+        if len(self.young) + len(missing) > self.most:
             self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        found = list(map(young.get, strings))
-        if old:
-            again = {s: old[s] for s, f in zip(strings, found, strict=True) if f is None and s in old}
-            young.update(again)
-            found = list(map(young.get, strings)) if again else found
-        fresh = [s for s, f in zip(strings, found, strict=True) if f is None]
-        if fresh:
-            young.update(zip(fresh, make(fresh), strict=True))
-            found = list(map(young.__getitem__, strings))
-        return found
+            missing = strings
+        young = self.young
+        if self.old:
+            kept = list(map(self.old.get, missing))
+            young.update((s, k) for s, k in zip(missing, kept, strict=True) if k is not None)
+            missing = [s for s, k in zip(missing, kept, strict=True) if k is None]
+        if missing:
+            young.update(zip(missing, make(missing), strict=True))
+        return list(map(young.__getitem__, strings))
 
 
 class ChunkEncoder:
@@ -157,21 +183,32 @@ class ChunkEncoder:
     unsigned 32-bit ids. ``direct`` encodes a chunk that has one of ``whole`` in it."""
 
     def __init__(self, encode_all: Callable[[list[str]], list[bytes]], pattern: str = PATTERN, whole: Sequence[str] = (), direct: Callable[[str], bytes] | None = None, most: int = CACHE) -> None:
-        self.encode_all, self.matches = encode_all, regex.compile(pattern).findall
+        self.encode_all, self.matches, self.whole_words = encode_all, regex.compile(pattern).findall, pattern == PATTERN
         self.whole, self.direct, self.pieces = tuple(whole), direct, Generations(most)
 
-    def _matches(self, cut: Divided) -> tuple[list[str], np.ndarray]:
-        """The matches in all chunks, and where each chunk's begin. Bodies are searched together: each begins at the next space."""
+    def _matches(self, cut: Divided) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The matches in all chunks, where those of each begin, and the chunks' places in that order.
+
+        By the usual pattern, bodies of ASCII letters are a match as they stand. The others are searched together: each begins at the next space.
+        """
         parts = [self.matches(h) for h in cut.heads]
         starts = np.cumsum([0, *map(len, parts)])
-        found = [piece for part in parts for piece in part]
+        found, n = [piece for part in parts for piece in part], len(cut.heads)
         if not cut.bodies:
-            return found, starts
-        rest = self.matches(f" {' '.join(cut.bodies)}")
-        leads = np.flatnonzero(np.fromiter((p[0] == " " for p in rest), bool, len(rest)))
-        if len(leads) != len(cut.bodies):
+            return pa.array(found, pa.large_string()), starts, np.arange(n)
+        bodies = pa.array(cut.bodies, pa.large_string())
+        plain = pc.and_(pc.ascii_is_alpha(bodies), self.whole_words)
+        single, rest = bodies.filter(plain), bodies.filter(pc.invert(plain)).to_pylist()
+        single = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), single, pa.scalar(" ", pa.large_string()))
+        searched = pa.array(self.matches(f" {' '.join(rest)}") if rest else [], pa.large_string())
+        leads = np.flatnonzero(pc.starts_with(searched, " ").to_numpy(zero_copy_only=False))
+        if len(leads) != len(rest):
             raise ValueError("the pattern does not begin a match at every space before something else")
-        return found + rest, np.concatenate([starts[:-1], starts[-1] + leads, [len(found) + len(rest)]])
+        pieces = pa.concat_arrays([pa.array(found, pa.large_string()), single, searched])
+        ends = starts[-1] + np.arange(len(single)), starts[-1] + len(single) + leads
+        letters = plain.to_numpy(zero_copy_only=False)
+        places = n + np.where(letters, np.cumsum(letters) - 1, len(single) + np.cumsum(~letters) - 1)
+        return pieces, np.concatenate([starts[:-1], *ends, [len(pieces)]]), np.concatenate([np.arange(n), places])
 
     def of_distinct(self, cut: Divided) -> Ragged:
         """Ids of the distinct chunks of ``cut``."""
@@ -181,11 +218,11 @@ class ChunkEncoder:
             at = plain.starts[len(cut.heads) :]
             starts = np.cumsum([0, *map(len, raw)])
             return Ragged(np.concatenate([*raw, plain.values[at[0] :]]), np.concatenate([starts[:-1], at - at[0] + starts[-1]]))
-        found, starts = self._matches(cut)
-        numbered = pa.array(found, pa.large_string()).dictionary_encode()
+        found, starts, places = self._matches(cut)
+        numbered = found.dictionary_encode()
         ids = Ragged.of_bytes(self.pieces.of(strings_of(numbered.dictionary), self.encode_all))
         dealt = ids.dealt(numbered.indices.to_numpy(zero_copy_only=False))
-        return Ragged(dealt.values, dealt.starts[starts])
+        return Ragged(dealt.values, dealt.starts[starts]).dealt(places)
 
     def __call__(self, texts: pa.Array) -> Ragged:
         """Ids of whole texts."""
@@ -195,8 +232,7 @@ class ChunkEncoder:
 
     def many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        ids = self(pa.array(texts, pa.large_string()))
-        return [ids.row(k).tobytes() for k in range(len(texts))]
+        return self(pa.array(texts, pa.large_string())).rows()
 
 
 def with_end(ids: Ragged, end: int) -> Ragged:

@@ -26,7 +26,7 @@ BLOCK = 512
 #: Tokens after which a shard goes on in a further part, so that a task's memory is bounded.
 MOST_TOKENS = 1 << 24
 #: Text that is encoded together.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 32 << 20
 _SHARD = "shard long, part int, n long, width int, alphabet binary, planes binary, ranks binary, zeros array<long>, doc_ids array<long>, ends array<long>"
 
 

@@ -68,3 +68,21 @@ def test_lookup_and_counting(spark, small):
 def test_empty_table(spark, table):
     made = shards(spark, table([]))
     assert made.count() == 0 and wavelet.documents(made).count() == 0
+
+
+def test_known_strings_are_not_asked_again():
+    asked = []
+    known = subword.Generations(4)
+    for strings in (["a", "b", "c"], ["d"], ["a", "b"], ["a", "b", "c"], ["d", "e"], ["e", "a"]):
+        assert known.of(strings, lambda new: asked.extend(new) or [s.encode() for s in new]) == [s.encode() for s in strings]
+    assert asked == ["a", "b", "c", "d", "e"]
+
+
+def test_plain_words_are_not_searched():
+    searched = []
+    encode = subword.encoder(PATH, most=1000)
+    matches, encode.matches = encode.matches, lambda text: searched.append(text) or matches(text)
+    texts = ["plain words, é x1 don't\n\nIt's  two \x85next  wide  \t", "", None, "ab", " ab ", "a\x00b c\x00 d", "ab <|endoftext|> cd ef", "word " * 20 + "漢字 Ünï"]
+    tokenizer = Tokenizer.from_file(PATH)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode.many(texts)] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert not any(" words" in t or " word" in t for t in searched if not t.startswith("plain"))
