@@ -223,3 +223,11 @@ def test_session_feeds(spark, docs):
     ]
     asked = spark.createDataFrame([("s0", "CarData.z"), ("s0", "TeamRadio")], "session_id string, feed string")
     assert [tuple(r) for r in index.missing_feeds(asked, offered).collect()] == [("s0", "TeamRadio")]
+
+
+def test_blobs_are_inflated_once(spark):
+    lines = spark.createDataFrame([("2024/a/b", 0, 1, '00:00:01.000"')], "session_id string, block_no long, line_no long, value string")
+    docs = spark.createDataFrame([("2024/a/b", '"')], "session_id string, doc string")
+    for on_bad in ("raise", "drop"):
+        for rows in (archive.inflate_lines(lines, on_bad), archive.decode_documents(docs, compressed=True, on_bad=on_bad)):
+            assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
