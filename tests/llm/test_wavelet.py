@@ -82,7 +82,7 @@ def test_plain_words_are_not_searched():
     searched = []
     encode = subword.encoder(PATH, most=1000)
     matches, encode.matches = encode.matches, lambda text: searched.append(text) or matches(text)
-    texts = ["plain words, é x1 don't\n\nIt's  two \x85next  wide  \t", "", None, "ab", " ab ", "a\x00b c\x00 d", "ab <|endoftext|> cd ef", "word " * 20 + "漢字 Ünï"]
+    texts = ["plain words, é x1 don't\n\nIt's  two \x85next  wide  \t", "", None, "ab", " ab ", "a\x00b c\x00 d", "ab <|endoftext|> cd ef", "plainly " * 20 + "漢字 Ünï"]
     tokenizer = Tokenizer.from_file(PATH)
     assert [np.frombuffer(x, "<u4").tolist() for x in encode.many(texts)] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
-    assert not any(" words" in t or " word" in t for t in searched if not t.startswith("plain"))
+    assert not any(" plainly" in t for t in searched)
